@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.config import HealthSettings
 from tickloom.functions import fixed
 from tickloom.functions.measures import instant, seconds_between
 from tickloom.functions.text import check_line, health_head, heartbeat_text
+from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, slice_rows, with_earlier_rows
 
 
 def expected_feeds(spark: SparkSession, settings: HealthSettings = HealthSettings()) -> DataFrame:
@@ -145,15 +146,14 @@ def should_notify(checks: DataFrame, previous: DataFrame) -> DataFrame:
     return status_changes(checks, previous).agg((F.count(F.lit(1)) > 0).alias("notify"))
 
 
-def status_history_changes(reports: DataFrame) -> DataFrame:
+def status_history_changes(reports: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """The same over a log of reports (report_time, name, status): changes per check in time order."""
-    by_check = Window.partitionBy("name").orderBy("report_time")
-    bad = F.col("status") != fixed.OK
-    was_bad = F.coalesce(F.lag(bad).over(by_check), F.lit(False))
+    log = reports.select("report_time", "name", (F.col("status") != fixed.OK).alias("_bad"))
+    sliced = slice_rows(log, ["name"], ["report_time"], rows_per_slice)
     return (
-        reports.withColumn("_bad", bad)
-        .withColumn("_was", was_bad)
-        .filter(F.col("_bad") != F.col("_was"))
+        with_earlier_rows(sliced, 1)
+        .withColumn("_was", F.coalesce(F.lag("_bad").over(sliced.window()), F.lit(False)))
+        .filter(~F.col(CARRIED) & (F.col("_bad") != F.col("_was")))
         .select("report_time", "name", F.when(F.col("_bad"), "newly_bad").otherwise("recovered").alias("change"))
     )
 

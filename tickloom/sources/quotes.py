@@ -80,7 +80,7 @@ def page_prices(pages: DataFrame) -> DataFrame:
         rf"|{fixed.PAGE_TABLE_CLASS}(?![\w-]))[^>]*>(.*?)</table\s*>"
     )
     table = F.get(F.regexp_extract_all(F.col("html"), F.lit(table_pattern), 1), F.lit(0))
-    cells = F.transform(_elements(table, "tr"), lambda row: F.transform(_elements(row, "td"), _text))
+    cells = F.transform(_elements(F.col("_table"), "tr"), lambda row: F.transform(_elements(row, "td"), _text))
 
     def wanted(row: Column) -> Column:
         label, value = F.get(row, F.lit(0)), F.get(row, F.lit(1))
@@ -89,19 +89,20 @@ def page_prices(pages: DataFrame) -> DataFrame:
             match = match & F.contains(label, F.lit(part))
         return match & F.regexp_like(value, F.lit(fixed.PAGE_NUMBER))
 
-    first = F.get(F.filter(cells, wanted), F.lit(0))
-    number = F.regexp_extract(F.get(first, F.lit(1)), fixed.PAGE_NUMBER, 0)
-    price = F.replace(number, F.lit(","), F.lit("")).try_cast("double")
+    value = F.get(F.get(F.filter(cells, wanted), F.lit(0)), F.lit(1))
+    number = F.regexp_extract(value, fixed.PAGE_NUMBER, 0)
     reason = (
         F.when(F.col("_table").isNull(), "table not found")
         .when(F.col("price").isNull(), "row not found")
         .otherwise(F.lit(None).cast("string"))
     )
+    # Step by step, so that a page is cut up once.
     return (
         pages.withColumn("_table", table)
-        .withColumn("price", F.when(F.col("_table").isNotNull(), price))
+        .drop("html")
+        .withColumn("price", F.replace(number, F.lit(","), F.lit("")).try_cast("double"))
         .withColumn("reason", reason)
-        .drop("_table", "html")
+        .drop("_table")
     )
 
 
