@@ -19,34 +19,30 @@ def _lookup(table: Mapping[str, str], key: Column, otherwise: str) -> Column:
     return found
 
 
-def number_text(x: Column) -> Column:
-    """A double in its shortest decimal form: ``4400.0``, ``0.613``, ``12345678.9``, ``1e+16``.
+def _number_sql(x: str) -> str:
+    plain = f"cast({x} as string)"
+    digits = f"trim(trailing '0' from cast(try_cast({plain} as decimal(38,21)) as string))"
+    exponent = f"try_cast(split({plain}, 'E')[1] as int)"
+    return f"""case
+      when {x} = 0 or abs({x}) >= 0.001 and abs({x}) < 1e7 then {plain}
+      when abs({x}) >= 0.0001 and abs({x}) < 1e16 then {digits} || if(endswith({digits}, '.'), '0', '')
+      when contains({plain}, 'E') then regexp_replace(split({plain}, 'E')[0], '[.]0$', '')
+        || if({exponent} < 0, 'e-', 'e+') || if(abs({exponent}) < 10, '0', '') || cast(abs({exponent}) as string)
+      else lower(replace({plain}, 'Infinity', 'inf')) end"""
+
+
+def number_text(x: str) -> Column:
+    """A double (column name or SQL text) in its shortest decimal form: ``4400.0``, ``0.613``, ``1e+16``.
 
     Spark's own cast switches to exponents at 1e7 and below 1e-3; this one between 1e-4 and 1e16
     never does.
     """
-    plain = x.cast("string")
-    size = F.abs(x)
-    digits = F.rtrim(plain.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    digits = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-    parts = F.split(plain, "E")
-    exponent = F.get(parts, F.lit(1)).try_cast("int")
-    scientific = F.concat(
-        F.regexp_replace(F.get(parts, F.lit(0)), r"\.0$", ""),
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")),
-    )
-    return (
-        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), plain)
-        .when((size >= 1e-4) & (size < 1e16), digits)
-        .when(F.contains(plain, F.lit("E")), scientific)
-        .otherwise(F.when(F.isnan(x), "nan").otherwise(F.lower(F.regexp_replace(plain, "Infinity", "inf"))))
-    )
+    return F.expr(_number_sql(x))
 
 
-def number_list_text(xs: Column) -> Column:
+def number_list_text(xs: str) -> Column:
     """``[1.0, 2.5]``"""
-    return F.concat(F.lit("["), F.array_join(F.transform(xs, number_text), ", "), F.lit("]"))
+    return F.expr(f"'[' || array_join(transform({xs}, x -> {_number_sql('x')}), ', ') || ']'")
 
 
 def local_time_text(ts: Column, zone: str) -> Column:

@@ -65,13 +65,13 @@ def gap_alert_rows(
 ) -> DataFrame:
     extra = F.create_map(
         F.lit("global_gold"),
-        number_text(F.col("global_price")),
+        number_text("global_price"),
         F.lit("usd_egp"),
-        number_text(F.col("rate_price")),
+        number_text("rate_price"),
         F.lit("expected_local"),
-        number_text(F.round("expected", 2)),
+        number_text("round(expected, 2)"),
         F.lit("actual_local"),
-        number_text(F.col("local_price")),
+        number_text("local_price"),
         F.lit("global_age_sec"),
         F.col("global_age_sec").cast("string"),
         F.lit("local_age_sec"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,51 +48,51 @@ def ordered_ticks(
 
 
 def with_signals(sliced: Sliced, settings: SignalSettings = SignalSettings()) -> DataFrame:
-    """Every tick with its previous price, change in percent, spike and trend (null if none)."""
+    """Every tick with its previous price, change in percent, spike and trend (null if none).
+
+    One window gives the earlier prices a trend needs; prices are never null here, so a missing
+    one means the run is still too short.
+    """
     n = settings.trend_count
-    # A slice needs the buffer of its key, or at least the previous price.
-    rows = with_earlier_rows(sliced, max(1, n - 1))
+    depth = max(1, n - 1)
     w = sliced.window()
-    step = F.signum(F.col("price") - F.col("previous_price"))
-    steps = w.rowsBetween(-(n - 2), 0) if n >= 3 else w.rowsBetween(0, 0)
-    full = F.row_number().over(w) >= n
-    rows = (
-        rows.withColumn("previous_price", F.lag("price").over(w))
-        .withColumn("change_percent", F.round(percent_change(F.col("price"), F.col("previous_price")), 3))
-        .withColumn("_step", step)
-        .withColumn(
-            "trend",
-            F.when(full & (F.min("_step").over(steps) == 1), fixed.UPTREND).when(
-                full & (F.max("_step").over(steps) == -1), fixed.DOWNTREND
-            )
-            if n >= 3
-            else F.lit(None).cast("string"),
-        )
-        .withColumn("buffer", F.collect_list("price").over(w.rowsBetween(-(n - 1), 0)))
+    price = [F.col("price"), *[F.col(f"_price_{k}") for k in range(1, depth + 1)]]
+    rows = with_earlier_rows(sliced, depth).withColumns(
+        {f"_price_{k}": F.lag("price", k).over(w) for k in range(1, depth + 1)}
     )
+    trend = F.lit(None).cast("string")
+    if n >= 3:
+        rising = reduce(lambda a, b: a & b, [price[k] > price[k + 1] for k in range(n - 1)])
+        falling = reduce(lambda a, b: a & b, [price[k] < price[k + 1] for k in range(n - 1)])
+        trend = F.when(rising, fixed.UPTREND).when(falling, fixed.DOWNTREND)
     is_spike = F.col("previous_price").isNotNull() & (F.col("change_percent") >= settings.spike_threshold_pct)
     direction = F.when(F.col("price") > F.col("previous_price"), fixed.SPIKE_UP).otherwise(fixed.SPIKE_DOWN)
-    return rows.withColumn("spike", F.when(is_spike, direction)).filter(~F.col(CARRIED)).drop(CARRIED, "_step")
+    return (
+        rows.filter(~F.col(CARRIED))
+        .withColumn("previous_price", price[1])
+        .withColumn("change_percent", F.round(percent_change(price[0], price[1]), 3))
+        .withColumn("trend", trend)
+        .withColumn("spike", F.when(is_spike, direction))
+        .withColumn("prices", F.when(F.col("trend").isNotNull(), F.array(*reversed(price[:n]))))
+        .drop(CARRIED, *[f"_price_{k}" for k in range(1, depth + 1)])
+    )
 
 
 def signal_candidates(signals: DataFrame) -> DataFrame:
     """One row per spike and per trend, before the cooldown."""
-    text = F.lit(None).cast("string")
     spike = F.struct(
         F.col("spike").alias("alert_type"),
-        F.concat(F.lit("Price moved "), number_text(F.col("change_percent")), F.lit("%")).alias("message"),
         F.col("change_percent"),
-        number_text(F.col("previous_price")).alias("previous_price"),
-        text.alias("prices"),
+        F.col("previous_price"),
+        F.lit(None).cast("array<double>").alias("prices"),
     )
     trend = F.struct(
         F.col("trend").alias("alert_type"),
-        F.concat(F.initcap("trend"), F.lit(" detected")).alias("message"),
         F.lit(None).cast("double").alias("change_percent"),
-        text.alias("previous_price"),
-        number_list_text(F.col("buffer")).alias("prices"),
+        F.lit(None).cast("double").alias("previous_price"),
+        F.col("prices"),
     )
-    base = [c for c in signals.columns if c not in ("previous_price", "change_percent", "spike", "trend", "buffer")]
+    base = [c for c in signals.columns if c not in ("previous_price", "change_percent", "spike", "trend", "prices")]
     found = F.array_compact(F.array(F.when(F.col("spike").isNotNull(), spike), F.when(F.col("trend").isNotNull(), trend)))
     return (
         signals.filter(F.col("spike").isNotNull() | F.col("trend").isNotNull())
@@ -100,6 +101,19 @@ def signal_candidates(signals: DataFrame) -> DataFrame:
     )
 
 
+def worded(fired: DataFrame) -> DataFrame:
+    """Numbers of fired signals as text, with the message; candidates that stay silent cost none."""
+    is_spike = F.col("alert_type").isin(fixed.SPIKE_UP, fixed.SPIKE_DOWN)
+    moved = F.concat(F.lit("Price moved "), number_text("change_percent"), F.lit("%"))
+    return fired.withColumns(
+        {
+            "message": F.when(is_spike, moved).otherwise(F.concat(F.initcap("alert_type"), F.lit(" detected"))),
+            "previous_price": number_text("previous_price"),
+            "prices": number_list_text("prices"),
+        }
+    )
+
+
 def with_cooldown(
     candidates: DataFrame,
     cooldown_seconds: float,
@@ -139,7 +153,7 @@ def signal_alerts(
         # The gate looks at large keys several times: keep the (few) candidates, not the windows.
         candidates = cut_lineage(candidates)
     # At most one candidate per tick and type: keys of candidates are no larger than symbols.
-    return with_cooldown(
+    fired = with_cooldown(
         candidates,
         settings.cooldown_seconds,
         [TURN, clock, *tie],
@@ -147,7 +161,8 @@ def signal_alerts(
         last_alerts,
         rows_per_slice,
         fits=not sliced.split,
-    ).drop(TURN, "_slice")
+    )
+    return worded(fired).drop(TURN, "_slice")
 
 
 def last_prices(sliced: Sliced, count: int) -> DataFrame:

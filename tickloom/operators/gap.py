@@ -95,7 +95,6 @@ def gap_candidates(gaps: DataFrame, settings: GapSettings = GapSettings()) -> Da
             "alert_type": F.lit(fixed.GOLD_GAP),
             "global_age_sec": F.floor(F.col("global_age_us") / 1_000_000).cast("bigint"),
             "local_age_sec": F.floor(F.col("local_age_us") / 1_000_000).cast("bigint"),
-            "message": F.concat(F.lit("Gold gap detected ("), number_text(F.col("gap")), F.lit(" EGP)")),
         }
     )
 
@@ -111,7 +110,7 @@ def with_gap_cooldown(
 ) -> DataFrame:
     """Gaps that fire: after the cooldown, or when the gap moved by ``min_change`` since the last one."""
     timed = candidates.withColumn("_us", F.unix_micros(F.col(clock)))
-    return gate(
+    fired = gate(
         timed,
         ["symbol", "alert_type"],
         order,
@@ -121,7 +120,9 @@ def with_gap_cooldown(
         seeds=last_alerts,
         rows_per_slice=rows_per_slice,
         fits=fits,
-    ).drop("_us")
+    )
+    text = F.concat(F.lit("Gold gap detected ("), number_text("gap"), F.lit(" EGP)"))
+    return fired.withColumn("message", text).drop("_us")
 
 
 def gap_alerts(

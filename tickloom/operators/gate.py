@@ -69,6 +69,11 @@ class Cooldown:
         elapsed, limit = rows.t - t, int(self.seconds * 1_000_000)
         return elapsed >= limit if self.at_exactly else elapsed > limit
 
+    def first_over(self, rows: Walk, t: int) -> int:
+        """Rows are in time order: the first one past the cooldown by binary search."""
+        side = "left" if self.at_exactly else "right"
+        return int(np.searchsorted(rows.t, t + int(self.seconds * 1_000_000), side=side))
+
     def passes(self, rows: Walk, t, v) -> np.ndarray:
         over = self._over(rows, t)
         return over if self.min_change is None else over | (np.abs(rows.v - v) >= self.min_change)
@@ -81,7 +86,7 @@ class Cooldown:
 
     @property
     def droppable(self) -> bool:
-        """Whether an opener may go if the next one leads to the same end (time order only)."""
+        """Whether time alone decides: then of openers with the same end one is enough."""
         return self.min_change is None
 
 
@@ -139,6 +144,8 @@ def first_pass(rule, rows: Walk, start: int, last: tuple[int, float] | None) ->
     """Index of the first row from ``start`` on that passes after ``last``; the length if none."""
     if last is None:
         return min(start, len(rows))
+    if rule.droppable:
+        return max(start, rule.first_over(rows, last[0]))
     step = 32
     while start < len(rows):
         stop = min(start + step, len(rows))

@@ -106,7 +106,7 @@ def price_entries(history: DataFrame) -> DataFrame:
     newest_last = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("back")).alias("at"), "price"))), lambda r: r["price"])
     per_symbol = history.groupBy("symbol").agg(newest_last.alias("prices"))
     return _entries(
-        per_symbol, F.concat("symbol", F.lit(fixed.LAST_PRICE_SUFFIX)), number_text(F.element_at("prices", -1))
+        per_symbol, F.concat("symbol", F.lit(fixed.LAST_PRICE_SUFFIX)), number_text("element_at(prices, -1)")
     ).unionByName(_entries(per_symbol, F.concat("symbol", F.lit(fixed.PRICE_HISTORY_SUFFIX)), F.to_json("prices")))
 
 
@@ -120,7 +120,7 @@ def alert_entries(alerts: DataFrame) -> DataFrame:
     return (
         _entries(moves, F.concat("symbol", F.lit("__"), "alert_type", F.lit(fixed.ALERT_TIME_SUFFIX)), _iso(F.col("at")))
         .unionByName(_entries(gaps, F.lit(fixed.GAP_TIME_KEY), _iso(F.col("at"))))
-        .unionByName(_entries(gaps, F.lit(fixed.GAP_AMOUNT_KEY), number_text(F.col("amount"))))
+        .unionByName(_entries(gaps, F.lit(fixed.GAP_AMOUNT_KEY), number_text("amount")))
     )
 
 

@@ -20,7 +20,15 @@ from tickloom import schemas
 from tickloom.config import Settings
 from tickloom.operators import state as states
 from tickloom.operators.alerts import gap_alert_rows, signal_alert_rows
-from tickloom.operators.detect import last_prices, ordered_ticks, signal_candidates, with_cooldown, with_signals, TURN
+from tickloom.operators.detect import (
+    TURN,
+    last_prices,
+    ordered_ticks,
+    signal_candidates,
+    with_cooldown,
+    with_signals,
+    worded,
+)
 from tickloom.operators.gap import gap_candidates, last_legs, leg_ticks, with_gap, with_gap_cooldown, with_legs
 from tickloom.operators.slices import ROWS_PER_SLICE
 from tickloom.plans.lineage import cut_lineage
@@ -83,14 +91,16 @@ def alert_batch(
 
     sliced = ordered_ticks(fresh, clock, tie, history, rows_per_slice)
     candidates = signal_candidates(with_signals(sliced, settings.signals))
-    fired = with_cooldown(
-        cut_lineage(candidates) if sliced.split else candidates,
-        settings.signals.cooldown_seconds,
-        order,
-        clock,
-        seeds,
-        rows_per_slice,
-        fits=not sliced.split,
+    fired = worded(
+        with_cooldown(
+            cut_lineage(candidates) if sliced.split else candidates,
+            settings.signals.cooldown_seconds,
+            order,
+            clock,
+            seeds,
+            rows_per_slice,
+            fits=not sliced.split,
+        )
     )
 
     legs = leg_ticks(fresh, settings.gap, clock, tie, states.leg_state(state), rows_per_slice)
