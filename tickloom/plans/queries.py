@@ -517,9 +517,9 @@ def bronze_silver_stream(spark, folder):
     """Wire records through both streaming jobs, every record sent twice."""
     place = _run_folder(spark, "ingest")
     rows = _event_stream(spark, folder).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    ingest.start_bronze(quotes.to_wire(rows), f"{place}/bronze", f"{place}/c1", ONCE).awaitTermination()
+    ingest.start_bronze(quotes.to_wire(rows), f"{place}/bronze", f"{place}/c1", trigger=ONCE).awaitTermination()
     bronze = tables.parquet_stream(spark, f"{place}/bronze", schemas.BRONZE)
-    ingest.start_silver(bronze, f"{place}/silver", f"{place}/c2", ONCE).awaitTermination()
+    ingest.start_silver(bronze, f"{place}/silver", f"{place}/c2", trigger=ONCE).awaitTermination()
     done = tables.parquet_rows(spark, f"{place}/silver", schemas.SILVER)
     return done.select("symbol", "price", "source", "event_time")
 

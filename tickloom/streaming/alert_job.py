@@ -40,7 +40,9 @@ from tickloom.sources.tables import parquet_rows, time_range
 # Versions of the state live in a few folders used in turn, so they do not pile up.
 STATE_SLOTS = 4
 
-_VERSIONED_STATE = T.StructType([*schemas.STATE.fields, T.StructField("version", T.LongType())])
+_VERSIONED_STATE = T.StructType(
+    [*schemas.STATE.fields, T.StructField("version", T.LongType()), T.StructField("slot", T.IntegerType())]
+)
 
 BATCH_STATS = T.StructType(
     [
@@ -136,8 +138,10 @@ def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     """The newest state version older than ``batch_id``; empty on a fresh start."""
     versions = parquet_rows(spark, path, _VERSIONED_STATE).filter(F.col("version") < batch_id)
     newest = versions.agg(F.max("version")).first()[0]
-    rows = versions.filter(F.col("version") == newest) if newest is not None else versions
-    return rows.drop("version")
+    if newest is not None:
+        # By slot first: files of the slot about to be replaced must not be part of the plan.
+        versions = versions.filter((F.col("slot") == newest % STATE_SLOTS) & (F.col("version") == newest))
+    return versions.drop("version", "slot")
 
 
 def alert_writer(
@@ -156,6 +160,8 @@ def alert_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # Read once from the source; lost pieces are computed again.
+        batch = batch.persist()
         before = state_before(spark, f"{root}/state", batch_id)
         result = alert_batch(batch, before, settings, clock, tie, now, rows_per_slice)
         part = f"batch_id={batch_id}"
@@ -165,6 +171,7 @@ def alert_writer(
         replace_part(result.stats, f"{root}/batch_stats", part)
         version = result.state.withColumn("version", F.lit(batch_id).cast("bigint"))
         replace_part(version, f"{root}/state", f"slot={batch_id % STATE_SLOTS}")
+        batch.unpersist()
 
     return write
 

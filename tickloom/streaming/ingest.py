@@ -40,11 +40,23 @@ EVERY_MINUTE = {"processingTime": "1 minute"}
 
 
 def start_append(
-    rows: DataFrame, path: str, checkpoint: str, time: str = "event_time", trigger: dict = EVERY_MINUTE
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    time: str = "event_time",
+    trigger: dict = EVERY_MINUTE,
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a Parquet folder by day."""
+    """Append a stream to a Parquet folder by day.
+
+    ``files`` spreads each batch evenly over that many writers, and so files per day; without it
+    every task writes its own.
+    """
+    dated = with_day(rows, time)
+    if files is not None:
+        dated = dated.repartition(files)
     return (
-        _writer(with_day(rows, time), checkpoint, trigger)
+        _writer(dated, checkpoint, trigger)
         .format("parquet")
         .partitionBy(DAY_OF[time])
         .option("path", path)
@@ -64,12 +76,12 @@ def start_kafka(records: DataFrame, options: dict[str, str], checkpoint: str, tr
     return _writer(records, checkpoint, trigger).format("kafka").options(**options).start()
 
 
-def start_bronze(records: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_MINUTE) -> StreamingQuery:
-    return start_append(bronze_ticks(records), path, checkpoint, trigger=trigger)
+def start_bronze(records: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    return start_append(bronze_ticks(records), path, checkpoint, **options)
 
 
-def start_silver(bronze: DataFrame, path: str, checkpoint: str, trigger: dict = EVERY_MINUTE) -> StreamingQuery:
-    return start_append(silver_ticks(bronze), path, checkpoint, trigger=trigger)
+def start_silver(bronze: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    return start_append(silver_ticks(bronze), path, checkpoint, **options)
 
 
 def start_silver_again(
