@@ -51,7 +51,6 @@ def outlier_flags(
     tie: Sequence[str] = ("tick_id",),
     last_accepted: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    fits: bool = False,
 ) -> DataFrame:
     """Every priced tick with ``accepted``: within the limit of the last accepted price of its symbol.
 
@@ -64,21 +63,18 @@ def outlier_flags(
     seeds = last_accepted
     if seeds is not None:
         seeds = seeds.select("symbol", F.lit(0).cast("bigint").alias("seed_t"), F.col("price").alias("seed_v"))
-    timed = ticks.filter(F.col("price").isNotNull()).withColumn("_us", F.unix_micros(F.col(clock)))
     flagged = gate(
-        timed,
+        ticks.filter(F.col("price").isNotNull()),
         ["symbol"],
         [clock, *tie],
         Band(),
-        "_us",
-        "price",
-        limit,
-        seeds,
+        v="price",
+        limit=limit,
+        seeds=seeds,
         keep_all=True,
         rows_per_slice=rows_per_slice,
-        fits=fits,
     )
-    return flagged.withColumnRenamed(PASSED, "accepted").drop("_us")
+    return flagged.withColumnRenamed(PASSED, "accepted")
 
 
 def without_outliers(ticks: DataFrame, settings: OutlierSettings = OutlierSettings(), **options) -> DataFrame:

@@ -13,8 +13,7 @@ from tickloom.functions import fixed
 from tickloom.functions.measures import percent_change
 from tickloom.functions.text import number_list_text, number_text
 from tickloom.operators.gate import Cooldown, gate
-from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, Sliced, slice_rows, with_earlier_rows
-from tickloom.plans.lineage import cut_lineage
+from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, SLICE, Sliced, slice_rows, with_earlier_rows
 
 # Order of remembered rows (negative) before the rows of a batch (0).
 TURN = "_turn"
@@ -73,68 +72,54 @@ def with_signals(sliced: Sliced, settings: SignalSettings = SignalSettings()) ->
         .withColumn("change_percent", F.round(percent_change(price[0], price[1]), 3))
         .withColumn("trend", trend)
         .withColumn("spike", F.when(is_spike, direction))
-        .withColumn("prices", F.when(F.col("trend").isNotNull(), F.array(*reversed(price[:n]))))
-        .drop(CARRIED, *[f"_price_{k}" for k in range(1, depth + 1)])
+        .drop(CARRIED)
     )
 
 
 def signal_candidates(signals: DataFrame) -> DataFrame:
     """One row per spike and per trend, before the cooldown."""
-    spike = F.struct(
-        F.col("spike").alias("alert_type"),
-        F.col("change_percent"),
-        F.col("previous_price"),
-        F.lit(None).cast("array<double>").alias("prices"),
-    )
-    trend = F.struct(
-        F.col("trend").alias("alert_type"),
-        F.lit(None).cast("double").alias("change_percent"),
-        F.lit(None).cast("double").alias("previous_price"),
-        F.col("prices"),
-    )
-    base = [c for c in signals.columns if c not in ("previous_price", "change_percent", "spike", "trend", "prices")]
-    found = F.array_compact(F.array(F.when(F.col("spike").isNotNull(), spike), F.when(F.col("trend").isNotNull(), trend)))
     return (
         signals.filter(F.col("spike").isNotNull() | F.col("trend").isNotNull())
-        .select(*base, F.explode(found).alias("_found"))
-        .select(*base, "_found.*")
-    )
-
-
-def worded(fired: DataFrame) -> DataFrame:
-    """Numbers of fired signals as text, with the message; candidates that stay silent cost none."""
-    is_spike = F.col("alert_type").isin(fixed.SPIKE_UP, fixed.SPIKE_DOWN)
-    moved = F.concat(F.lit("Price moved "), number_text("change_percent"), F.lit("%"))
-    return fired.withColumns(
-        {
-            "message": F.when(is_spike, moved).otherwise(F.concat(F.initcap("alert_type"), F.lit(" detected"))),
-            "previous_price": number_text("previous_price"),
-            "prices": number_list_text("prices"),
-        }
+        .withColumn("alert_type", F.explode(F.array_compact(F.array("spike", "trend"))))
+        .drop("spike", "trend", "previous_price", "change_percent")
     )
 
 
-def with_cooldown(
-    candidates: DataFrame,
-    cooldown_seconds: float,
-    order: Sequence[str],
+def fired_signals(
+    sliced: Sliced,
+    settings: SignalSettings = SignalSettings(),
     clock: str = "event_time",
     last_alerts: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-    fits: bool = False,
 ) -> DataFrame:
     """Candidates that fire: more than the cooldown after the last one fired, per symbol and type."""
-    timed = candidates.withColumn("_us", F.unix_micros(F.col(clock)))
+    candidates = signal_candidates(with_signals(sliced, settings))
     return gate(
-        timed,
+        candidates,
         ["symbol", "alert_type"],
-        order,
-        Cooldown(cooldown_seconds),
-        "_us",
+        sliced.order,
+        Cooldown(settings.cooldown_seconds),
+        clock,
         seeds=last_alerts,
-        rows_per_slice=rows_per_slice,
-        fits=fits,
-    ).drop("_us")
+        returned=[c for c in candidates.columns if c not in (TURN, SLICE)],
+        sliced=sliced,
+    )
+
+
+def worded(fired: DataFrame, settings: SignalSettings = SignalSettings()) -> DataFrame:
+    """Figures and text of fired signals; candidates that stay silent cost none."""
+    is_spike = F.col("alert_type").isin(fixed.SPIKE_UP, fixed.SPIKE_DOWN)
+    earlier = [c for c in fired.columns if c.startswith("_price_")]
+    change = F.round(percent_change(F.col("price"), F.col("_price_1")), 3)
+    run = F.array(*[F.col(f"_price_{k}") for k in range(settings.trend_count - 1, 0, -1)], F.col("price"))
+    moved = F.concat(F.lit("Price moved "), number_text("change_percent"), F.lit("%"))
+    return (
+        fired.withColumn("change_percent", F.when(is_spike, change))
+        .withColumn("message", F.when(is_spike, moved).otherwise(F.concat(F.initcap("alert_type"), F.lit(" detected"))))
+        .withColumn("previous_price", F.when(is_spike, number_text("_price_1")))
+        .withColumn("_run", F.when(~is_spike, run))
+        .withColumn("prices", number_list_text("_run"))
+        .drop("_run", *earlier)
+    )
 
 
 def signal_alerts(
@@ -146,23 +131,9 @@ def signal_alerts(
     last_alerts: DataFrame | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Spikes and trends that fire. The last two arguments continue an earlier batch."""
+    """Spikes and trends that fire. ``history`` and ``last_alerts`` continue an earlier batch."""
     sliced = ordered_ticks(ticks, clock, tie, history, rows_per_slice)
-    candidates = signal_candidates(with_signals(sliced, settings))
-    if sliced.split:
-        # The gate looks at large keys several times: keep the (few) candidates, not the windows.
-        candidates = cut_lineage(candidates)
-    # At most one candidate per tick and type: keys of candidates are no larger than symbols.
-    fired = with_cooldown(
-        candidates,
-        settings.cooldown_seconds,
-        [TURN, clock, *tie],
-        clock,
-        last_alerts,
-        rows_per_slice,
-        fits=not sliced.split,
-    )
-    return worded(fired).drop(TURN, "_slice")
+    return worded(fired_signals(sliced, settings, clock, last_alerts), settings)
 
 
 def last_prices(sliced: Sliced, count: int) -> DataFrame:

@@ -13,8 +13,7 @@ from tickloom.functions.measures import expected_local
 from tickloom.functions.text import number_text
 from tickloom.operators.detect import TURN, usable
 from tickloom.operators.gate import Cooldown, gate
-from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, Sliced, last_known, slice_rows
-from tickloom.plans.lineage import cut_lineage
+from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, SLICE, Sliced, last_known, slice_rows
 
 _LEGS = ("global_leg", "rate_leg", "local_leg")
 
@@ -84,45 +83,52 @@ def fresh_legs(gaps: DataFrame, settings: GapSettings = GapSettings()) -> DataFr
     )
 
 
-def gap_candidates(gaps: DataFrame, settings: GapSettings = GapSettings()) -> DataFrame:
-    """Gaps at or above the threshold, before the cooldown."""
-    wide = fresh_legs(gaps, settings).filter(F.col("gap") >= settings.threshold)
-    if CARRIED in wide.columns:
-        wide = wide.filter(~F.col(CARRIED)).drop(CARRIED)
-    return wide.withColumns(
-        {
-            "symbol": F.lit(settings.alert_symbol),
-            "alert_type": F.lit(fixed.GOLD_GAP),
-            "global_age_sec": F.floor(F.col("global_age_us") / 1_000_000).cast("bigint"),
-            "local_age_sec": F.floor(F.col("local_age_us") / 1_000_000).cast("bigint"),
-        }
+def gap_candidates(
+    gaps: DataFrame, settings: GapSettings = GapSettings(), order: Sequence[str] = ()
+) -> DataFrame:
+    """Gaps at or above the threshold, before the cooldown. Columns of ``order`` always stay."""
+    spent = ("symbol", "price", "global_us", "rate_us", "local_us", "global_age_us", "local_age_us")
+    return (
+        fresh_legs(gaps, settings)
+        .filter((F.col("gap") >= settings.threshold) & ~F.col(CARRIED))
+        .withColumn("global_age_sec", F.floor(F.col("global_age_us") / 1_000_000).cast("bigint"))
+        .withColumn("local_age_sec", F.floor(F.col("local_age_us") / 1_000_000).cast("bigint"))
+        .drop(CARRIED, *[c for c in spent if c not in order])
     )
 
 
-def with_gap_cooldown(
-    candidates: DataFrame,
+def fired_gaps(
+    sliced: Sliced,
     settings: GapSettings = GapSettings(),
-    order: Sequence[str] = (TURN, "event_time", "tick_id"),
     clock: str = "event_time",
     last_alerts: DataFrame | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
-    fits: bool = False,
 ) -> DataFrame:
     """Gaps that fire: after the cooldown, or when the gap moved by ``min_change`` since the last one."""
-    timed = candidates.withColumn("_us", F.unix_micros(F.col(clock)))
+    gaps = with_gap(with_legs(sliced, settings, clock), settings, clock)
+    candidates = gap_candidates(gaps, settings, sliced.order)
+    one = F.lit(0).alias("_one")
+    if last_alerts is not None:
+        last_alerts = last_alerts.filter(F.col("alert_type") == fixed.GOLD_GAP).select(one, "seed_t", "seed_v")
+    # The expected price follows from the three legs: it is worked out again for the few that fire.
     fired = gate(
-        timed,
-        ["symbol", "alert_type"],
-        order,
+        candidates.select("*", one),
+        ["_one"],
+        sliced.order,
         Cooldown(settings.cooldown_seconds, at_exactly=True, min_change=settings.min_change),
-        "_us",
+        clock,
         "gap",
         seeds=last_alerts,
-        rows_per_slice=rows_per_slice,
-        fits=fits,
+        returned=[c for c in candidates.columns if c not in (TURN, SLICE, "expected")],
+        sliced=sliced,
+    )
+    return fired.withColumns(
+        {
+            "symbol": F.lit(settings.alert_symbol),
+            "alert_type": F.lit(fixed.GOLD_GAP),
+            "expected": expected_local(F.col("global_price"), F.col("rate_price"), settings),
+            "message": F.concat(F.lit("Gold gap detected ("), number_text("gap"), F.lit(" EGP)")),
+        }
     )
-    text = F.concat(F.lit("Gold gap detected ("), number_text("gap"), F.lit(" EGP)"))
-    return fired.withColumn("message", text).drop("_us")
 
 
 def gap_alerts(
@@ -135,13 +141,7 @@ def gap_alerts(
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Gap alerts that fire. ``legs`` and ``last_alerts`` continue an earlier batch."""
-    sliced = leg_ticks(ticks, settings, clock, tie, legs, rows_per_slice)
-    candidates = gap_candidates(with_gap(with_legs(sliced, settings, clock), settings, clock), settings)
-    if sliced.split:
-        candidates = cut_lineage(candidates)
-    return with_gap_cooldown(
-        candidates, settings, [TURN, clock, *tie], clock, last_alerts, rows_per_slice, fits=not sliced.split
-    ).drop(TURN, "_slice")
+    return fired_gaps(leg_ticks(ticks, settings, clock, tie, legs, rows_per_slice), settings, clock, last_alerts)
 
 
 def last_legs(sliced: Sliced, clock: str = "event_time") -> DataFrame:

@@ -13,7 +13,8 @@ Keys too large for one task are walked slice by slice, exactly and in parallel:
    key, and the last passed row is then handed back down, which tells each slice where it starts;
 3. the scan runs on all slices at once, each from its own start.
 
-Only summaries travel between slices, and the hand-over is at most two rows per slice.
+Only summaries of keys that span slices travel, and the hand-over is one row per slice and key that
+goes on into it. Arrow carries just the columns asked for.
 """
 
 from __future__ import annotations
@@ -25,23 +26,24 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tickloom.operators.slices import ROWS_PER_SLICE, SLICE, slice_rows
+from tickloom.operators.slices import ROWS_PER_SLICE, SLICE, Sliced, slice_rows
 from tickloom.plans.lineage import cut_lineage
 
 PASSED = "_passed"
 FAN_IN = 16
 
-# What a rule sees of a row: a time in microseconds, a value and a limit for that row.
-_SEEN = ("_t", "_v", "_limit")
 
 
 @dataclass
 class Walk:
-    """Consecutive rows of one key."""
+    """Consecutive rows of one key: what a rule sees of a row is a time in microseconds, a value and
+    a limit."""
 
     t: np.ndarray
     v: np.ndarray
@@ -325,6 +327,31 @@ def _hand_down(rule, group: pd.DataFrame) -> pd.DataFrame:
 # --- the operator ----------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class _Names:
+    """Columns of the scanned batches: what makes a run, and what the rule sees."""
+
+    run: tuple[str, ...]
+    t: str | None
+    v: str | None
+    limit: str | None
+
+
+def _numbers(batch: pa.RecordBatch, name: str | None, kind: pa.DataType, otherwise: np.ndarray) -> np.ndarray:
+    if name is None:
+        return otherwise
+    return pc.fill_null(batch.column(name).cast(kind), 0).to_numpy(zero_copy_only=False)
+
+
+def _walk_of(batch: pa.RecordBatch, names: _Names) -> Walk:
+    zeros = np.zeros(batch.num_rows)
+    return Walk(
+        _numbers(batch, names.t, pa.int64(), zeros.astype(np.int64)),
+        _numbers(batch, names.v, pa.float64(), zeros),
+        _numbers(batch, names.limit, pa.float64(), zeros),
+    )
+
+
 def _runs(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple[int, int, tuple]]:
     """Stretches of equal keys in a sorted batch: (start, stop, key)."""
     changed = np.zeros(batch.num_rows, dtype=bool)
@@ -341,74 +368,56 @@ def _runs(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple[int, int, t
     ]
 
 
-def _walk_of(batch: pa.RecordBatch) -> Walk:
-    t, v, limit = (batch.column(name).to_numpy(zero_copy_only=False) for name in _SEEN)
-    return Walk(t, v, limit)
-
-
 def _pair(batch: pa.RecordBatch, i: int, t_name: str, v_name: str) -> tuple[int, float] | None:
+    if t_name not in batch.schema.names:
+        return None
     t = batch.column(t_name)[i].as_py()
     return None if t is None else (t, batch.column(v_name)[i].as_py())
 
 
-def _scanner(rule, keys: Sequence[str], keep_all: bool):
+def _scanner(rule, names: _Names, returned: Sequence[str], keep_all: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, last = None, None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            rows = _walk_of(batch)
+            rows = _walk_of(batch, names)
             passed = np.zeros(batch.num_rows, dtype=bool)
-            for start, stop, key in _runs(batch, keys):
+            for start, stop, key in _runs(batch, names.run):
                 if key != current:
                     current = key
                     last = _pair(batch, start, "_before_t", "_before_v")
                 passed[start:stop], last = walk(rule, rows.part(start, stop), last)
-            out = batch.append_column(PASSED, pa.array(passed))
-            yield out if keep_all else out.filter(pa.array(passed))
+            out, mask = batch.select(returned), pa.array(passed)
+            yield out.append_column(PASSED, mask) if keep_all else out.filter(mask)
 
     return scan
 
 
-def _summariser(rule, keys: Sequence[str], schema: T.StructType):
-    names = schema.names
-
+def _summariser(rule, names: _Names, schema: T.StructType):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Only the first and the last key of a slice can go on in a neighbour.
-        first, held = True, None
+        held = None
 
         def finish():
-            node, key, seed, pieces = held
+            key, seed, pieces = held
             rows = Walk(*(np.concatenate(column) for column in zip(*pieces)))
-            frame = _summarise_slice(rule, node, rows, seed)
-            for name, value in zip(keys, key):
+            frame = _summarise_slice(rule, key[0], rows, seed)
+            for name, value in zip(names.run[1:], key[1:]):
                 frame[name] = value
-            return pa.RecordBatch.from_pandas(frame[names], schema=target, preserve_index=False)
+            return pa.RecordBatch.from_pandas(frame[schema.names], schema=target, preserve_index=False)
 
-        target = None
+        target = to_arrow_schema(schema)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            if target is None:
-                own = {f.name: f for f in batch.schema}
-                summary = {
-                    "_node": pa.int32(), "_at": pa.int64(), "_t": pa.int64(), "_v": pa.float64(),
-                    "_limit": pa.float64(), "_exit_t": pa.int64(), "_exit_v": pa.float64(),
-                    "_seed_t": pa.int64(), "_seed_v": pa.float64(),
-                }
-                target = pa.schema([pa.field(n, summary[n] if n in summary else own[n].type) for n in names])
-            rows = _walk_of(batch)
-            for start, stop, key in _runs(batch, keys):
+            rows = _walk_of(batch, names)
+            for start, stop, key in _runs(batch, names.run):
                 part = rows.part(start, stop)
-                piece = (part.t, part.v, part.limit)
-                if held is not None and held[1] == key:
-                    held[3].append(piece)
-                    continue
-                if held is not None and first:
-                    yield finish()
-                    first = False
-                node = batch.column(SLICE)[start].as_py()
-                held = (node, key, _pair(batch, start, "_seed_t", "_seed_v"), [piece])
+                if held is None or held[0] != key:
+                    if held is not None:
+                        yield finish()
+                    held = (key, _pair(batch, start, "_seed_t", "_seed_v"), [])
+                held[2].append((part.t, part.v, part.limit))
         if held is not None:
             yield finish()
 
@@ -420,70 +429,82 @@ def gate(
     keys: Sequence[str],
     order: Sequence[str],
     rule,
-    t: str,
+    t: str | None = None,
     v: str | None = None,
-    limit=None,
+    limit: Column | None = None,
     seeds: DataFrame | None = None,
+    returned: Sequence[str] | None = None,
     keep_all: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
-    fits: bool = False,
+    sliced: Sliced | None = None,
 ) -> DataFrame:
     """The rows that pass ``rule`` walking each key in order.
 
-    At least one key is needed; use a constant column for a single sequence.
-    ``t`` names a BIGINT column of microseconds, ``v`` a DOUBLE column, ``limit`` is a column the
-    rule compares with. ``seeds`` (keys, seed_t, seed_v) holds the last passed row of an earlier
-    batch. With ``keep_all`` every row comes back, with a boolean ``_passed``.
+    At least one key is needed; use a constant column for a single sequence. ``t`` names a time or
+    BIGINT column of microseconds, ``v`` a DOUBLE column, ``limit`` is a column the rule compares
+    with. ``seeds`` (keys, seed_t, seed_v) holds the last passed row of an earlier batch.
+    ``returned`` lists the columns wanted back, all by default; with ``keep_all`` every row comes
+    back, with a boolean ``_passed``. ``sliced`` is the layout ``rows`` were computed from, if they
+    were: keyed by leading columns of ``keys`` and in the same order.
     """
-    seen = rows.withColumns(
-        {
-            "_t": F.coalesce(F.col(t), F.lit(0).cast("bigint")),
-            "_v": F.col(v).cast("double") if v else F.lit(0.0),
-            "_limit": (limit if limit is not None else F.lit(0.0)).cast("double"),
-        }
-    )
-    if seeds is None:
-        seen = seen.withColumns(
-            {"_seed_t": F.lit(None).cast("bigint"), "_seed_v": F.lit(None).cast("double")}
-        )
-    else:
+    keys = list(keys)
+    returned = list(returned or [c for c in rows.columns if c != SLICE])
+    if limit is not None:
+        rows = rows.withColumn("_limit", limit.cast("double"))
+    if seeds is not None:
         named = seeds.select(
             *[F.col(k).alias(f"_key_{k}") for k in keys],
             F.col("seed_t").alias("_seed_t"),
             F.col("seed_v").alias("_seed_v"),
         )
-        same = reduce(lambda a, b: a & b, [seen[k].eqNullSafe(named[f"_key_{k}"]) for k in keys])
-        seen = seen.join(named, same, "left").drop(*[f"_key_{k}" for k in keys])
-
-    sliced = slice_rows(seen, keys, order, rows_per_slice, fits)
+        rows = rows.join(named, _same(rows, named, keys), "left").drop(*[f"_key_{k}" for k in keys])
+    if sliced is None:
+        sliced = slice_rows(rows, keys, order, rows_per_slice)
+        rows = sliced.rows
+    elif sliced.split:
+        if seeds is not None:
+            # That join may have scattered the rows of a slice: a scan needs them together.
+            rows = rows.repartition(SLICE, *keys)
+        # Seen more than once below: keep the rows, not the windows that made them.
+        rows = cut_lineage(rows)
     if sliced.split:
-        ready = _with_starts(sliced.rows, keys, rule, sliced.count)
+        names = _Names((SLICE, *keys), t, v, None if limit is None else "_limit")
+        rows = _with_starts(rows, sliced, keys, order, rule, names)
     else:
-        ready = sliced.rows.repartition(*keys).withColumns({"_before_t": F.col("_seed_t"), "_before_v": F.col("_seed_v")})
-    ready = ready.sortWithinPartitions(*keys, *order)
-    out_schema = T.StructType([*ready.schema.fields, T.StructField(PASSED, T.BooleanType())])
-    scanned = ready.mapInArrow(_scanner(rule, list(keys), keep_all), out_schema)
-    extra = {*_SEEN, "_seed_t", "_seed_v", "_before_t", "_before_v", SLICE} - set(rows.columns)
-    if not keep_all:
-        extra.add(PASSED)
-    return scanned.drop(*extra)
-
-
-def _with_starts(laid: DataFrame, keys: Sequence[str], rule, count: int) -> DataFrame:
-    """Add the last passed row before each slice, for the key that goes on into it."""
-    keys = list(keys)
-    key_fields = [laid.schema[k] for k in keys]
+        names = _Names(tuple(keys), t, v, None if limit is None else "_limit")
+        rows = rows.repartition(*keys)
+        if seeds is not None:
+            rows = rows.withColumns({"_before_t": F.col("_seed_t"), "_before_v": F.col("_seed_v")})
+    wanted = dict.fromkeys([*names.run, t, v, names.limit, "_before_t", "_before_v", *returned])
+    ready = rows.sortWithinPartitions(*names.run, *order).select(*[c for c in wanted if c in rows.columns])
+    schema = T.StructType([ready.schema[c] for c in returned])
+    if keep_all:
+        schema = schema.add(PASSED, T.BooleanType())
+    return ready.mapInArrow(_scanner(rule, names, returned, keep_all), schema)
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: Column) -> Column:
+    return reduce(lambda a, b: a & b, [*[left[k].eqNullSafe(right[f"_key_{k}"]) for k in keys], *more])
+
+
+def _with_starts(
+    rows: DataFrame, sliced: Sliced, keys: Sequence[str], order: Sequence[str], rule, names: _Names
+) -> DataFrame:
+    """Add the last passed row before each slice, for keys that go on into it."""
+    key_fields = [rows.schema[k] for k in keys]
     schema = T.StructType([*key_fields, *_SUMMARY.fields])
-    narrow = laid.select(*keys, SLICE, *_SEEN, "_seed_t", "_seed_v")
-    levels = [cut_lineage(narrow.mapInArrow(_summariser(rule, keys, schema), schema))]
-    width = count
+    seen = [SLICE, *keys, names.t, names.v, names.limit, "_seed_t", "_seed_v"]
+    narrow = (
+        sliced.spanning_rows(rows)
+        .sortWithinPartitions(SLICE, *keys, *order)
+        .select(*[c for c in dict.fromkeys(seen) if c in rows.columns])
+    )
+    levels = [cut_lineage(narrow.mapInArrow(_summariser(rule, names, schema), schema))]
+    width = sliced.count
     while width > 1:
         width = -(-width // FAN_IN)
-        levels.append(
-            cut_lineage(
-                _by_parent(levels[-1], keys).applyInPandas(_keyed(_compose, rule, keys, schema.names), schema)
-            )
-        )
+        composed = _by_parent(levels[-1], keys).applyInPandas(_keyed(_compose, rule, keys, schema.names), schema)
+        levels.append(cut_lineage(composed))
     # The top has one node per key and nothing before it.
     start_schema = T.StructType(
         [
@@ -501,44 +522,24 @@ def _with_starts(laid: DataFrame, keys: Sequence[str], rule, count: int) -> Data
     )
     for level in reversed(levels[:-1]):
         above = starts.select(
-            *[F.col(k).alias(f"_key_{k}") for k in keys],
-            F.col("_node").alias("_parent"),
-            "_before_t",
-            "_before_v",
+            *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_parent"), "_before_t", "_before_v"
         )
-        same = reduce(
-            lambda a, b: a & b,
-            [level[k].eqNullSafe(above[f"_key_{k}"]) for k in keys],
-            F.floor(level["_node"] / FAN_IN) == above["_parent"],
-        )
-        joined = level.join(above, same).drop("_parent", *[f"_key_{k}" for k in keys])
+        inside = F.floor(level["_node"] / FAN_IN) == above["_parent"]
+        joined = level.join(above, _same(level, above, keys, inside)).drop("_parent", *[f"_key_{k}" for k in keys])
         starts = _by_parent(joined, keys).applyInPandas(
             _keyed(_hand_down, rule, keys, start_schema.names), start_schema
         )
-    # Only the first and the last key of a slice have a summary: two rows per slice at most, so
-    # the broadcast is bounded by the number of slices.
-    handed = cut_lineage(starts.filter(F.col("_before_t").isNotNull()))
-    handed = handed.select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys],
-        F.col("_node").alias("_to"),
-        F.col("_before_t").alias("_handed_t"),
-        F.col("_before_v").alias("_handed_v"),
-    )
-    same = reduce(
-        lambda a, b: a & b,
-        [laid[k].eqNullSafe(handed[f"_key_{k}"]) for k in keys],
-        laid[SLICE] == handed["_to"],
+    # Spanning keys of the layout are fewer than its slices, so this broadcast is bounded by the
+    # number of slices.
+    handed = cut_lineage(starts.filter(F.col("_before_t").isNotNull())).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_to"), "_before_t", "_before_v"
     )
-    return (
-        laid.join(F.broadcast(handed), same, "left")
-        .withColumns(
-            {
-                "_before_t": F.coalesce("_handed_t", "_seed_t"),
-                "_before_v": F.coalesce("_handed_v", "_seed_v"),
-            }
+    found = rows.join(F.broadcast(handed), _same(rows, handed, keys, rows[SLICE] == handed["_to"]), "left")
+    if "_seed_t" in rows.columns:
+        found = found.withColumns(
+            {"_before_t": F.coalesce("_before_t", "_seed_t"), "_before_v": F.coalesce("_before_v", "_seed_v")}
         )
-        .drop("_to", "_handed_t", "_handed_v", *[f"_key_{k}" for k in keys])
-    )
+    return found.drop("_to", *[f"_key_{k}" for k in keys])
 
 
 def _by_parent(level: DataFrame, keys: Sequence[str]):

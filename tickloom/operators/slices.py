@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -35,13 +36,23 @@ class Sliced:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     count: int
-    rows_per_slice: int
+    # Keys with rows in several slices. Each border between slices splits one key at most, so there
+    # are fewer of them than slices.
+    spanning: DataFrame | None = None
 
     @property
     def split(self) -> bool:
         """Whether a key may continue from one slice into the next."""
         return self.count > 1
 
+    def spanning_rows(self, rows: DataFrame) -> DataFrame:
+        """Those of ``rows`` whose key spans slices."""
+        if not self.keys:
+            return rows
+        named = self.spanning.select(*[F.col(k).alias(f"_key_{k}") for k in self.keys])
+        same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(named[f"_key_{k}"]) for k in self.keys])
+        return rows.join(F.broadcast(named), same, "left_semi")
+
     def window(self) -> WindowSpec:
         parts = [*self.keys, SLICE] if self.split else (list(self.keys) or [SLICE])
         return Window.partitionBy(*parts).orderBy(*self.order)
@@ -52,23 +63,24 @@ def slice_rows(
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
-    fits: bool = False,
 ) -> Sliced:
-    """Give every row a slice. ``fits`` skips the size check where a bound is already proven."""
-    if not fits:
-        largest, total = _sizes(rows, keys)
-        fits = largest <= rows_per_slice
-    if fits:
-        return Sliced(rows.withColumn(SLICE, F.lit(0)), tuple(keys), tuple(order), 1, rows_per_slice)
+    """Give every row a slice."""
+    largest, total = _sizes(rows, keys)
+    if largest <= rows_per_slice:
+        return Sliced(rows.withColumn(SLICE, F.lit(0)), tuple(keys), tuple(order), 1)
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Twice as many as needed: range bounds come from a sample and are not exact.
     count = max(width, math.ceil(2 * total / rows_per_slice))
-    laid = (
+    laid = cut_lineage(
         rows.repartitionByRange(count, *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn(SLICE, F.spark_partition_id())
     )
-    return Sliced(cut_lineage(laid), tuple(keys), tuple(order), count, rows_per_slice)
+    spanning = None
+    if keys:
+        spread = laid.groupBy(*keys).agg(F.min(SLICE).alias("_first"), F.max(SLICE).alias("_last"))
+        spanning = cut_lineage(spread.filter(F.col("_first") < F.col("_last")).select(*keys))
+    return Sliced(laid, tuple(keys), tuple(order), count, spanning)
 
 
 def _sizes(rows: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -93,7 +105,8 @@ def with_earlier_rows(sliced: Sliced, depth: int) -> DataFrame:
     newest_first = Window.partitionBy(*keys, SLICE).orderBy(*[F.col(c).desc() for c in sliced.order])
     # At most `depth` rows per (key, slice) leave a task: Spark limits the groups before the shuffle.
     tails = (
-        rows.withColumn("_back", F.row_number().over(newest_first))
+        sliced.spanning_rows(rows)
+        .withColumn("_back", F.row_number().over(newest_first))
         .filter(F.col("_back") <= depth)
         .groupBy(*keys, SLICE)
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("_at"), *columns))).alias("_tail"))
@@ -120,7 +133,7 @@ def last_known(sliced: Sliced, values: dict[str, Column]) -> DataFrame:
         return rows.withColumns(inside)
     keys = list(sliced.keys)
     place = F.struct(*sliced.order)
-    per_slice = rows.groupBy(*keys, SLICE).agg(
+    per_slice = sliced.spanning_rows(rows).groupBy(*keys, SLICE).agg(
         *[F.max_by(v, F.when(v.isNotNull(), place)).alias(name) for name, v in values.items()]
     )
     # One entry per (key, slice), however many rows the slices hold.
@@ -130,7 +143,9 @@ def last_known(sliced: Sliced, values: dict[str, Column]) -> DataFrame:
         SLICE,
         *[F.last(name, ignorenulls=True).over(earlier).alias(f"_before_{name}") for name in values],
     )
-    found = rows.withColumns(inside).join(before, [*keys, SLICE], "left")
+    # At most one key goes on into a slice: as many entries as slices, so they are broadcast.
+    known = reduce(lambda a, b: a | b, [F.col(f"_before_{name}").isNotNull() for name in values])
+    found = rows.withColumns(inside).join(F.broadcast(before.filter(known)), [*keys, SLICE], "left")
     return found.withColumns(
         {name: F.coalesce(name, f"_before_{name}") for name in values}
     ).drop(*[f"_before_{name}" for name in values])

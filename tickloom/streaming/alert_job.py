@@ -20,16 +20,8 @@ from tickloom import schemas
 from tickloom.config import Settings
 from tickloom.operators import state as states
 from tickloom.operators.alerts import gap_alert_rows, signal_alert_rows
-from tickloom.operators.detect import (
-    TURN,
-    last_prices,
-    ordered_ticks,
-    signal_candidates,
-    with_cooldown,
-    with_signals,
-    worded,
-)
-from tickloom.operators.gap import gap_candidates, last_legs, leg_ticks, with_gap, with_gap_cooldown, with_legs
+from tickloom.operators.detect import fired_signals, last_prices, ordered_ticks, worded
+from tickloom.operators.gap import fired_gaps, last_legs, leg_ticks
 from tickloom.operators.slices import ROWS_PER_SLICE
 from tickloom.plans.lineage import cut_lineage
 from tickloom.plans.reports import batch_counts
@@ -89,38 +81,16 @@ def alert_batch(
 
     history = states.history_or_last_price(state)
     seeds = states.last_alert_state(state, settings.gap)
-    order = [TURN, clock, *tie]
 
     sliced = ordered_ticks(fresh, clock, tie, history, rows_per_slice)
-    candidates = signal_candidates(with_signals(sliced, settings.signals))
-    fired = worded(
-        with_cooldown(
-            cut_lineage(candidates) if sliced.split else candidates,
-            settings.signals.cooldown_seconds,
-            order,
-            clock,
-            seeds,
-            rows_per_slice,
-            fits=not sliced.split,
-        )
-    )
-
+    fired = worded(fired_signals(sliced, settings.signals, clock, seeds), settings.signals)
     legs = leg_ticks(fresh, settings.gap, clock, tie, states.leg_state(state), rows_per_slice)
-    gaps = gap_candidates(with_gap(with_legs(legs, settings.gap, clock), settings.gap, clock), settings.gap)
-    fired_gaps = with_gap_cooldown(
-        cut_lineage(gaps) if legs.split else gaps,
-        settings.gap,
-        order,
-        clock,
-        seeds,
-        rows_per_slice,
-        fits=not legs.split,
-    )
+    gaps = fired_gaps(legs, settings.gap, clock, seeds)
 
     # Alerts feed the table, the outbox, the state and the counts: computed once.
     alerts = cut_lineage(
         signal_alert_rows(fired, clock, tie, settings.severity).unionByName(
-            gap_alert_rows(fired_gaps, clock, tie, settings.severity)
+            gap_alert_rows(gaps, clock, tie, settings.severity)
         )
     )
     counts = batch_counts(fresh, alerts)
