@@ -33,7 +33,7 @@ def test_reports_on_empty_tables(spark):
     assert reports.latest_prices(silver).count() == 0 and reports.latest_prices(silver, "a").count() == 0
     assert reports.feed_ages(silver, NOW).count() == 0
     assert reports.recent_alert_count(alerts, NOW).first()["count"] == 0
-    assert tuple(reports.batch_counts(silver, alerts).first()) == (0, 0, None)
+    assert tuple(reports.batch_counts(silver, alerts).first()) == (0, 0, None, 0)
 
 
 @pytest.mark.parametrize(

@@ -106,18 +106,19 @@ def fired_gaps(
     """Gaps that fire: after the cooldown, or when the gap moved by ``min_change`` since the last one."""
     gaps = with_gap(with_legs(sliced, settings, clock), settings, clock)
     candidates = gap_candidates(gaps, settings, sliced.order)
-    one = F.lit(0).alias("_one")
+    seed = None
     if last_alerts is not None:
-        last_alerts = last_alerts.filter(F.col("alert_type") == fixed.GOLD_GAP).select(one, "seed_t", "seed_v")
+        # One sequence, one row of state: it becomes a literal.
+        seed = last_alerts.filter(F.col("alert_type") == fixed.GOLD_GAP).select("seed_t", "seed_v").first()
     # The expected price follows from the three legs: it is worked out again for the few that fire.
     fired = gate(
-        candidates.select("*", one),
+        candidates.withColumn("_one", F.lit(0)),
         ["_one"],
         sliced.order,
         Cooldown(settings.cooldown_seconds, at_exactly=True, min_change=settings.min_change),
         clock,
         "gap",
-        seeds=last_alerts,
+        seed=seed,
         returned=[c for c in candidates.columns if c not in (TURN, SLICE, "expected")],
         sliced=sliced,
     )

@@ -433,6 +433,7 @@ def gate(
     v: str | None = None,
     limit: Column | None = None,
     seeds: DataFrame | None = None,
+    seed: tuple[int, float] | None = None,
     returned: Sequence[str] | None = None,
     keep_all: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
@@ -442,7 +443,8 @@ def gate(
 
     At least one key is needed; use a constant column for a single sequence. ``t`` names a time or
     BIGINT column of microseconds, ``v`` a DOUBLE column, ``limit`` is a column the rule compares
-    with. ``seeds`` (keys, seed_t, seed_v) holds the last passed row of an earlier batch.
+    with. ``seeds`` (keys, seed_t, seed_v) holds the last passed row of an earlier batch per key,
+    ``seed`` that of a single sequence.
     ``returned`` lists the columns wanted back, all by default; with ``keep_all`` every row comes
     back, with a boolean ``_passed``. ``sliced`` is the layout ``rows`` were computed from, if they
     were: keyed by leading columns of ``keys`` and in the same order.
@@ -458,6 +460,8 @@ def gate(
             F.col("seed_v").alias("_seed_v"),
         )
         rows = rows.join(named, _same(rows, named, keys), "left").drop(*[f"_key_{k}" for k in keys])
+    elif seed is not None:
+        rows = rows.withColumns({"_seed_t": F.lit(seed[0]).cast("bigint"), "_seed_v": F.lit(float(seed[1]))})
     if sliced is None:
         sliced = slice_rows(rows, keys, order, rows_per_slice)
         rows = sliced.rows
@@ -473,7 +477,7 @@ def gate(
     else:
         names = _Names(tuple(keys), t, v, None if limit is None else "_limit")
         rows = rows.repartition(*keys)
-        if seeds is not None:
+        if "_seed_t" in rows.columns:
             rows = rows.withColumns({"_before_t": F.col("_seed_t"), "_before_v": F.col("_seed_v")})
     wanted = dict.fromkeys([*names.run, t, v, names.limit, "_before_t", "_before_v", *returned])
     ready = rows.sortWithinPartitions(*names.run, *order).select(*[c for c in wanted if c in rows.columns])

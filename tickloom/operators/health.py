@@ -63,9 +63,8 @@ def feed_checks(feeds: DataFrame, last: DataFrame, now=None) -> DataFrame:
     at = instant(now)
     limit = F.col("max_silence_seconds")
     symbol, age = F.col("symbol"), F.col("value")
-    # The feeds are the few rows of the settings; the last ticks are one row per symbol.
     joined = (
-        last.join(F.broadcast(feeds.withColumn("_feed", F.lit(True))), "symbol", "right")
+        feeds.join(last, "symbol", "left")
         .withColumn("value", seconds_between(F.col("last_seen"), at))
         .withColumn("status", F.when(age.isNull(), fixed.DEAD).otherwise(_graded(age, limit)))
     )
@@ -115,12 +114,14 @@ def health_report(
 ) -> DataFrame:
     """All checks (position, name, status, message, value): a few rows whatever the tables hold."""
     feeds = expected_feeds(silver.sparkSession, settings)
-    return feed_checks(feeds, last_ticks(silver), now).unionByName(lag_check(layer_lag(bronze, silver), settings))
+    # Only expected symbols are counted: as many rows as the settings have feeds.
+    last = F.broadcast(last_ticks(silver.filter(F.col("symbol").isin(*settings.max_silence_seconds))))
+    return feed_checks(feeds, last, now).unionByName(lag_check(layer_lag(bronze, silver), settings))
 
 
 def worst_of(status: Column) -> Column:
-    """Aggregate: DEAD over WARN over OK."""
-    return F.max_by(status, F.when(status == fixed.DEAD, 2).when(status == fixed.WARN, 1).otherwise(0))
+    """Aggregate: DEAD over WARN over OK; null without any status."""
+    return F.max_by(status, F.when(status == fixed.DEAD, 2).when(status == fixed.WARN, 1).when(status == fixed.OK, 0))
 
 
 def report_summary(checks: DataFrame) -> DataFrame:
@@ -158,12 +159,25 @@ def status_history_changes(reports: DataFrame, rows_per_slice: int = ROWS_PER_SL
     )
 
 
-def health_message(checks: DataFrame, now=None, zone: str = "Africa/Cairo") -> DataFrame:
-    """The whole report as one text: head, blank line, one line per check in report order."""
+def health_message(
+    checks: DataFrame, now=None, zone: str = "Africa/Cairo", changes: DataFrame | None = None
+) -> DataFrame:
+    """The whole report as one text: head, blank line, one line per check in report order.
+
+    With ``changes`` there is a message only if it has rows. A report is a handful of rows.
+    """
     at = instant(now)
+    rows = checks.withColumn("_changes", F.lit(1 if changes is None else 0))
+    if changes is not None:
+        rows = rows.unionByName(changes.select(F.lit(1).alias("_changes")), allowMissingColumns=True)
     line = F.struct("position", check_line(F.col("name"), F.col("status"), F.col("message")).alias("text"))
-    lines = F.transform(F.array_sort(F.collect_list(line)), lambda one: one["text"])
-    return checks.agg(worst_of(F.col("status")).alias("worst"), lines.alias("lines")).select(
+    lines = F.collect_list(F.when(F.col("position").isNotNull(), line))
+    report = rows.agg(
+        worst_of(F.col("status")).alias("worst"),
+        F.transform(F.array_sort(lines), lambda one: one["text"]).alias("lines"),
+        F.sum("_changes").alias("changes"),
+    )
+    return report.filter(F.col("changes") > 0).select(
         F.concat_ws(
             "\n",
             health_head(F.coalesce("worst", F.lit(fixed.OK)), at, zone),

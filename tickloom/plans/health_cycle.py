@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.config import Settings
@@ -44,15 +43,13 @@ def health_cycle(
     checks = health.health_report(bronze, silver, now, settings.health)
     before = previous if previous is not None else empty(spark, schemas.CHECKS)
     changes = health.status_changes(checks, before)
-    changed = changes.agg((F.count(F.lit(1)) > 0).alias("notify")).filter("notify")
     report_times = spark.range(1).select(at.alias("report_time"))
     return HealthCycle(
         checks=checks,
         summary=health.report_summary(checks),
         changes=changes,
         log_lines=health_log_rows(checks, at, zone),
-        # Both sides are one row at most.
-        message=health.health_message(checks, now, zone).join(changed, F.lit(True), "left_semi"),
+        message=health.health_message(checks, now, zone, changes),
         heartbeat=health.heartbeats(report_times, settings.health, zone, heartbeats_sent),
         row_counts=health.row_counts({"bronze": bronze, "silver": silver, "gold": gold}),
     )

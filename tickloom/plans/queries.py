@@ -434,7 +434,7 @@ def row_counts(spark, folder):
 
 @query
 def batch_counts(spark, folder):
-    return reports.batch_counts(silver(spark, folder), alerts(spark, folder))
+    return reports.batch_counts(silver(spark, folder), alerts(spark, folder)).drop("late_ticks")
 
 
 def _report(spark, folder):

@@ -125,14 +125,17 @@ def feed_ages(silver: DataFrame, now=None) -> DataFrame:
     return last_ticks(silver).withColumn("age_seconds", seconds_between(F.col("last_seen"), instant(now)))
 
 
-def batch_counts(ticks: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Ticks, alerts and newest event time of one batch."""
+def batch_counts(ticks: DataFrame, alerts: DataFrame, fresh: Column | None = None) -> DataFrame:
+    """Ticks, alerts and newest event time of one batch, and how many ticks were not ``fresh``."""
+    seen = F.coalesce(fresh, F.lit(False)) if fresh is not None else F.lit(True)
+    zero = F.lit(0)
     return (
-        ticks.select(F.lit(1).alias("t"), F.lit(0).alias("a"), "event_time")
-        .unionByName(alerts.select(F.lit(0).alias("t"), F.lit(1).alias("a"), F.lit(None).cast("timestamp").alias("event_time")))
+        ticks.select(seen.cast("int").alias("t"), (~seen).cast("int").alias("l"), zero.alias("a"), F.when(seen, F.col("event_time")).alias("at"))
+        .unionByName(alerts.select(zero.alias("t"), zero.alias("l"), F.lit(1).alias("a"), F.lit(None).cast("timestamp").alias("at")))
         .agg(
-            F.coalesce(F.sum("t"), F.lit(0)).alias("ticks"),
-            F.coalesce(F.sum("a"), F.lit(0)).alias("alerts"),
-            F.max("event_time").alias("high_water"),
+            F.coalesce(F.sum("t"), zero).alias("ticks"),
+            F.coalesce(F.sum("a"), zero).alias("alerts"),
+            F.max("at").alias("high_water"),
+            F.coalesce(F.sum("l"), zero).alias("late_ticks"),
         )
     )

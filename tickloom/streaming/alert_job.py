@@ -77,7 +77,6 @@ def alert_batch(
             hours=F.lit(settings.alert_job.lookback_hours)
         )
     fresh = time_range(ticks, "event_time", lower, strict=True)
-    late = ticks.agg(F.count(F.when(~F.coalesce(F.col("event_time") > lower, F.lit(False)), 1)).alias("late_ticks"))
 
     history = states.history_or_last_price(state)
     seeds = states.last_alert_state(state, settings.gap)
@@ -93,7 +92,7 @@ def alert_batch(
             gap_alert_rows(gaps, clock, tie, settings.severity)
         )
     )
-    counts = batch_counts(fresh, alerts)
+    counts = batch_counts(ticks, alerts, F.col("event_time") > lower)
     entries = (
         states.price_entries(last_prices(sliced, settings.signals.trend_count))
         .unionByName(states.leg_entries(last_legs(legs, clock)))
@@ -101,7 +100,7 @@ def alert_batch(
         .unionByName(states.processed_entry(counts))
         .withColumn("updated_at", F.current_timestamp())
     )
-    return BatchResult(alerts, upsert(state, entries), counts.join(late, how="full"))
+    return BatchResult(alerts, upsert(state, entries), counts)
 
 
 def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,13 @@ from tickloom.sinks.tables import with_day
 from tickloom.sources.quotes import parse_wire
 from tickloom.sources.tables import DAY_OF
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Streaming state of the session's queries in RocksDB: dedup keys need not fit the heap."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
 
 
 def bronze_ticks(records: DataFrame, shift_zone: str | None = None) -> DataFrame:
