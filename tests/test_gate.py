@@ -70,3 +70,34 @@ def test_gate_equals_a_loop(spark, case, rows_per_slice):
     got = gate(df, ["key"], ["t", "id"], rule, "t", "v", F.lit(pct), rows_per_slice=rows_per_slice)
     assert got.columns == ["key", "t", "id", "v"]
     assert {r.id for r in got.collect()} == greedy(rows, passes)
+
+
+def test_summaries_stay_short(spark):
+    """A steady value on a steady beat: the walk is known from few rows per slice."""
+    import numpy as np
+
+    from tickloom.operators.gate import Walk, _distinct_ends, exits
+
+    t = np.arange(20000, dtype=np.int64) * 10**6
+    rows = Walk(t, 100 + np.sin(t / 10**8), np.zeros(len(t)))
+    for rule in (Cooldown(300), Cooldown(300, True, 50.0)):
+        openers = rule.openers(rows)
+        ends = exits(rule, rows, openers)
+        inside = Walk(rows.t[openers], rows.v[openers], rows.limit[openers])
+        assert len(_distinct_ends(rule, inside, rows.t[ends], rows.v[ends])) <= 302
+    rows = Walk(t, 100 + np.sin(t / 10**8), np.full(len(t), 5.0))
+    # Each opener widens the band, so it is a new high or low.
+    high, low = np.maximum.accumulate(rows.v), np.minimum.accumulate(rows.v)
+    records = 1 + int(((rows.v[1:] > high[:-1]) | (rows.v[1:] < low[:-1])).sum())
+    assert len(Band().openers(rows)) <= records < len(rows) / 50
+
+
+def test_long_summaries_go_in_pairs(spark, monkeypatch):
+    from tickloom.operators import gate as module
+
+    monkeypatch.setattr(module, "ROWS_PER_SLICE", 10)
+    rows = hot_rows(800, 3, 1)
+    df = spark.createDataFrame(rows, "key string, t long, id long, v double")
+    rule, passes, _ = CASES[3]
+    got = gate(df, ["key"], ["t", "id"], rule, "t", "v", rows_per_slice=100)
+    assert {r.id for r in got.collect()} == greedy(rows, passes)

@@ -10,7 +10,7 @@ Keys too large for one task are walked slice by slice, exactly and in parallel:
 1. every slice summarises itself as its *openers* - the rows that could be the first to pass after
    some earlier row - each with the row that would pass last if the slice started there;
 2. summaries of neighbouring slices are composed in groups, level by level, until one is left per
-   key, and the last passed row is then handed back down, which tells each slice where it starts;
+   key - the longer the summaries, the smaller the groups - and the last passed row is then handed back down, which tells each slice where it starts;
 3. the scan runs on all slices at once, each from its own start.
 
 Only summaries of keys that span slices travel, and the hand-over is one row per slice and key that
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -87,16 +87,27 @@ class Cooldown:
         return np.arange(int(np.argmax(over)) + 1 if over.any() else len(rows))
 
     @property
-    def droppable(self) -> bool:
-        """Whether time alone decides: then of openers with the same end one is enough."""
+    def time_only(self) -> bool:
         return self.min_change is None
 
+    def must_stay(self, rows: Walk) -> np.ndarray:
+        """Openers a change of value can make first: new highs and lows. Time reaches all others."""
+        fresh = np.zeros(len(rows), dtype=bool)
+        if not self.time_only:
+            high, low = np.maximum.accumulate(rows.v), np.minimum.accumulate(rows.v)
+            fresh[0] = True
+            fresh[1:] = (rows.v[1:] > high[:-1]) | (rows.v[1:] < low[:-1])
+        return fresh
+
 
 @dataclass(frozen=True)
 class Band:
     """Pass while the value is within ``limit`` percent of the last value that passed."""
 
-    droppable = False
+    time_only = False
+
+    def must_stay(self, rows: Walk) -> np.ndarray:
+        return np.ones(len(rows), dtype=bool)
 
     def passes(self, rows: Walk, t, v) -> np.ndarray:
         base = np.asarray(v, dtype=float)
@@ -106,24 +117,24 @@ class Band:
         return (base == 0) | ~(moved > rows.limit)
 
     def openers(self, rows: Walk) -> np.ndarray:
-        # Row i can follow any base within its own band. Rows whose band is already covered by
-        # earlier rows can never be first; the margin keeps rounding on the safe side.
+        # A row can follow any base within its own band. Between the lowest and the highest value of
+        # rows whose bands overlap, every base that suits a row suits one of them: only new highs
+        # and lows of such a group can be first. Groups join when bands overlap beyond rounding.
         share = rows.limit / 100
         plain = (rows.v > 0) & (share < 1) & (share > 0)
         with np.errstate(divide="ignore", invalid="ignore"):
             low = np.where(plain, rows.v / (1 + share), 0.0)
             high = np.where(plain, rows.v / (1 - share), 0.0)
-        margin = 1e-9
-        keep: list[int] = [0]
-        covered: list[tuple[float, float]] = []
-        if plain[0]:
-            covered.append((low[0], high[0]))
-        at, step = 1, 64
+        beyond = 1 + 1e-9
+        keep: list[int] = []
+        groups: list[tuple[float, float, float, float, float]] = []
+        at, step = 0, 64
         while at < len(rows):
             stop = min(at + step, len(rows))
+            v, limit = rows.v[at:stop], rows.limit[at:stop]
             known = np.zeros(stop - at, dtype=bool)
-            for lo, hi in covered:
-                known |= (low[at:stop] * (1 - margin) >= lo) & (high[at:stop] * (1 + margin) <= hi)
+            for least, most, _, _, reach in groups:
+                known |= (v >= least) & (v <= most) & (limit <= reach)
             fresh = ~(known & plain[at:stop])
             if not fresh.any():
                 at, step = stop, step * 2
@@ -131,13 +142,19 @@ class Band:
             i = at + int(np.argmax(fresh))
             keep.append(i)
             if plain[i]:
-                lo, hi, apart = low[i], high[i], []
-                for other in covered:
-                    if other[0] <= hi and lo <= other[1]:
-                        lo, hi = min(lo, other[0]), max(hi, other[1])
+                new, apart = (rows.v[i], rows.v[i], low[i], high[i], rows.limit[i]), []
+                for other in groups:
+                    if other[2] * beyond <= new[3] and new[2] * beyond <= other[3]:
+                        new = (
+                            min(new[0], other[0]),
+                            max(new[1], other[1]),
+                            min(new[2], other[2]),
+                            max(new[3], other[3]),
+                            min(new[4], other[4]),
+                        )
                     else:
                         apart.append(other)
-                covered = [*apart, (lo, hi)]
+                groups = [*apart, new]
             at, step = i + 1, 64
         return np.asarray(keep)
 
@@ -146,7 +163,7 @@ def first_pass(rule, rows: Walk, start: int, last: tuple[int, float] | None) ->
     """Index of the first row from ``start`` on that passes after ``last``; the length if none."""
     if last is None:
         return min(start, len(rows))
-    if rule.droppable:
+    if rule.time_only:
         return max(start, rule.first_over(rows, last[0]))
     step = 32
     while start < len(rows):
@@ -220,12 +237,11 @@ _SUMMARY = T.StructType(
 )
 
 
-def _distinct_ends(rule, exit_t: np.ndarray, exit_v: np.ndarray) -> np.ndarray:
-    """Openers to keep: where order alone decides, one is enough for a stretch with one end."""
-    if not rule.droppable:
-        return np.arange(len(exit_t))
+def _distinct_ends(rule, rows: Walk, exit_t: np.ndarray, exit_v: np.ndarray) -> np.ndarray:
+    """Openers to keep. One that only time makes first may go if the next one has the same end: what
+    comes late enough for the one comes late enough for the other."""
     same = (exit_t[1:] == exit_t[:-1]) & (exit_v[1:] == exit_v[:-1])
-    return np.flatnonzero(np.append(~same, True))
+    return np.flatnonzero(np.append(~same, True) | rule.must_stay(rows))
 
 
 def _summary_frame(node: int, rows: Walk, exit_t, exit_v, seed_t, seed_v) -> pd.DataFrame:
@@ -249,7 +265,7 @@ def _summarise_slice(rule, node: int, rows: Walk, seed) -> pd.DataFrame:
     ends = exits(rule, rows, openers)
     exit_t, exit_v = rows.t[ends], rows.v[ends]
     inside = Walk(rows.t[openers], rows.v[openers], rows.limit[openers])
-    keep = _distinct_ends(rule, exit_t, exit_v)
+    keep = _distinct_ends(rule, inside, exit_t, exit_v)
     inside = Walk(inside.t[keep], inside.v[keep], inside.limit[keep])
     seed_t, seed_v = seed if seed else (None, None)
     return _summary_frame(node, inside, exit_t[keep], exit_v[keep], seed_t, seed_v)
@@ -281,7 +297,7 @@ def _seed_of(group: pd.DataFrame) -> tuple[int, float] | None:
     return None if pd.isna(seed_t) else (int(seed_t), float(group["_seed_v"].iloc[0]))
 
 
-def _compose(rule, group: pd.DataFrame) -> pd.DataFrame:
+def _compose(rule, fan_in: int, group: pd.DataFrame) -> pd.DataFrame:
     """One summary for a group of neighbouring nodes."""
     parts = _parts(group)
     exit_t, exit_v = [], []
@@ -300,10 +316,11 @@ def _compose(rule, group: pd.DataFrame) -> pd.DataFrame:
         np.concatenate([p[1].limit for p in parts]),
     )
     openers = rule.openers(rows)
-    keep = openers[_distinct_ends(rule, exit_t[openers], exit_v[openers])]
+    opening = Walk(rows.t[openers], rows.v[openers], rows.limit[openers])
+    keep = openers[_distinct_ends(rule, opening, exit_t[openers], exit_v[openers])]
     rows = Walk(rows.t[keep], rows.v[keep], rows.limit[keep])
     seed_t, seed_v = _seed_of(group) or (None, None)
-    return _summary_frame(parts[0][0] // FAN_IN, rows, exit_t[keep], exit_v[keep], seed_t, seed_v)
+    return _summary_frame(parts[0][0] // fan_in, rows, exit_t[keep], exit_v[keep], seed_t, seed_v)
 
 
 def _hand_down(rule, group: pd.DataFrame) -> pd.DataFrame:
@@ -504,10 +521,16 @@ def _with_starts(
         .select(*[c for c in dict.fromkeys(seen) if c in rows.columns])
     )
     levels = [cut_lineage(narrow.mapInArrow(_summariser(rule, names, schema), schema))]
-    width = sliced.count
+    fan_ins, width = [], sliced.count
     while width > 1:
-        width = -(-width // FAN_IN)
-        composed = _by_parent(levels[-1], keys).applyInPandas(_keyed(_compose, rule, keys, schema.names), schema)
+        # Long summaries are composed in smaller groups, down to pairs: a group stays within a task.
+        longest = levels[-1].groupBy(*keys, "_node").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+        fan_in = max(2, min(FAN_IN, ROWS_PER_SLICE // longest))
+        width = -(-width // fan_in)
+        fan_ins.append(fan_in)
+        composed = _by_parent(levels[-1], keys, fan_in).applyInPandas(
+            _keyed(partial(_compose, rule, fan_in), keys, schema.names), schema
+        )
         levels.append(cut_lineage(composed))
     # The top has one node per key and nothing before it.
     start_schema = T.StructType(
@@ -524,14 +547,14 @@ def _with_starts(
         .distinct()
         .withColumns({"_before_t": F.lit(None).cast("bigint"), "_before_v": F.lit(None).cast("double")})
     )
-    for level in reversed(levels[:-1]):
+    for level, fan_in in zip(reversed(levels[:-1]), reversed(fan_ins)):
         above = starts.select(
             *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_parent"), "_before_t", "_before_v"
         )
-        inside = F.floor(level["_node"] / FAN_IN) == above["_parent"]
+        inside = F.floor(level["_node"] / fan_in) == above["_parent"]
         joined = level.join(above, _same(level, above, keys, inside)).drop("_parent", *[f"_key_{k}" for k in keys])
-        starts = _by_parent(joined, keys).applyInPandas(
-            _keyed(_hand_down, rule, keys, start_schema.names), start_schema
+        starts = _by_parent(joined, keys, fan_in).applyInPandas(
+            _keyed(partial(_hand_down, rule), keys, start_schema.names), start_schema
         )
     # Spanning keys of the layout are fewer than its slices, so this broadcast is bounded by the
     # number of slices.
@@ -546,13 +569,13 @@ def _with_starts(
     return found.drop("_to", *[f"_key_{k}" for k in keys])
 
 
-def _by_parent(level: DataFrame, keys: Sequence[str]):
-    return level.groupBy(*keys, F.floor(F.col("_node") / FAN_IN).alias("_parent"))
+def _by_parent(level: DataFrame, keys: Sequence[str], fan_in: int):
+    return level.groupBy(*keys, F.floor(F.col("_node") / fan_in).alias("_parent"))
 
 
-def _keyed(step, rule, keys: Sequence[str], names: Sequence[str]):
+def _keyed(step, keys: Sequence[str], names: Sequence[str]):
     def apply(group: pd.DataFrame) -> pd.DataFrame:
-        frame = step(rule, group)
+        frame = step(group)
         for name in keys:
             frame[name] = group[name].iloc[0]
         return frame[list(names)]
