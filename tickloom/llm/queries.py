@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, tokens
+from tickloom.llm import chat, neighbours, packing, private, quality, secrets, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,29 @@ def _vocabulary(name: str) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.perspectives(_table(spark, folder, "conversations"))
+
+
+def op4_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return private.private_digests(_table(spark, folder, "documents"))
+
+
+def op5_block_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op6_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.verdicts(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_capitals", "fail_bits",
+    )
+
+
+def op7_secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digests(_table(spark, folder, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = _vocabulary("byte_bpe_50k.json")
     return tokens.token_digests(_table(spark, folder, "documents"), path, pattern)
@@ -35,6 +58,11 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_perspectives": op2_chat_perspectives,
+    "op4_contextual_pii": op4_contextual_pii,
+    "op5_block_neighbours": op5_block_neighbours,
+    "op6_quality_ledger": op6_quality_ledger,
+    "op7_secret_novelty": op7_secret_novelty,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
 }
