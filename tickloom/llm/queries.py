@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, neighbours, packing, private, quality, secrets, tokens
+from tickloom.llm import chat, neighbours, packing, private, quality, secrets, simhash, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(_table(spark, folder, "conversations"))
 
 
+def op3_simhash_ball(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op4_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
     return private.private_digests(_table(spark, folder, "documents"))
 
@@ -59,6 +64,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_perspectives": op2_chat_perspectives,
+    "op3_simhash_ball": op3_simhash_ball,
     "op4_contextual_pii": op4_contextual_pii,
     "op5_block_neighbours": op5_block_neighbours,
     "op6_quality_ledger": op6_quality_ledger,
