@@ -1,0 +1,452 @@
+"""Passages of fixed length that recur across documents, brought to where they recur.
+
+Shared by the two substring operators, which differ in what a symbol is (a byte, a word) and in the
+index that finally locates passages. This module finds which passages recur, and hands every shard of
+documents the text of the passages that occur in it, taken from a document with a smaller id:
+
+1. Every document's anchors - the grams with the smallest hash of some window - go to buckets by hash.
+   Equal windows have equal anchors, so documents that share a window meet there. Anchors with equal
+   surroundings form a class; its smallest document is asked for the passage on behalf of the shards of
+   the others.
+2. Where one anchor has several classes, windows may still be shared across classes. Those windows
+   alone are hashed one by one and meet in buckets again.
+3. The documents asked for send the passages to the shards that need them.
+4. Each shard gets its documents together with the passages that occur in them.
+
+Hashes only route: whether a document holds a passage is for the index to say, on the text itself.
+Equal keys of a batch are combined before the shuffle and an anchor with many classes in a batch skips
+its bucket, so a passage in a third of all documents adds a few records per batch to one bucket.
+Documents travel compressed and in one shuffle that steps 2 to 4 share.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickloom.llm.common import small_batches, texts_of
+from tickloom.plans.lineage import cut_lineage
+
+#: From here on ids stand for null, told apart by text only to spread them; no document is smaller by them.
+NULL_FROM = (1 << 63) - (1 << 41)
+#: Bytes of text in a shard, and in a bucket's share of anchors.
+SHARD_BYTES, BUCKET_BYTES = 4_000_000, 12_000_000
+#: Classes of one anchor in one batch beyond which they are compared window by window at once.
+MANY_CLASSES = 4
+RECORD, REQUEST, CONTESTED = 0, 1, 2
+ROW = "kind int, key int, data binary"
+
+
+@dataclass(frozen=True)
+class Symbols:
+    """What texts are made of. ``parse`` gives the pieces of a text, ``code`` their 64-bit codes (never
+    zero), ``join`` the bytes of a run of pieces; passages have ``length`` symbols, grams ``gram``."""
+
+    length: int
+    gram: int
+    parse: Callable[[str], object]
+    code: Callable[[object], np.ndarray]
+    join: Callable[[object, int, int], bytes]
+
+    @property
+    def pad(self) -> int:
+        return self.length - self.gram
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * np.uint64(0x9E3779B97F4A7C15)
+    x += b
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def _slide(x: np.ndarray, width: int, op: Callable) -> np.ndarray:
+    """``op`` over every ``width`` neighbours, by doubling."""
+    size = 1
+    while 2 * size <= width:
+        x = op(x[:-size], x[size:])
+        size *= 2
+    return op(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
+
+
+class Batch:
+    """Codes of some documents in one array, with separators of zeros between and around them."""
+
+    def __init__(self, kind: Symbols, codes: list[np.ndarray]):
+        self.kind = kind
+        pad = np.zeros(kind.pad, np.uint64)
+        self.sizes = np.array([len(c) for c in codes], np.int64)
+        self.starts = np.cumsum(self.sizes + kind.pad) - self.sizes
+        self.flat = np.concatenate([pad] + [x for c in codes for x in (c, pad)])
+        self.breaks = np.concatenate([[0], np.cumsum(self.flat == 0, dtype=np.int32)])
+        block, self.block = self.flat, 1
+        while 2 * self.block <= kind.gram:
+            block = _mix(block[: -self.block], block[self.block :])
+            self.block *= 2
+        self.blocks = block
+
+    def hash(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the ``size`` symbols from each place on."""
+        out = np.zeros(len(at), np.uint64)
+        for offset in range(0, size - self.block + 1, self.block):
+            out = _mix(out, self.blocks[at + offset])
+        return _mix(out, self.blocks[at + (size - self.block)]) if size % self.block else out
+
+    def whole(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Whether no separator is among the ``size`` symbols from each place on."""
+        return self.breaks[at + size] == self.breaks[at]
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of grams that have the smallest hash of some whole window."""
+        kind, width = self.kind, self.kind.pad + 1
+        n = len(self.flat) - kind.length + 1
+        if n <= 0:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        rest = kind.gram - self.block
+        grams = _mix(self.blocks[: len(self.blocks) - rest], self.blocks[rest:]) if rest else self.blocks
+        least = _slide(grams, width, np.minimum)
+        least[self.breaks[kind.length :] != self.breaks[:n]] = 0
+        side = np.zeros(width - 1, np.uint64)
+        best = _slide(np.concatenate([side, least, side]), width, np.maximum)
+        at = np.flatnonzero((grams == best) & (grams != 0))
+        at = at[self.whole(at, kind.gram)]
+        return at, grams[at]
+
+    def document(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, "right") - 1
+
+
+def shard_of(ids: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each id; the same in every task."""
+    x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)).astype(np.int64) % shards
+
+
+def _planes(x: np.ndarray, size: int) -> bytes:
+    """The low ``size`` bytes of integers, lowest bytes first, each plane together: these compress."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def _unplaned(data: memoryview, n: int, size: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8, n * size).reshape(size, n).T
+    return out.view("<u8").ravel()
+
+
+def write_arrays(*columns: tuple[np.ndarray, int]) -> bytes:
+    """Integer arrays of equal length, with the bytes each needs."""
+    n = len(columns[0][0])
+    return n.to_bytes(8, "little") + b"".join(_planes(x, size) for x, size in columns)
+
+
+def read_arrays(data: bytes, *sizes: int) -> list[np.ndarray]:
+    n, at, out = int.from_bytes(data[:8], "little"), 8, []
+    for size in sizes:
+        out.append(_unplaned(memoryview(data)[at : at + n * size], n, size))
+        at += n * size
+    return out
+
+
+#: Layouts: anchor hash, class hash, id, place / id, first symbol (shifted), last symbol, target shard / id, place.
+ANCHORS, REQUESTS, PLACES, WINDOWS = (5, 6, 8, 4), (8, 5, 5, 4), (8, 4), (8, 8, 4, 4)
+#: Added to first symbols of requests, which may lie before the text.
+SHIFT = 1 << 20
+
+
+def _rows(kind: int, keys: np.ndarray, layout: tuple[int, ...], *columns: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """A row per key, holding the records of that key in order."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    for begin, end in zip(bounds, np.append(bounds[1:], len(keys))):
+        part = order[begin:end]
+        yield kind, int(keys[begin]), write_arrays(*[(c[part].astype(np.int64).view(np.uint64) if c.dtype != np.uint64 else c[part], size) for c, size in zip(columns, layout)])
+
+
+def _requests(owners: np.ndarray, first: np.ndarray, last: np.ndarray, targets: np.ndarray, shards: int) -> Iterator[tuple[int, int, bytes]]:
+    """Asks the shards of ``owners`` for symbols ``first`` to ``last`` on behalf of ``targets``, each once."""
+    if not len(owners):
+        return
+    order = np.lexsort((targets, last, first, owners))
+    columns = [x[order] for x in (owners, first, last, targets)]
+    new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+    owners, first, last, targets = (c[new] for c in columns)
+    yield from _rows(REQUEST, shard_of(owners, shards), REQUESTS, owners, first + SHIFT, last + SHIFT, targets)
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where a sorted row differs from the one before."""
+    if not len(columns[0]):
+        return np.empty(0, bool)
+    return np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+
+
+def _table(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())],
+        ["kind", "key", "data"],
+    )
+
+
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    column, texts = batch.column("doc_id").cast(pa.int64()), batch.column("text")
+    ids = column.fill_null(0).to_numpy(zero_copy_only=False).copy()
+    for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)):
+        ids[i] = NULL_FROM + xxhash.xxh64_intdigest(texts[int(i)].as_py().encode("utf-8")) % (1 << 40)
+    return ids
+
+
+def _anchor_rows(kind: Symbols, ids: np.ndarray, texts: list[str], shards: int, buckets: int) -> list[tuple[int, int, bytes]]:
+    """Records, requests and contested places of a batch."""
+    batch = Batch(kind, [kind.code(kind.parse(x)) for x in texts])
+    at, anchor = batch.anchors()
+    which = batch.document(at)
+    place, doc = at - batch.starts[which], ids[which]
+    context = batch.hash(at - kind.pad, kind.length + kind.pad) >> np.uint64(16)
+    bucket = ((anchor >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    anchor &= np.uint64((1 << 40) - 1)
+    order = np.lexsort((place, doc, context, anchor, bucket))
+    bucket, anchor, context, doc, place = (x[order] for x in (bucket, anchor, context, doc, place))
+    head = _heads(bucket, anchor, context)
+    first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.empty(0, np.int64)
+    again = doc > doc[first]
+    begin = place[first[again]]
+    rows = list(_requests(doc[first[again]], begin - kind.pad, begin + kind.gram + kind.pad, shard_of(doc[again], shards), shards))
+    bucket, anchor, context, doc, place = (x[head] for x in (bucket, anchor, context, doc, place))
+    group = _heads(bucket, anchor)
+    begins = np.flatnonzero(group)
+    nth = np.arange(len(group)) - begins[np.cumsum(group) - 1] if len(group) else np.empty(0, np.int64)
+    many = nth >= MANY_CLASSES  # the first few go on and show the bucket that there are several
+    rows += _rows(CONTESTED, shard_of(doc[many], shards), PLACES, doc[many], place[many])
+    rows += _rows(RECORD, bucket[~many], ANCHORS, anchor[~many], context[~many], doc[~many], place[~many])
+    return rows
+
+
+def _bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
+    """Requests and contested places of the anchors of a bucket."""
+    columns = [np.concatenate(x) for x in zip(*[read_arrays(p, *ANCHORS) for p in parts])]
+    anchor, context = columns[:2]
+    doc, place = columns[2].view(np.int64), columns[3].astype(np.int64)
+    order = np.lexsort((place, doc, context, anchor))
+    anchor, context, doc, place = (x[order] for x in (anchor, context, doc, place))
+    head = _heads(anchor, context)
+    first = np.flatnonzero(head)[np.cumsum(head) - 1]
+    again = doc > doc[first]
+    begin = place[first[again]]
+    rows = list(_requests(doc[first[again]], begin - kind.pad, begin + kind.gram + kind.pad, shard_of(doc[again], shards), shards))
+    group = _heads(anchor)
+    begins = np.flatnonzero(group)
+    low, high = np.minimum.reduceat(doc, begins), np.maximum.reduceat(doc, begins)
+    classes = np.add.reduceat(head.astype(np.int64), begins)
+    several = ((classes > 1) & (low < high))[np.cumsum(group) - 1] & head
+    rows += _rows(CONTESTED, shard_of(doc[several], shards), PLACES, doc[several], place[several])
+    return rows
+
+
+def _window_rows(kind: Symbols, docs: list[tuple[int, str]], parts: list[bytes], shards: int, buckets: int, here: int) -> list[tuple[int, int, bytes]]:
+    """Records of the windows at contested places of a shard, and requests within it."""
+    doc, place = (np.concatenate(x) for x in zip(*[read_arrays(p, *PLACES) for p in parts]))
+    asked = set(np.unique(doc.view(np.int64)).tolist())
+    mine = [(i, kind.code(kind.parse(x))) for i, x in docs if i in asked]
+    if not mine:
+        return []
+    batch = Batch(kind, [c for _, c in mine])
+    ids = np.array([i for i, _ in mine], np.int64)
+    by_id = np.argsort(ids, kind="stable")
+    doc, place = doc.view(np.int64), place.astype(np.int64)
+    left, right = np.searchsorted(ids[by_id], doc, "left"), np.searchsorted(ids[by_id], doc, "right")
+    times = right - left  # rows of the same id are all looked at
+    row = by_id[np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+    place = np.repeat(place, times)
+    fits = place + kind.gram <= batch.sizes[row]
+    near = (batch.starts[row] + place)[fits]
+    at = np.unique((near[:, None] - np.arange(kind.pad + 1)[None, :]).ravel())
+    at = at[(at >= 0) & (at + kind.length <= len(batch.flat))]
+    at = at[batch.whole(at, kind.length)]
+    which = batch.document(at)
+    code, doc, place = batch.hash(at, kind.length), ids[which], at - batch.starts[which]
+    order = np.lexsort((place, doc, code))
+    code, doc, place = code[order], doc[order], place[order]
+    head = _heads(code)
+    first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.empty(0, np.int64)
+    again = doc > doc[first]
+    begin = place[first[again]]
+    rows = list(_requests(doc[first[again]], begin, begin + kind.length, np.full(len(begin), here), shards))
+    code, doc, place = code[head], doc[head], place[head]
+    bucket = ((code >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    rows += _rows(RECORD, bucket, WINDOWS, code, doc, place, np.full(len(doc), here))
+    return rows
+
+
+def _window_bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
+    code, doc, place, target = (np.concatenate(x) for x in zip(*[read_arrays(p, *WINDOWS) for p in parts]))
+    doc, place, target = doc.view(np.int64), place.astype(np.int64), target.astype(np.int64)
+    order = np.lexsort((place, doc, code))
+    code, doc, place, target = code[order], doc[order], place[order], target[order]
+    head = _heads(code)
+    first = np.flatnonzero(head)[np.cumsum(head) - 1]
+    again = doc > doc[first]
+    begin = place[first[again]]
+    return list(_requests(doc[first[again]], begin, begin + kind.length, target[again], shards))
+
+
+def _reply_rows(kind: Symbols, docs: list[tuple[int, str]], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    """Per target shard: texts of merged runs of the symbols asked for, with the spans inside them."""
+    import zstandard
+
+    doc, first, last, target = (np.concatenate(x).view(np.int64) for x in zip(*[read_arrays(p, *REQUESTS) for p in parts]))
+    first, last = first - SHIFT, last - SHIFT
+    order = np.lexsort((last, first, doc, target))
+    doc, first, last, target = doc[order], first[order], last[order], target[order]
+    texts: dict[int, list[object]] = {}
+    asked = set(np.unique(doc).tolist())
+    for i, x in docs:
+        if i in asked:
+            texts.setdefault(i, []).append(kind.parse(x))
+    pack = zstandard.ZstdCompressor(level=1).compress
+    bounds = np.flatnonzero(_heads(target))
+    for begin, end in zip(bounds, np.append(bounds[1:], len(target))):
+        owners, sizes, counts, spans, runs = [], [], [], [], []
+        at = np.flatnonzero(_heads(doc[begin:end])) + begin
+        for b, e in zip(at, np.append(at[1:], end)):
+            for parsed in texts.get(int(doc[b]), ()):
+                n = len(parsed)
+                lo, hi = np.maximum(first[b:e], 0), np.minimum(last[b:e], n)
+                fits = hi - lo >= kind.length
+                lo, hi = lo[fits], hi[fits]
+                if not len(lo):
+                    continue
+                apart = np.flatnonzero(lo[1:] > np.maximum.accumulate(hi)[:-1]) + 1
+                for x, y in zip(np.append(0, apart), np.append(apart, len(lo))):
+                    text = kind.join(parsed, int(lo[x]), int(hi[x:y].max()))
+                    owners.append(int(doc[b]))
+                    sizes.append(len(text))
+                    counts.append(y - x)
+                    spans.append(np.stack([lo[x:y] - lo[x], hi[x:y] - lo[x]], axis=1))
+                    runs.append(text)
+        if owners:
+            head = np.array([len(owners)], np.int64).tobytes()
+            body = b"".join([head, np.array(owners, np.int64).tobytes(), np.array(sizes, np.int64).tobytes(), np.array(counts, np.int64).tobytes(), np.concatenate(spans).astype("<i4").tobytes(), *runs])
+            yield int(target[begin]), pack(body)
+
+
+def read_reply(data: bytes) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Owner, text and spans of symbols of every run of a reply."""
+    import zstandard
+
+    body = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(body, np.int64, 1)[0])
+    owners, sizes, counts = np.frombuffer(body, np.int64, 3 * n, 8).reshape(3, n)
+    spans = np.frombuffer(body, "<i4", 2 * int(counts.sum()), 8 + 24 * n).reshape(-1, 2)
+    at, s = 8 + 24 * n + spans.nbytes, 0
+    for owner, size, count in zip(owners.tolist(), sizes.tolist(), counts.tolist()):
+        yield owner, body[at : at + size], spans[s : s + count]
+        at, s = at + size, s + count
+
+
+def _packed(ids: list[int], texts: list[str]) -> bytes:
+    import zstandard
+
+    raw = [x.encode("utf-8") for x in texts]
+    head = np.array([len(ids), *ids, *map(len, raw)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
+
+
+def unpacked(parts: list[bytes]) -> list[tuple[int, str]]:
+    """Documents of a shard, by id."""
+    import zstandard
+
+    out = []
+    for part in parts:
+        body = zstandard.ZstdDecompressor().decompress(part)
+        n = int(np.frombuffer(body, np.int64, 1)[0])
+        ids, sizes = np.frombuffer(body, np.int64, 2 * n, 8).reshape(2, n).tolist()
+        at = 8 + 16 * n
+        for i, size in zip(ids, sizes):
+            out.append((i, body[at : at + size].decode("utf-8")))
+            at += size
+    return sorted(out, key=lambda x: x[0])
+
+
+def recurring(
+    df: DataFrame, kind: Symbols, locate: Callable[[list[tuple[int, str]], list[tuple[int, bytes, np.ndarray]]], Iterator[pa.RecordBatch]],
+    schema: str, *, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES,
+) -> DataFrame:
+    """Rows of ``schema`` that ``locate`` makes of the documents of each shard and the passages that occur there.
+
+    Passages come with the id of a document that holds them; every window of a document that also
+    starts in a document with a smaller id lies in a passage of a smaller id that its shard gets. Ids
+    are integers; those from ``NULL_FROM`` on stand for null. ``locate`` gets documents ordered by id.
+    """
+    docs = texts_of(df, id_col, text_col)
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(1, -(-total // shard_bytes))
+    buckets = max(1, -(-total // BUCKET_BYTES))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            yield _table(_anchor_rows(kind, _ids(batch), batch.column("text").to_pylist(), shards, buckets))
+
+    def classes(table: pa.Table) -> pa.Table:
+        rows = list(zip(*[table.column(c).to_pylist() for c in ("kind", "key", "data")]))
+        found = [r for r in rows if r[0] != RECORD]
+        parts = [r[2] for r in rows if r[0] == RECORD]
+        return pa.Table.from_batches([_table(found + (_bucket_rows(kind, parts, shards) if parts else []))])
+
+    # Requests and contested places of a batch ride along with its records, so texts are scanned once.
+    met = docs.mapInArrow(scan, ROW).withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)))
+    first = cut_lineage(met.groupBy("bucket").applyInArrow(classes, ROW))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            ids, texts = _ids(batch), batch.column("text").to_pylist()
+            shard = shard_of(ids, shards)
+            order = np.argsort(shard, kind="stable")
+            bounds = np.flatnonzero(_heads(shard[order]))
+            keys, data = [], []
+            for part in np.split(order, bounds[1:]):
+                keys.append(int(shard[part[0]]))
+                data.append(_packed(ids[part].tolist(), [texts[i] for i in part]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(data, pa.binary())], ["shard", "docs"])
+
+    sharded = docs.mapInArrow(deal, "shard int, docs binary")
+
+    def windows(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = right.column("data").to_pylist()
+        docs_here = unpacked(left.column("docs").to_pylist())
+        return pa.Table.from_batches([_table(_window_rows(kind, docs_here, parts, shards, buckets, key[0].as_py()) if parts else [])])
+
+    def window_classes(table: pa.Table) -> pa.Table:
+        rows = list(zip(*[table.column(c).to_pylist() for c in ("kind", "key", "data")]))
+        parts = [r[2] for r in rows if r[0] == RECORD]
+        return pa.Table.from_batches([_table([r for r in rows if r[0] != RECORD] + (_window_bucket_rows(kind, parts, shards) if parts else []))])
+
+    contested = first.where(F.col("kind") == CONTESTED)
+    second = (
+        sharded.groupBy("shard").cogroup(contested.groupBy("key")).applyInArrow(windows, ROW)
+        .withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)))
+        .groupBy("bucket").applyInArrow(window_classes, ROW)
+    )
+    requests = first.where(F.col("kind") == REQUEST).unionByName(second)
+
+    def reply(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = right.column("data").to_pylist()
+        rows = list(_reply_rows(kind, unpacked(left.column("docs").to_pylist()), parts)) if parts else []
+        return pa.table({"target": pa.array([r[0] for r in rows], pa.int32()), "data": pa.array([r[1] for r in rows], pa.binary())})
+
+    replies = sharded.groupBy("shard").cogroup(requests.groupBy("key")).applyInArrow(reply, "target int, data binary")
+
+    def place(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        here = unpacked(left.column("docs").to_pylist())
+        passages = [x for part in right.column("data").to_pylist() for x in read_reply(part)]
+        return pa.Table.from_batches(list(locate(here, passages)))
+
+    return sharded.groupBy("shard").cogroup(replies.groupBy("target")).applyInArrow(place, schema)

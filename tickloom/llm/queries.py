@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, neighbours, packing, private, quality, secrets, simhash, tokens
+from tickloom.llm import chat, neighbours, packing, phrases, private, quality, secrets, simhash, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrase_digests(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_perspectives": op2_chat_perspectives,
     "op3_simhash_ball": op3_simhash_ball,
@@ -71,5 +75,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_novelty": op7_secret_novelty,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
+    "op10_phrase_automata": op10_phrase_automata,
 }
 ORACLE: dict[str, str] = {}
