@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, neighbours, packing, phrases, private, quality, secrets, simhash, tokens
+from tickloom.llm import chat, neighbours, packing, phrases, private, quality, runs, secrets, simhash, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def _vocabulary(name: str) -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+def op1_run_index(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.byte_digests(_table(spark, folder, "documents"))
+
+
 def op2_chat_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     return chat.perspectives(_table(spark, folder, "conversations"))
 
@@ -67,6 +71,7 @@ def op10_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_run_index": op1_run_index,
     "op2_chat_perspectives": op2_chat_perspectives,
     "op3_simhash_ball": op3_simhash_ball,
     "op4_contextual_pii": op4_contextual_pii,
