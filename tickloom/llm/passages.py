@@ -23,11 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import small_batches, texts_of
@@ -43,6 +44,12 @@ RECORD, REQUEST, CONTESTED = 0, 1, 2
 ROW = "kind int, key int, data binary"
 
 
+class Document(NamedTuple):
+    doc_id: int
+    text: str
+    rest: str
+
+
 @dataclass(frozen=True)
 class Symbols:
     """What texts are made of. ``parse`` gives the pieces of a text, ``code`` their 64-bit codes (never
@@ -251,11 +258,11 @@ def _bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[tuple[i
     return rows
 
 
-def _window_rows(kind: Symbols, docs: list[tuple[int, str]], parts: list[bytes], shards: int, buckets: int, here: int) -> list[tuple[int, int, bytes]]:
+def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards: int, buckets: int, here: int) -> list[tuple[int, int, bytes]]:
     """Records of the windows at contested places of a shard, and requests within it."""
     doc, place = (np.concatenate(x) for x in zip(*[read_arrays(p, *PLACES) for p in parts]))
     asked = set(np.unique(doc.view(np.int64)).tolist())
-    mine = [(i, kind.code(kind.parse(x))) for i, x in docs if i in asked]
+    mine = [(i, kind.code(kind.parse(x))) for i, x, _ in docs if i in asked]
     if not mine:
         return []
     batch = Batch(kind, [c for _, c in mine])
@@ -298,7 +305,7 @@ def _window_bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[
     return list(_requests(doc[first[again]], begin, begin + kind.length, target[again], shards))
 
 
-def _reply_rows(kind: Symbols, docs: list[tuple[int, str]], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
+def _reply_rows(kind: Symbols, docs: list[Document], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
     """Per target shard: texts of merged runs of the symbols asked for, with the spans inside them."""
     import zstandard
 
@@ -308,7 +315,7 @@ def _reply_rows(kind: Symbols, docs: list[tuple[int, str]], parts: list[bytes])
     doc, first, last, target = doc[order], first[order], last[order], target[order]
     texts: dict[int, list[object]] = {}
     asked = set(np.unique(doc).tolist())
-    for i, x in docs:
+    for i, x, _ in docs:
         if i in asked:
             texts.setdefault(i, []).append(kind.parse(x))
     pack = zstandard.ZstdCompressor(level=1).compress
@@ -352,15 +359,15 @@ def read_reply(data: bytes) -> Iterator[tuple[int, bytes, np.ndarray]]:
         at, s = at + size, s + count
 
 
-def _packed(ids: list[int], texts: list[str]) -> bytes:
+def _packed(ids: list[int], texts: list[str], rests: list[str]) -> bytes:
     import zstandard
 
-    raw = [x.encode("utf-8") for x in texts]
+    raw = [x.encode("utf-8") for pair in zip(texts, rests) for x in pair]
     head = np.array([len(ids), *ids, *map(len, raw)], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
 
 
-def unpacked(parts: list[bytes]) -> list[tuple[int, str]]:
+def unpacked(parts: list[bytes]) -> list[Document]:
     """Documents of a shard, by id."""
     import zstandard
 
@@ -368,25 +375,31 @@ def unpacked(parts: list[bytes]) -> list[tuple[int, str]]:
     for part in parts:
         body = zstandard.ZstdDecompressor().decompress(part)
         n = int(np.frombuffer(body, np.int64, 1)[0])
-        ids, sizes = np.frombuffer(body, np.int64, 2 * n, 8).reshape(2, n).tolist()
-        at = 8 + 16 * n
-        for i, size in zip(ids, sizes):
-            out.append((i, body[at : at + size].decode("utf-8")))
-            at += size
+        ids, sizes = np.frombuffer(body, np.int64, n, 8), np.frombuffer(body, np.int64, 2 * n, 8 + 8 * n)
+        ends = (8 + 24 * n + np.cumsum(sizes)).tolist()
+        begins = [8 + 24 * n, *ends[:-1]]
+        strings = [body[a:b].decode("utf-8") for a, b in zip(begins, ends)]
+        out += map(Document, ids.tolist(), strings[::2], strings[1::2])
     return sorted(out, key=lambda x: x[0])
 
 
 def recurring(
-    df: DataFrame, kind: Symbols, locate: Callable[[list[tuple[int, str]], list[tuple[int, bytes, np.ndarray]]], Iterator[pa.RecordBatch]],
-    schema: str, *, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES,
+    df: DataFrame, kind: Symbols, locate: Callable[[list[Document], list[tuple[int, bytes, np.ndarray]]], Iterator[pa.RecordBatch]],
+    schema: str, *, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Rows of ``schema`` that ``locate`` makes of the documents of each shard and the passages that occur there.
 
     Passages come with the id of a document that holds them; every window of a document that also
     starts in a document with a smaller id lies in a passage of a smaller id that its shard gets. Ids
-    are integers; those from ``NULL_FROM`` on stand for null. ``locate`` gets documents ordered by id.
+    are integers; those from ``NULL_FROM`` on stand for null. ``locate`` gets documents ordered by id,
+    each with ``rest``, a string of the caller's that travels along.
     """
     docs = texts_of(df, id_col, text_col)
+    whole = df.select(
+        df[id_col].alias("doc_id"),
+        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
+        (F.lit("") if rest is None else rest).alias("rest"),
+    )
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     buckets = max(1, -(-total // BUCKET_BYTES))
@@ -407,17 +420,17 @@ def recurring(
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            ids, texts = _ids(batch), batch.column("text").to_pylist()
+            ids, texts, rests = _ids(batch), batch.column("text").to_pylist(), batch.column("rest").to_pylist()
             shard = shard_of(ids, shards)
             order = np.argsort(shard, kind="stable")
             bounds = np.flatnonzero(_heads(shard[order]))
             keys, data = [], []
             for part in np.split(order, bounds[1:]):
                 keys.append(int(shard[part[0]]))
-                data.append(_packed(ids[part].tolist(), [texts[i] for i in part]))
+                data.append(_packed(ids[part].tolist(), [texts[i] for i in part], [rests[i] for i in part]))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(data, pa.binary())], ["shard", "docs"])
 
-    sharded = docs.mapInArrow(deal, "shard int, docs binary")
+    sharded = whole.mapInArrow(deal, "shard int, docs binary")
 
     def windows(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         parts = right.column("data").to_pylist()

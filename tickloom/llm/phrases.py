@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import process_cache
-from tickloom.llm.passages import NULL_FROM, Symbols, recurring
+from tickloom.llm.passages import NULL_FROM, Document, Symbols, recurring
 
 LENGTH, GRAM = 13, 5
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -99,10 +99,10 @@ def drop_repeated_phrases(
     """``doc_id, n_words, n_removed, starts, ends, kept``: word spans removed, and the words kept, joined by spaces."""
     kind = Symbols(length, min(GRAM, length), _words, _codes, _joined)
 
-    def locate(docs: list[tuple[int, str]], passages: list[tuple[int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def locate(docs: list[Document], passages: list[tuple[int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(passages, length)
         rows = []
-        for doc_id, text in docs:
+        for doc_id, text, _ in docs:
             words = _words(text)
             covered = automaton.covered(words, doc_id)
             starts, ends = _spans(covered)

@@ -199,6 +199,19 @@ def private_digests(df: DataFrame) -> DataFrame:
     )
 
 
+def without_private(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
+    """``df`` with every span of its texts replaced by its kind; ``n_chars_col``, if any, is counted anew."""
+    found = find_private(df, id_col=id_col, text_col=text_col).where(F.size("spans") > 0)
+    found = found.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
+    row = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))).alias("key"))
+    both = row.join(found, F.col("row")[id_col].eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
+    text = F.when(F.col("spans").isNotNull(), masked(F.col("row")[text_col], F.col("spans"))).otherwise(F.col("row")[text_col])
+    columns = {c: F.col("row")[c] for c in df.columns} | {text_col: text}
+    if n_chars_col in columns:
+        columns[n_chars_col] = F.when(F.col("spans").isNotNull(), F.length(text).cast(df.schema[n_chars_col].dataType)).otherwise(F.col("row")[n_chars_col])
+    return both.select(*[columns[c].alias(c) for c in df.columns])
+
+
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans the first."""
     kept = F.aggregate(

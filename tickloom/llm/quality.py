@@ -51,17 +51,25 @@ def mask_of(rules: tuple[str, ...]) -> int:
     return sum(1 << places[name] for name in rules)
 
 
-def measure(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the measurements of its whole text, from one pass without a shuffle."""
-    docs = texts_of(df, id_col, text_col)
+def measure(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+    """``doc_id`` and the measurements of its whole text, from one pass without a shuffle.
+
+    With ``whole`` a column ``row`` holds the row of ``df`` as it is.
+    """
+    docs = texts_of(df, id_col, text_col) if not whole else df.select(
+        df[id_col].alias("doc_id"),
+        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
+        F.struct(*[df[c] for c in df.columns]).alias("row"),
+    )
+    held = ["doc_id", *["row"] * whole]
     words = docs.select(
-        "doc_id",
+        *held,
         "text",
         words_of(F.col("text")).alias("w"),
         F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     counted = words.select(
-        "doc_id",
+        *held,
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -105,15 +113,15 @@ def measure(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         F.lit(0),
         lambda total, x: total + x,
     )
-    return repeated.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).select("doc_id", *MEASURES)
+    return repeated.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).select(*held, *MEASURES)
 
 
-def ledger(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """``doc_id``, the measurements and ``fail_bits``: every rule evaluated once."""
     bits = F.lit(0).cast("long")
     for place, rule in enumerate(RULES):
         bits = bits.bitwiseOR(F.when(F.expr(rule.fails), F.lit(1 << place)).otherwise(F.lit(0)).cast("long"))
-    return measure(df, id_col=id_col, text_col=text_col).withColumn("fail_bits", bits)
+    return measure(df, id_col=id_col, text_col=text_col, whole=whole).withColumn("fail_bits", bits)
 
 
 def passes(rules: tuple[str, ...], bits: str = "fail_bits") -> Column:
@@ -144,6 +152,13 @@ def ablations(entries: DataFrame, policies: dict[str, tuple[str, ...]] = POLICIE
     )
 
 
+def passing(df: DataFrame, policy: str = "2", *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that a policy keeps, as they are."""
+    # A filter moves below the expressions it reads and repeats them; it cannot pass a partition's number.
+    entries = ledger(df, id_col=id_col, text_col=text_col, whole=True).withColumn("part", F.spark_partition_id())
+    return entries.where(passes(POLICIES[policy]) & (F.col("part") >= 0)).select("row.*")
+
+
 def verdicts(df: DataFrame, policy: str = "2") -> DataFrame:
     """The ledger with ``base_failed`` and ``kept`` under a policy."""
     entries = ledger(df)

@@ -19,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.llm.passages import NULL_FROM, Batch, Symbols, recurring
+from tickloom.llm.passages import NULL_FROM, Batch, Document, Symbols, recurring
 
 LENGTH, GRAM = 50, 20
 #: Places that are streamed side by side, and the longest stretch of one lane.
 LANE = 192
-SCHEMA = "doc_id long, n_bytes long, n_removed long, starts array<int>, ends array<int>, kept binary"
+SCHEMA = "doc_id long, n_bytes long, n_removed long, starts array<int>, ends array<int>, kept binary, rest string"
 
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240131)).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -209,30 +210,35 @@ def _lanes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int)
     return lanes, first, which
 
 
-def drop_repeated_bytes(df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, starts, ends, kept``: byte spans removed, and the bytes that stay."""
+def drop_repeated_bytes(
+    df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None,
+    characters: bool = False,
+) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, starts, ends, kept, rest``: byte spans removed, and the bytes that stay,
+    with ``characters`` as a string, without bytes of characters that were cut in two."""
     kind = Symbols(length, min(gram, length), _encoded, _codes, _joined)
 
-    def locate(docs: list[tuple[int, str]], passages: list[tuple[int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        raw = [x.encode("utf-8") for _, x in docs]
+    def locate(docs: list[Document], passages: list[tuple[int, bytes, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        raw = [x.text.encode("utf-8") for x in docs]
         owners: dict[bytes, int] = {}
         for owner, text, _ in passages:
             owners[text] = min(owner, owners.get(text, NULL_FROM))
-        covered = _covered(kind, [i for i, _ in docs], raw, [(o, t) for t, o in owners.items()])
+        covered = _covered(kind, [x.doc_id for x in docs], raw, [(o, t) for t, o in owners.items()])
         rows = []
-        for (doc_id, _), data, marks in zip(docs, raw, covered):
+        for (doc_id, _, more), data, marks in zip(docs, raw, covered):
             if marks is None:
-                rows.append((doc_id, len(data), 0, (), (), data))
+                rows.append((doc_id, len(data), 0, (), (), data.decode("utf-8") if characters else data, more))
                 continue
             edges = np.flatnonzero(np.diff(np.concatenate([[0], marks.astype(np.int8), [0]])))
             kept = np.frombuffer(data, np.uint8)[~marks].tobytes()
-            rows.append((doc_id, len(data), int(marks.sum()), edges[::2], edges[1::2], kept))
+            kept = kept.decode("utf-8", "ignore") if characters else kept
+            rows.append((doc_id, len(data), int(marks.sum()), edges[::2], edges[1::2], kept, more))
         ids = pa.array([None if r[0] >= NULL_FROM else r[0] for r in rows], pa.int64())
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string() if characters else pa.binary(), pa.string()]
         columns = [pa.array([r[i + 1] for r in rows], t) for i, t in enumerate(types)]
-        yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "n_bytes", "n_removed", "starts", "ends", "kept"])
+        yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "n_bytes", "n_removed", "starts", "ends", "kept", "rest"])
 
-    return recurring(df, kind, locate, SCHEMA, id_col=id_col, text_col=text_col)
+    return recurring(df, kind, locate, SCHEMA.replace("kept binary", "kept string") if characters else SCHEMA, id_col=id_col, text_col=text_col, rest=rest)
 
 
 def _encoded(text: str) -> bytes:
@@ -282,6 +288,24 @@ def _covered(kind: Symbols, ids: list[int], raw: list[bytes], passages: list[tup
     return out
 
 
+def without_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
+    """``df`` with the bytes of repeated passages gone from its texts, and without texts of which no word is left.
+
+    Bytes of a character that a passage cut in two go with it. Other columns travel as JSON, so they
+    hold what JSON can hold; ``n_chars_col``, where there is one, is counted anew.
+    """
+    others = [f for f in df.schema if f.name not in (id_col, text_col)]
+    rest = F.to_json(F.struct(*[df[f.name] for f in others]), {"ignoreNullFields": "false"}) if others else F.lit("")
+    found = drop_repeated_bytes(df, id_col=id_col, text_col=text_col, rest=rest, characters=True)
+    held = found.select("doc_id", "n_bytes", F.col("kept").alias("text"), F.from_json("rest", T.StructType(others)).alias("rest") if others else F.lit(None).alias("rest"))
+    held = held.where((F.col("n_bytes") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    columns = {id_col: F.col("doc_id"), text_col: F.col("text")}
+    columns |= {f.name: F.col("rest")[f.name] for f in others}
+    if n_chars_col in columns:
+        columns[n_chars_col] = F.length("text").cast(df.schema[n_chars_col].dataType)
+    return held.select(*[columns[c].cast(df.schema[c].dataType).alias(c) for c in df.columns])
+
+
 def byte_digests(df: DataFrame) -> DataFrame:
     found = drop_repeated_bytes(df)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -78,7 +78,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = _mark(star)
     while True:
         both = star.unionByName(star.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -115,5 +115,14 @@ def near_duplicates(df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id",
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def one_of_each(df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with one document of each component, the one with the smallest id; rows of one id are one
+    document, of which one row stays. Rows without an id name no group and stay."""
+    found = near_duplicates(df, shingle=shingle, id_col=id_col, text_col=text_col)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("component_id").alias(id_col)).distinct()
+    named = df.join(kept, id_col, "left_semi").dropDuplicates([id_col])
+    return named.unionByName(df.where(df[id_col].isNull()))
+
+
 def hexadecimal(name: str = "fingerprint"):
     return F.lower(F.lpad(F.hex(F.col(name)), 16, "0"))
