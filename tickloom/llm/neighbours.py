@@ -75,7 +75,7 @@ def tile_nearest(q: _Block, c: _Block, k: int, heaps: list[list[tuple[float, int
         at = np.flatnonzero((guess[i] + slack[i] >= floor[i]) & (guess[i] > -np.inf))
         if not len(at):
             continue
-        scores = np.array([float(np.dot(q.vectors[i], c.vectors[j])) for j in at]) if len(at) < 8 else (c.vectors[at] * q.vectors[i]).sum(axis=1)
+        scores = np.cumsum(c.vectors[at] * q.vectors[i], axis=1)[:, -1]  # added up from left to right, in every tile alike
         best = np.lexsort((c.ids[at], -scores))
         held, heap = {-x for _, x in heaps[i]}, heaps[i]
         taken = 0

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import chat, neighbours, packing, phrases, private, quality, runs, secrets, simhash, tokens
+from tickloom.llm.oracle import ORACLE
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -82,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_phrase_automata": op10_phrase_automata,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
