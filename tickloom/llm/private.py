@@ -14,6 +14,8 @@ spans, and count once as evidence; a null id is kept; an empty table gives no ro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,29 +38,59 @@ SIGNS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-
 _INSIDE = r"[^\x20\x09-\x0D\"'<>,;:=()\[\]{}|]"
 CANDIDATE = rf"(?<!{_INSIDE})(?={_INSIDE}*?[0-9@]){_INSIDE}++"
 LEAST_CHARS, MOST_CHARS, CONTEXT_CHARS = 5, 64, 48
+#: Lengths added up at a time.
+BLOCK = 64
 SPAN = "struct<start: bigint, rank: int, end: bigint, value: string, before: string>"
 #: Rounds over the graph; known instances that a pattern needs, and its confidence; score of an instance.
 ROUNDS, LEAST_SEEDS, LEAST_CONFIDENCE, LEAST_SCORE = 3, 3, 0.8, 0.8
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _placed(text: Column, pattern: str, rank: int) -> Column:
-    """Matches with their places, which are sums over the pieces between matches, and what stands before."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    pairs = F.zip_with(
-        matches,
-        F.slice(pieces, 1, F.size(matches)),
-        lambda m, p: F.struct(m.alias("m"), F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT_CHARS)).alias("before")),
-    )
+    """Matches with their places, and what stands before.
+
+    The place of a match is the sum of the lengths before it, taken from sums of blocks and the rest of
+    its own block, so that a text of many matches stays far from one step per pair of them.
+    """
+    total = lambda lengths: F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+    def spans(pairs: Column, lengths: Column, before: Column) -> Column:
+        def span(x: Column, i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            first = F.get(before, block) + total(F.slice(lengths, block * BLOCK + 1, i - block * BLOCK)) + x["gap"]
+            return F.struct(
+                first.alias("start"), F.lit(rank).alias("rank"), (first + F.length(x["m"])).alias("end"),
+                x["m"].alias("value"), x["before"].alias("before"),
+            )
+
+        return F.transform(pairs, span)
+
+    def blocks(lengths: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(lengths) / BLOCK).cast("int")),
+            lambda b: total(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))),
+        )
+
+    def upto(sums: Column) -> Column:
+        return F.transform(sums, lambda _, b: total(F.slice(sums, F.lit(1), b)))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["m"].alias("value"), x["before"].alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def of(matches: Column, pieces: Column) -> Column:
+        pairs = F.zip_with(
+            matches,
+            F.slice(pieces, F.lit(1), F.size(matches)),
+            lambda m, p: F.struct(m.alias("m"), F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT_CHARS)).alias("before")),
+        )
+        lengths = lambda p: F.transform(p, lambda x: (x["gap"] + F.length(x["m"])).cast("bigint"))
+        return _with(
+            pairs,
+            lambda p: _with(lengths(p), lambda n: _with(blocks(n), lambda sums: _with(upto(sums), lambda before: spans(p, n, before)))),
+        )
 
-    nothing = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    return F.aggregate(pairs, nothing, step)["out"]
+    return _with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: of(m, F.split(text, pattern, -1)))
 
 
 def _digits(value: Column) -> Column:
