@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import process_cache, small_batches, texts_of, type_of
 
 #: Most pieces held by a worker, and the longest piece that is held.
-HELD_PIECES, HELD_CHARS = 500_000, 64
+HELD_PIECES, HELD_CHARS = 400_000, 48
 
 
 def byte_table() -> dict[int, str]:
@@ -55,8 +56,10 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.ids(self.before + piece)
         if len(piece) <= HELD_CHARS:
-            if len(self) >= HELD_PIECES:
+            if len(self) >= HELD_PIECES:  # the first half came early because it is frequent
+                frequent = dict(islice(self.items(), HELD_PIECES // 2))
                 self.clear()
+                self.update(frequent)
             self[piece] = ids
         return ids
 
@@ -130,6 +133,25 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
+class _Table:
+    """Bytes of all ids in one array, from which those of many lists of ids are gathered."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([*map(len, tokens), 0], np.int64)  # the last stands for ids that there are not
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, lists: pa.Array) -> pa.Array:
+        ids = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids[(ids < 0) | (ids >= len(self.sizes))] = len(self.sizes) - 1
+        counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        data = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.firsts[ids] - (ends - sizes), sizes)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 def decode(df: DataFrame, path: str, *, ids_col: str = "ids", characters: bool = False) -> DataFrame:
     """``df`` with ``decoded`` (bytes) and, if asked for, ``decoded_text`` (bytes that are no UTF-8 replaced)."""
     kept = df.select(*[c for c in df.columns if c not in ("decoded", "decoded_text")])
@@ -137,15 +159,14 @@ def decode(df: DataFrame, path: str, *, ids_col: str = "ids", characters: bool =
     schema += ", decoded_text string" * characters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = process_cache(("vocabulary", path), lambda: dict(enumerate(vocabulary(path))))
+        table = process_cache(("table", path), lambda: _Table(vocabulary(path)))
         for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                at = part.schema.get_field_index(ids_col)
-                out = [b"".join([table.get(i, b"") for i in x.as_py() or ()]) for x in part.column(at)]
-                columns = [*part.columns, pa.array(out, pa.binary())]
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                lists = part.column(part.schema.get_field_index(ids_col))
+                columns = [*part.columns, table.decode(lists)]
                 if characters:
-                    columns.append(pa.array([x.decode("utf-8", "replace") for x in out], pa.string()))
+                    columns.append(pa.array([x.as_py().decode("utf-8", "replace") for x in columns[-1]], pa.string()))
                 yield pa.RecordBatch.from_arrays(
                     columns, [*part.schema.names, "decoded", *["decoded_text"] * characters]
                 )
