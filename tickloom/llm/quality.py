@@ -113,7 +113,10 @@ def measure(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wh
         F.lit(0),
         lambda total, x: total + x,
     )
-    return repeated.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).select(*held, *MEASURES)
+    # A caller's filter would move below these expressions and repeat them, once per word; it does not
+    # pass an expression on the partition's number, of which this adds nothing.
+    nothing = F.least(F.spark_partition_id(), F.lit(0))
+    return repeated.withColumn("n_repeat_words", (F.coalesce(covered, F.lit(0)) + nothing).cast("long")).select(*held, *MEASURES)
 
 
 def ledger(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
@@ -154,9 +157,8 @@ def ablations(entries: DataFrame, policies: dict[str, tuple[str, ...]] = POLICIE
 
 def passing(df: DataFrame, policy: str = "2", *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that a policy keeps, as they are."""
-    # A filter moves below the expressions it reads and repeats them; it cannot pass a partition's number.
-    entries = ledger(df, id_col=id_col, text_col=text_col, whole=True).withColumn("part", F.spark_partition_id())
-    return entries.where(passes(POLICIES[policy]) & (F.col("part") >= 0)).select("row.*")
+    entries = ledger(df, id_col=id_col, text_col=text_col, whole=True)
+    return entries.where(passes(POLICIES[policy])).select("row.*")
 
 
 def verdicts(df: DataFrame, policy: str = "2") -> DataFrame:
