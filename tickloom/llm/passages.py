@@ -38,6 +38,8 @@ from tickloom.plans.lineage import cut_lineage
 NULL_FROM = (1 << 63) - (1 << 41)
 #: Bytes of text in a shard, and in a bucket's share of anchors.
 SHARD_BYTES, BUCKET_BYTES = 4_000_000, 12_000_000
+#: Symbols whose hashes are worked out together.
+PART_SYMBOLS = 128_000
 #: Classes of one anchor in one batch beyond which they are compared window by window at once.
 MANY_CLASSES = 4
 RECORD, REQUEST, CONTESTED = 0, 1, 2
@@ -85,16 +87,27 @@ def _slide(x: np.ndarray, width: int, op: Callable) -> np.ndarray:
 
 
 class Batch:
-    """Codes of some documents in one array, with separators of zeros between and around them."""
+    """Symbols of some documents in one array, with separators between and around them.
+
+    Codes are bytes of UTF-8, which never holds 0xFF, or 64-bit numbers other than zero.
+    """
 
     def __init__(self, kind: Symbols, codes: list[np.ndarray]):
         self.kind = kind
-        pad = np.zeros(kind.pad, np.uint64)
+        octets = bool(codes) and codes[0].dtype == np.uint8
+        if octets and kind.gram < 8:
+            octets, codes = False, [c.astype(np.uint64) + np.uint64(1) for c in codes]
+        pad = np.full(kind.pad, 0xFF, np.uint8) if octets else np.zeros(kind.pad, np.uint64)
         self.sizes = np.array([len(c) for c in codes], np.int64)
         self.starts = np.cumsum(self.sizes + kind.pad) - self.sizes
         self.flat = np.concatenate([pad] + [x for c in codes for x in (c, pad)])
-        self.breaks = np.concatenate([[0], np.cumsum(self.flat == 0, dtype=np.int32)])
+        self.breaks = np.concatenate([[0], np.cumsum(self.flat == (0xFF if octets else 0), dtype=np.int32)])
         block, self.block = self.flat, 1
+        if octets and len(block) >= 8:  # eight bytes are a number as they are
+            block, self.block = np.empty(len(self.flat) - 7, "<u8"), 8
+            data = self.flat.tobytes()
+            for k in range(min(8, len(block))):
+                block[k::8] = np.frombuffer(data, "<u8", (len(block) - k + 7) // 8, k)
         while 2 * self.block <= kind.gram:
             block = _mix(block[: -self.block], block[self.block :])
             self.block *= 2
@@ -115,7 +128,7 @@ class Batch:
         """Places and hashes of grams that have the smallest hash of some whole window."""
         kind, width = self.kind, self.kind.pad + 1
         n = len(self.flat) - kind.length + 1
-        if n <= 0:
+        if n <= 0 or not len(self.sizes):
             return np.empty(0, np.int64), np.empty(0, np.uint64)
         rest = kind.gram - self.block
         grams = _mix(self.blocks[: len(self.blocks) - rest], self.blocks[rest:]) if rest else self.blocks
@@ -131,6 +144,18 @@ class Batch:
         return np.searchsorted(self.starts, at, "right") - 1
 
 
+def in_parts(kind: Symbols, codes: list[np.ndarray]) -> Iterator[tuple[np.ndarray, Batch]]:
+    """Batches of few symbols, whose arrays stay near the processor, with the places of their documents."""
+    begin = size = 0
+    for i, c in enumerate(codes):
+        if i > begin and size + len(c) > PART_SYMBOLS:
+            yield np.arange(begin, i), Batch(kind, codes[begin:i])
+            begin, size = i, 0
+        size += len(c)
+    if codes:
+        yield np.arange(begin, len(codes)), Batch(kind, codes[begin:])
+
+
 def shard_of(ids: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each id; the same in every task."""
     x = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -213,11 +238,15 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 def _anchor_rows(kind: Symbols, ids: np.ndarray, texts: list[str], shards: int, buckets: int) -> list[tuple[int, int, bytes]]:
     """Records, requests and contested places of a batch."""
-    batch = Batch(kind, [kind.code(kind.parse(x)) for x in texts])
-    at, anchor = batch.anchors()
-    which = batch.document(at)
-    place, doc = at - batch.starts[which], ids[which]
-    context = batch.hash(at - kind.pad, kind.length + kind.pad) >> np.uint64(16)
+    found = []
+    for which, batch in in_parts(kind, [kind.code(kind.parse(x)) for x in texts]):
+        at, anchor = batch.anchors()
+        row = batch.document(at)
+        context = batch.hash(at - kind.pad, kind.length + kind.pad) >> np.uint64(16)
+        found.append((anchor, context, ids[which[row]], at - batch.starts[row]))
+    if not found:
+        return []
+    anchor, context, doc, place = (np.concatenate(x) for x in zip(*found))
     bucket = ((anchor >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
     anchor &= np.uint64((1 << 40) - 1)
     order = np.lexsort((place, doc, context, anchor, bucket))

@@ -13,7 +13,6 @@ no rows. Ids are integers.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,6 @@ from tickloom.llm.common import process_cache
 from tickloom.llm.passages import NULL_FROM, Document, Symbols, recurring
 
 LENGTH, GRAM = 13, 5
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHED_WORDS = 300_000
 SCHEMA = "doc_id long, n_words long, n_removed long, starts array<int>, ends array<int>, kept string"
 
@@ -34,25 +32,33 @@ SCHEMA = "doc_id long, n_words long, n_removed long, starts array<int>, ends arr
 class _Codes(dict):
     """64-bit codes of words, never zero; holds a bounded number of words."""
 
-    def __missing__(self, word: str) -> int:
-        code = xxhash.xxh3_64_intdigest(word.encode("utf-8")) or 1
+    def __missing__(self, word: bytes) -> int:
+        code = xxhash.xxh3_64_intdigest(word) or 1
         if len(self) >= _CACHED_WORDS:
             self.clear()
         self[word] = code
         return code
 
 
-def _words(text: str) -> list[str]:
-    return _WORD.findall(text)
+def _words(text: str) -> list[bytes]:
+    """Splitting bytes knows ASCII white space alone."""
+    return text.encode("utf-8").split()
 
 
-def _codes(words: list[str]) -> np.ndarray:
+def _codes(words: list[bytes]) -> np.ndarray:
     held = process_cache("word codes", _Codes)
     return np.fromiter(map(held.__getitem__, words), np.uint64, len(words))
 
 
-def _joined(words: list[str], begin: int, end: int) -> bytes:
-    return " ".join(words[begin:end]).encode("utf-8")
+def _joined(words: list[bytes], begin: int, end: int) -> bytes:
+    return b" ".join(words[begin:end])
+
+
+class _Numbers(dict):
+    """Numbers of the words of phrases; zero for any other word."""
+
+    def __missing__(self, word: bytes) -> int:
+        return 0
 
 
 class Automaton:
@@ -61,11 +67,11 @@ class Automaton:
     def __init__(self, passages: list[tuple[int, bytes, np.ndarray]], length: int):
         import ahocorasick
 
-        self.numbers: dict[str, int] = {}
+        self.length, self.numbers = length, _Numbers()
         self.trie = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         number, held = self.numbers, {}
         for owner, text, spans in passages:
-            codes = [number.setdefault(w, len(number) + 1) for w in text.decode("utf-8").split(" ")]
+            codes = [number.setdefault(w, len(number) + 1) for w in text.split(b" ")]
             for begin, end in spans.tolist():
                 key = tuple(codes[begin:end])
                 if len(key) >= length and owner < held.get(key, NULL_FROM):
@@ -76,15 +82,21 @@ class Automaton:
         if held:
             self.trie.make_automaton()
 
-    def covered(self, words: list[str], doc_id: int) -> np.ndarray:
-        """Which words lie in a phrase of a document with a smaller id."""
+    def covered(self, words: list[bytes], doc_id: int) -> np.ndarray:
+        """Which words lie in a phrase of a document with a smaller id.
+
+        A phrase can only occur where words of phrases follow each other at its length, so only such
+        stretches run through the automaton.
+        """
         change = np.zeros(len(words) + 1, np.int32)
         if self.size:
-            numbers = self.numbers
-            for last, (length, owner) in self.trie.iter(tuple([numbers.get(w, 0) for w in words])):
-                if owner < doc_id:
-                    change[last + 1 - length] += 1
-                    change[last + 1] -= 1
+            numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+            for begin, end in zip(*_spans(numbers > 0)):
+                if end - begin >= self.length:
+                    for last, (length, owner) in self.trie.iter(tuple(numbers[begin:end].tolist())):
+                        if owner < doc_id:
+                            change[begin + last + 1 - length] += 1
+                            change[begin + last + 1] -= 1
         return np.cumsum(change[:-1]) > 0
 
 
@@ -106,7 +118,7 @@ def drop_repeated_phrases(
             words = _words(text)
             covered = automaton.covered(words, doc_id)
             starts, ends = _spans(covered)
-            kept = " ".join([w for w, c in zip(words, covered.tolist()) if not c]) if len(starts) else " ".join(words)
+            kept = b" ".join([w for w, c in zip(words, covered.tolist()) if not c] if len(starts) else words).decode("utf-8")
             rows.append((None if doc_id >= NULL_FROM else doc_id, len(words), int(covered.sum()), starts, ends, kept))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.string()]
         columns = [pa.array(list(x), t) for x, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
