@@ -27,5 +27,5 @@ def test_query(spark, con, name):
 
 def test_all_are_listed(spark):
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"silver_preview"}
+    assert set(QUERIES) == set(ORACLE)
     assert entry.entry(spark).columns == QUERIES["alert_rows"](spark, FOLDER).columns

@@ -179,7 +179,8 @@ def _outliers(source: str, order: str, limit: str, name: str) -> str:
 ORACLE: dict[str, str] = {
     "declared_scan": "SELECT value, event_id, CAST(NULL AS VARCHAR) AS venue FROM events",
     "data_file_rows": "SELECT 1 AS files, count(*) AS row_count FROM events",
-    "newest_ticks": f"{_WITH} SELECT * FROM ticks ORDER BY event_time DESC LIMIT 50",
+    "newest_ticks": f"{_WITH} SELECT * FROM ticks ORDER BY event_time DESC, tick_id LIMIT 50",
+    "silver_preview": f"{_WITH} SELECT * FROM silver ORDER BY event_time, tick_id LIMIT 20",
     "wire_round_trip": f"{_WITH} SELECT symbol, price, source, event_time FROM ticks",
     "wire_malformed": f"""{_WITH} SELECT symbol, count(*) AS records, count(price) AS prices, count(event_time) AS times FROM ticks GROUP BY symbol
 UNION ALL SELECT NULL, (SELECT count(*) FROM events) + (SELECT count(*) FROM documents), 0, 0""",

@@ -6,6 +6,7 @@ suppliers. Every query reads its tables whole.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -136,12 +137,12 @@ def data_file_rows(spark, folder):
 
 @query
 def newest_ticks(spark, folder):
-    return tables.newest_rows(ticks(spark, folder), "event_time", 50)
+    return tables.newest_rows(ticks(spark, folder), "event_time", 50, ("tick_id",))
 
 
 @query
 def silver_preview(spark, folder):
-    return silver(spark, folder).limit(20)
+    return silver(spark, folder).orderBy("event_time", "tick_id").limit(20)
 
 
 @query
@@ -493,8 +494,7 @@ def _run_folder(spark, name):
     """A fresh folder for a stream's output, where every executor can write."""
     ensure_checkpoint_dir(spark)
     root = spark.sparkContext.getCheckpointDir()
-    stamp = spark.range(1).select(F.expr("uuid()")).first()[0]
-    return f"{root}/{name}-{stamp}"
+    return f"{root}/{name}-{uuid.uuid4()}"
 
 
 ONCE = {"availableNow": True}

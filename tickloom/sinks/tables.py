@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,29 +71,34 @@ def replace_part(rows: DataFrame, path: str, part: str, time: str | None = None)
         by_day(with_day(rows, time), time).write.mode("overwrite").partitionBy(DAY_OF[time]).parquet(target)
 
 
+def latest_by_key(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of rows with the same key the one with the latest ``updated_at``."""
+    rest = [c for c in updates.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct("updated_at", *[c for c in rest if c != "updated_at"]))
+    return updates.groupBy(*keys).agg(last.alias("_last")).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("state_key",)) -> DataFrame:
     """``target`` with the rows of ``updates`` in place of those with the same key.
 
     If ``updates`` has a key more than once, the row with the latest ``updated_at`` wins.
     """
-    rest = [c for c in updates.columns if c not in keys]
-    latest = (
-        updates.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct("updated_at", *[c for c in rest if c != "updated_at"])).alias("_last"))
-        .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
-        .select(*target.columns)
-    )
+    latest = latest_by_key(updates, keys).select(*target.columns)
     kept = target.join(latest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(latest)
 
 
 def merge_table(updates: DataFrame, name: str, keys: Sequence[str] = ("state_key",)) -> None:
-    """Upsert into a table whose format supports MERGE."""
-    view = "tickloom_updates"
-    updates.createOrReplaceTempView(view)
+    """Upsert into a table whose format supports MERGE; it fails on repeated keys, so the latest row wins here too."""
+    # A view of its own for each call: two jobs of a session may merge at once.
+    view = f"updates_{uuid.uuid4().hex}"
+    latest_by_key(updates, keys).createOrReplaceTempView(view)
     same = " AND ".join(f"target.{k} = source.{k}" for k in keys)
     sets = ", ".join(f"target.{c} = source.{c}" for c in updates.columns if c not in keys)
-    updates.sparkSession.sql(
-        f"MERGE INTO {name} AS target USING {view} AS source ON {same} "
-        f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT *"
-    )
+    try:
+        updates.sparkSession.sql(
+            f"MERGE INTO {name} AS target USING {view} AS source ON {same} "
+            f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT *"
+        )
+    finally:
+        updates.sparkSession.catalog.dropTempView(view)

@@ -106,6 +106,8 @@ def data_files(rows: DataFrame) -> DataFrame:
     )
 
 
-def newest_rows(rows: DataFrame, time: str = "ingestion_time", limit: int = 50) -> DataFrame:
-    """The last rows by a time column: a top-k, not a sort of the table."""
-    return rows.orderBy(F.col(time).desc()).limit(limit)
+def newest_rows(
+    rows: DataFrame, time: str = "ingestion_time", limit: int = 50, tie: tuple[str, ...] = ("symbol", "price", "source")
+) -> DataFrame:
+    """The last rows by a time column: a top-k, not a sort of the table. Columns of ``tie`` order equal times."""
+    return rows.orderBy(F.col(time).desc(), *[c for c in tie if c in rows.columns]).limit(limit)

@@ -131,6 +131,12 @@ def alert_writer(
         spark = batch.sparkSession
         # Read once from the source; lost pieces are computed again.
         batch = batch.persist()
+        try:
+            write_batch(spark, batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         before = state_before(spark, f"{root}/state", batch_id)
         result = alert_batch(batch, before, settings, clock, tie, now, rows_per_slice)
         part = f"batch_id={batch_id}"
@@ -140,7 +146,6 @@ def alert_writer(
         replace_part(result.stats, f"{root}/batch_stats", part)
         version = result.state.withColumn("version", F.lit(batch_id).cast("bigint"))
         replace_part(version, f"{root}/state", f"slot={batch_id % STATE_SLOTS}")
-        batch.unpersist()
 
     return write
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.bars import price_bars
 from tickloom.operators.clean import distinct_ticks, valid_ticks, without_written
-from tickloom.sinks.tables import with_day
+from tickloom.sinks.tables import by_day, with_day
 from tickloom.sources.quotes import parse_wire
 from tickloom.sources.tables import DAY_OF
 
@@ -55,12 +55,11 @@ def start_append(
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder by day.
 
-    ``files`` spreads each batch evenly over that many writers, and so files per day; without it
-    every task writes its own.
+    Rows of a day go to the same writer; ``files`` spreads each batch evenly over that many writers
+    instead, for days that are too large for one.
     """
     dated = with_day(rows, time)
-    if files is not None:
-        dated = dated.repartition(files)
+    dated = by_day(dated, time) if files is None else dated.repartition(files)
     return (
         _writer(dated, checkpoint, trigger)
         .format("parquet")
@@ -87,6 +86,7 @@ def start_bronze(records: DataFrame, path: str, checkpoint: str, **options) -> S
 
 
 def start_silver(bronze: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    keep_state_on_disk(bronze.sparkSession)
     return start_append(silver_ticks(bronze), path, checkpoint, **options)
 
 
@@ -103,8 +103,17 @@ def start_silver_again(
     batch replaces its own folder, so a retry does not write twice.
     """
     run = checkpoint.rstrip("/").rpartition("/")[2]
+    keep_state_on_disk(bronze.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Behind a stateful operator: read twice, run once.
+        batch = batch.persist()
+        try:
+            compare_and_write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def compare_and_write(batch: DataFrame, batch_id: int) -> None:
         # One row: the earliest time in the batch bounds the part of the table to compare with.
         earliest = batch.agg(F.min("event_time")).first()[0]
         since = F.lit(earliest).cast("timestamp") if earliest is not None else None
