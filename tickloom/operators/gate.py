@@ -463,8 +463,8 @@ def gate(
     with. ``seeds`` (keys, seed_t, seed_v) holds the last passed row of an earlier batch per key,
     ``seed`` that of a single sequence.
     ``returned`` lists the columns wanted back, all by default; with ``keep_all`` every row comes
-    back, with a boolean ``_passed``. ``sliced`` is the layout ``rows`` were computed from, if they
-    were: keyed by leading columns of ``keys`` and in the same order.
+    back, with a boolean ``_passed``. ``sliced`` is the layout ``rows`` were computed from by windows
+    over it, if they were: keyed by leading columns of ``keys`` and in the same order.
     """
     keys = list(keys)
     returned = list(returned or [c for c in rows.columns if c != SLICE])
@@ -479,6 +479,9 @@ def gate(
         rows = rows.join(named, _same(rows, named, keys), "left").drop(*[f"_key_{k}" for k in keys])
     elif seed is not None:
         rows = rows.withColumns({"_seed_t": F.lit(seed[0]).cast("bigint"), "_seed_v": F.lit(float(seed[1]))})
+    # Windows over whole keys of a layout have brought the rows of each together, and so those of
+    # finer keys; only the join with seeds may have moved them again.
+    together = sliced is not None and seeds is None and tuple(keys[: len(sliced.keys)]) == sliced.keys
     if sliced is None:
         sliced = slice_rows(rows, keys, order, rows_per_slice)
         rows = sliced.rows
@@ -493,7 +496,8 @@ def gate(
         rows = _with_starts(rows, sliced, keys, order, rule, names)
     else:
         names = _Names(tuple(keys), t, v, None if limit is None else "_limit")
-        rows = rows.repartition(*keys)
+        if not together:
+            rows = rows.repartition(*keys)
         if "_seed_t" in rows.columns:
             rows = rows.withColumns({"_before_t": F.col("_seed_t"), "_before_v": F.col("_seed_v")})
     wanted = dict.fromkeys([*names.run, t, v, names.limit, "_before_t", "_before_v", *returned])
