@@ -147,3 +147,24 @@ def test_cycle(spark):
     assert again.message.count() == 0 and again.changes.count() == 0
     assert {r.layer: r.row_count for r in first.row_counts.collect()} == {"bronze": 2, "silver": 2, "gold": 0}
     assert health.layer_lag(ticks, ticks.filter(F.col("symbol") == "a")).first().lag_seconds == 100.0
+
+
+def test_rounds_are_stored_and_compared(spark, tmp_path):
+    """OK, bad, still bad, recovered: a message for each change, one heartbeat a day, every line logged."""
+    from tickloom.plans import health_job
+
+    root = str(tmp_path)
+    rows = [(0, "a", 1.0), (600_000, "a", 1.0)]
+    settings = Settings(health=HealthSettings(max_silence_seconds={"a": 600}, heartbeat_hour=at(0).hour), display_zone="UTC")
+    ages = [60, 2_000, 3_000, 600_030]
+    for number, age in enumerate(ages):
+        ticks = ticks_frame(spark, [r for r in rows if r[0] <= age])
+        for _ in range(2 if number == 1 else 1):  # a round may be run again
+            health_job.health_round(ticks, ticks, root, number, at(age), settings)
+    status = {r["round"]: r.status for r in health_job.reports(spark, root).filter("name = 'feed:a'").collect()}
+    assert status[0] == "OK" and status[1] != "OK" and status[2] != "OK" and status[3] == "OK"
+    assert sorted(r["round"] for r in health_job.messages(spark, root).collect()) == [1, 3]
+    log = health_job.log_lines(spark, root)
+    assert {r["round"]: r.n for r in log.groupBy("round").agg(F.count("*").alias("n")).collect()} == dict.fromkeys(range(4), 3)
+    dates = [r.local_date for r in health_job.heartbeats_sent(spark, root).collect()]
+    assert len(dates) == len(set(dates)) >= 1
