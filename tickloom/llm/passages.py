@@ -37,7 +37,7 @@ from tickloom.plans.lineage import cut_lineage
 #: From here on ids stand for null, told apart by text only to spread them; no document is smaller by them.
 NULL_FROM = (1 << 63) - (1 << 41)
 #: Bytes of text in a shard, and in a bucket's share of anchors.
-SHARD_BYTES, BUCKET_BYTES = 4_000_000, 12_000_000
+SHARD_BYTES, BUCKET_BYTES = 4_000_000, 3_000_000
 #: Symbols whose hashes are worked out together.
 PART_SYMBOLS = 128_000
 #: Classes of one anchor in one batch beyond which they are compared window by window at once.
@@ -124,20 +124,23 @@ class Batch:
         """Whether no separator is among the ``size`` symbols from each place on."""
         return self.breaks[at + size] == self.breaks[at]
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of grams that have the smallest hash of some whole window."""
-        kind, width = self.kind, self.kind.pad + 1
-        n = len(self.flat) - kind.length + 1
+    def minima(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all grams, and for each window the smallest of its grams: zero if it is not whole."""
+        kind, n = self.kind, len(self.flat) - self.kind.length + 1
         if n <= 0 or not len(self.sizes):
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
         rest = kind.gram - self.block
         grams = _mix(self.blocks[: len(self.blocks) - rest], self.blocks[rest:]) if rest else self.blocks
-        least = _slide(grams, width, np.minimum)
-        least[self.breaks[kind.length :] != self.breaks[:n]] = 0
-        side = np.zeros(width - 1, np.uint64)
-        best = _slide(np.concatenate([side, least, side]), width, np.maximum)
+        least = _slide(grams, kind.pad + 1, np.minimum)
+        return grams, np.where(self.breaks[kind.length :] == self.breaks[:n], least, np.uint64(0))
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of grams that have the smallest hash of some whole window."""
+        grams, least = self.minima()
+        side = np.zeros(self.kind.pad, np.uint64)
+        best = _slide(np.concatenate([side, least, side]), self.kind.pad + 1, np.maximum) if len(grams) else grams
         at = np.flatnonzero((grams == best) & (grams != 0))
-        at = at[self.whole(at, kind.gram)]
+        at = at[self.whole(at, self.kind.gram)]
         return at, grams[at]
 
     def document(self, at: np.ndarray) -> np.ndarray:
@@ -304,8 +307,12 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
     place = np.repeat(place, times)
     fits = place + kind.gram <= batch.sizes[row]
     near = (batch.starts[row] + place)[fits]
-    at = np.unique((near[:, None] - np.arange(kind.pad + 1)[None, :]).ravel())
-    at = at[(at >= 0) & (at + kind.length <= len(batch.flat))]
+    # Of the windows around a place, those that it is the anchor of: the others have their own.
+    grams, least = batch.minima()
+    at = near[:, None] - np.arange(kind.pad + 1)[None, :]
+    fits = (at >= 0) & (at < len(least))
+    fits[fits] = least[at[fits]] == np.broadcast_to(grams[near][:, None], at.shape)[fits]
+    at = np.unique(at[fits])
     at = at[batch.whole(at, kind.length)]
     which = batch.document(at)
     code, doc, place = batch.hash(at, kind.length), ids[which], at - batch.starts[which]

@@ -23,18 +23,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.passages import NULL_FROM, Batch, Document, Symbols, recurring
+from tickloom.llm.passages import NULL_FROM, Document, Symbols, in_parts, recurring
 
 LENGTH, GRAM = 50, 20
 #: Places that are streamed side by side, and the longest stretch of one lane.
-LANE = 192
+LANE = 512
 SCHEMA = "doc_id long, n_bytes long, n_removed long, starts array<int>, ends array<int>, kept binary, rest string"
 
-_BYTE_CODES = np.random.Generator(np.random.PCG64(20240131)).integers(1, 1 << 63, 256, dtype=np.uint64)
-
 
 def _codes(data: bytes) -> np.ndarray:
-    return _BYTE_CODES[np.frombuffer(data, np.uint8)]
+    return np.frombuffer(data, np.uint8)
 
 
 def _joined(data: bytes, begin: int, end: int) -> bytes:
@@ -53,7 +51,7 @@ def _words(symbols: np.ndarray) -> np.ndarray:
 def suffix_array(symbols: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Order of all suffixes: by seven symbols at once, then ties alone by doubling."""
     n = len(symbols)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     new = np.concatenate([[True], words[order][1:] != words[order][:-1]])
     first = np.flatnonzero(new)
     rank = np.empty(n + 1, np.int64)
@@ -116,62 +114,63 @@ class RunIndex:
         self.run_keys = self.symbol[by_symbol].astype(np.int64) * n + self.starts[by_symbol]
         self.n = n
         # Intervals of rows that agree on a whole passage, with the smallest document of each.
-        same = self._shared(order[:-1], order[1:], length) >= length
+        self.words = np.append(self.words, 0)
+        gaps = np.flatnonzero(self.text == 0)
+        self.until_gap = gaps[np.cumsum(self.text == 0) - (self.text == 0)] - np.arange(n)
+        same = self._shared(order[:-1], order[1:], np.full(n - 1, length)) >= length
         opens = np.flatnonzero(np.concatenate([[True], ~same]))
         self.opens, self.least = opens, np.minimum.reduceat(owner[order], opens)
         self.root = (0, int(order[0]))
 
-    def _shared(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-        """Equal symbols from two places on, counted up to ``most`` or a little more, none across a gap."""
+    def _shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Equal symbols from two places on, none across a gap, counted up to ``most`` of each pair."""
         out = np.zeros(len(a), np.int64)
         live = np.arange(len(a))
-        for step in range(0, most, 7):
+        step = 0
+        while len(live):
             x, y = a[live] + step, b[live] + step
-            inside = (x < self.n) & (y < self.n)
-            live, x, y = live[inside], x[inside], y[inside]
-            out[live] = step + self._agree(self.words[x], self.words[y])
-            live = live[out[live] == step + 7]
-            if not len(live):
-                break
-        return out
-
-    @staticmethod
-    def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Leading symbols of packed words that are equal and no gap."""
-        count = np.zeros(len(x), np.int64)
-        going = np.ones(len(x), bool)
-        for i in range(7):
-            s = (x >> (54 - 9 * i)) & 511
-            going &= (s == ((y >> (54 - 9 * i)) & 511)) & (s != 0)
-            if not going.any():
-                break
-            count += going
-        return count
+            differ = self.words[np.minimum(x, self.n)] ^ self.words[np.minimum(y, self.n)]
+            count = np.full(len(live), step)
+            for shift in range(0, 63, 9):  # the first symbol is the highest
+                count += differ < (1 << shift)
+            out[live] = count
+            step += 7
+            live = live[(count == step) & (most[live] > step)]
+        return np.minimum(np.minimum(out, self.until_gap[a]), most)
 
     def statistics(self, lanes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """For each lane (a row of symbols, 0 where it has none), the places where a passage begins that
         a smaller document than the lane's holds. Lanes go side by side, from right to left."""
-        n_lanes, width = lanes.shape
-        columns = np.ascontiguousarray(lanes.T)
-        row = np.full(n_lanes, self.root[0], np.int64)
-        at = np.full(n_lanes, self.root[1], np.int64)
-        size = np.zeros(n_lanes, np.int64)
-        out = np.zeros(lanes.shape, bool)
-        for j in range(width - 1, -1, -1):
-            symbol = columns[j].astype(np.int64)
+        lengths = (lanes != 0).sum(axis=1)
+        order = np.argsort(-lengths, kind="stable")  # those that still go on at a place come first
+        going = np.searchsorted(-lengths[order], -np.arange(lanes.shape[1]), "left")
+        columns = np.ascontiguousarray(lanes[order].T)
+        ids = ids[order]
+        rows = np.full(len(lanes), self.root[0], np.int64)
+        ats = np.full(len(lanes), self.root[1], np.int64)
+        sizes = np.zeros(len(lanes), np.int64)
+        out = np.zeros(columns.shape, bool)
+        for j in range(lanes.shape[1] - 1, -1, -1):
+            k = going[j]
+            if not k:
+                continue
+            row, at, size = rows[:k], ats[:k], sizes[:k]
+            symbol = columns[j, :k].astype(np.int64)
             run = np.searchsorted(self.starts, row, "right") - 1
-            other = np.flatnonzero((self.symbol[run] != symbol) | (symbol == 0))
+            other = np.flatnonzero(self.symbol[run] != symbol)
             if len(other):
                 self._turn(other, symbol, row, at, size, run)
             known = size >= 0
-            row = np.where(known, self.maps_to[run] + row - self.starts[run], self.root[0])
-            at = np.where(known, at - 1, self.root[1])
-            size = np.where(known, np.minimum(size + 1, self.length), 0)
+            row[:] = np.where(known, self.maps_to[run] + row - self.starts[run], self.root[0])
+            at[:] = np.where(known, at - 1, self.root[1])
+            size[:] = np.where(known, np.minimum(size + 1, self.length), 0)
             full = np.flatnonzero(size >= self.length)
             if len(full):
                 interval = np.searchsorted(self.opens, row[full], "right") - 1
-                out[full, j] = self.least[interval] < ids[full]
-        return out
+                out[j, full] = self.least[interval] < ids[full]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return out.T[back]
 
     def _turn(self, other: np.ndarray, symbol: np.ndarray, row: np.ndarray, at: np.ndarray, size: np.ndarray, run: np.ndarray) -> None:
         """Moves lanes whose next symbol differs to the nearest run of it; size -1 where there is none."""
@@ -188,8 +187,8 @@ class RunIndex:
         up_at, down_at = self.last_at[up], self.first_at[down]
         up_at, down_at = np.where(has_above, up_at, down_at), np.where(has_below, down_at, up_at)
         here = at[other]
-        up_size = np.minimum(self._shared(here, up_at, self.length), size[other])
-        down_size = np.minimum(self._shared(here, down_at, self.length), size[other])
+        up_size = self._shared(here, up_at, size[other])
+        down_size = self._shared(here, down_at, size[other])
         take_up = has_above & (~has_below | (up_size >= down_size))
         size[other] = np.where(take_up, up_size, down_size)
         at[other] = np.where(take_up, up_at, down_at)
@@ -250,39 +249,38 @@ def _covered(kind: Symbols, ids: list[int], raw: list[bytes], passages: list[tup
     out: list[np.ndarray | None] = [None] * len(raw)
     if not passages or not raw:
         return out
-    index = RunIndex(passages, kind.length)
     # Only windows with an anchor that some passage has can match: the others are not streamed.
-    known = np.unique(Batch(kind, [_codes(t) for _, t in passages]).anchors()[1])
-    batch = Batch(kind, [_codes(x) for x in raw])
-    at, anchor = batch.anchors()
-    at = at[np.isin(anchor, known)]
-    if not len(at):
-        return out
-    which = batch.document(at)
-    begin = np.maximum(at - kind.pad, batch.starts[which])
-    end = np.minimum(at, batch.starts[which] + batch.sizes[which] - kind.length) + 1  # of first places
+    anchors = [b.anchors()[1] for _, b in in_parts(kind, [_codes(t) for _, t in passages])]
+    known = np.unique(np.concatenate(anchors))
+    sizes = np.array([len(x) for x in raw], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    parts = []
+    for documents, batch in in_parts(kind, [_codes(x) for x in raw]):
+        at, anchor = batch.anchors()
+        at = at[known[np.minimum(np.searchsorted(known, anchor), len(known) - 1)] == anchor] if len(known) else at[:0]
+        row = batch.document(at)
+        place = at - batch.starts[row]
+        parts.append((documents[row], np.maximum(place - kind.pad, 0), np.minimum(place, batch.sizes[row] - kind.length) + 1))
+    which, begin, end = (np.concatenate(x) for x in zip(*parts))  # first places of windows
     fits = end > begin
-    begin, end, which = begin[fits], end[fits], which[fits]
+    which, begin, end = which[fits], begin[fits] + starts[which[fits]], end[fits] + starts[which[fits]]
     if not len(begin):
         return out
-    apart = np.concatenate([[True], (begin[1:] > end[:-1]) | (which[1:] != which[:-1])])
-    heads = np.flatnonzero(apart)
-    begin, which = begin[heads], which[heads]
-    end = np.append(end[heads[1:] - 1], end[-1])
-    flat = np.zeros(len(batch.flat), np.int16)
-    for start, data in zip(batch.starts.tolist(), raw):
-        flat[start : start + len(data)] = np.frombuffer(data, np.uint8).astype(np.int16) + 1
+    heads = np.flatnonzero(np.concatenate([[True], (begin[1:] > end[:-1]) | (which[1:] != which[:-1])]))
+    begin, which, end = begin[heads], which[heads], np.append(end[heads[1:] - 1], end[-1])
+    index = RunIndex(passages, kind.length)
+    flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int16) + 1
     limit = np.array([min(i, NULL_FROM) for i in ids], np.int64)
     found = np.zeros(len(flat) + 1, np.int32)
     lanes, first, part = _lanes(flat, begin, end, kind.length)
-    for a in range(0, len(lanes), 16_384):
-        some = slice(a, a + 16_384)
+    for a in range(0, len(lanes), 8_192):
+        some = slice(a, a + 8_192)
         hit, j = np.nonzero(index.statistics(lanes[some], limit[which[part[some]]]))
         found[first[some][hit] + j + 1] = 1
     upto = np.cumsum(found)
     covered = upto[1:] > upto[np.maximum(np.arange(1, len(upto)) - kind.length, 0)]
     for k in np.unique(which).tolist():
-        marks = covered[batch.starts[k] : batch.starts[k] + batch.sizes[k]]
+        marks = covered[starts[k] : starts[k] + sizes[k]]
         if marks.any():
             out[k] = marks
     return out
