@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,10 +40,9 @@ def process_cache(key: object, make: Callable[[], object]) -> object:
 def small_batches(batches: Iterator[pa.RecordBatch], sized: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of few rows and, unless one row is larger, few bytes of column ``sized``."""
     for batch in batches:
-        lengths = batch.column(sized).cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(sized)).fill_null(0).to_pylist()
         begin = size = 0
-        for i, x in enumerate(lengths):
-            n = 0 if x is None else len(x)
+        for i, n in enumerate(lengths):
             if i > begin and (size + n > BATCH_BYTES or i - begin >= BATCH_ROWS):
                 yield batch.slice(begin, i - begin)
                 begin, size = i, 0

@@ -400,7 +400,7 @@ def _packed(ids: list[int], texts: list[str], rests: list[str]) -> bytes:
 
     raw = [x.encode("utf-8") for pair in zip(texts, rests) for x in pair]
     head = np.array([len(ids), *ids, *map(len, raw)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
 
 
 def unpacked(parts: list[bytes]) -> list[Document]:
