@@ -35,7 +35,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack(packing.pieces_of(docs, path, public_tokenizers.PATTERN))
+    added = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(packing.pieces_of(docs, path, public_tokenizers.PATTERN, vocabulary_path=added))
 
 
 STAGES = [

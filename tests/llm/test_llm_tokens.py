@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tickloom.llm import packing, tokens
+from tickloom.llm import packing, queries, tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -100,6 +100,17 @@ def test_packing(spark, library):
     assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
 
 
+def test_packing_query_with_added_tokens(spark, tmp_path):
+    """The query's ids are those of the library as its file sets it up, also where added tokens stand."""
+    token = "<|endoftext|>"
+    texts = dict(enumerate([*TEXTS, token, f"a {token} b", f"{token}{token}  x\n{token}", f"<|endof{token}text|>", f"don{token}'t"]))
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    unaltered = Tokenizer.from_file(PATH)
+    got = queries.op9_packing(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    check(got, texts, lambda text: unaltered.encode(text, add_special_tokens=False).ids)
+
+
 def test_packing_nulls_and_none(spark):
     df = spark.createDataFrame([(None, None), (1, None), (1, None)], "doc_id long, text string")
     got = packing.pack(packing.pieces_of(df, RANKS, PATTERN)).collect()

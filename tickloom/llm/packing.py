@@ -7,14 +7,17 @@ length are interchangeable, so a piece finds its place by its rank among those o
 come from counts per partition: a length that holds most rows is spread over all of them.
 
 Defined cases: a null text is empty and its document is the closing id alone; repeated rows are packed
-each by itself; an empty table gives no rows.
+each by itself; an empty table gives no rows. Added tokens of a vocabulary file, if one is given, have
+their ids wherever they stand in a text; without one their strings are ordinary text.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,22 +40,47 @@ def _encoder(ranks_path: str, pattern: str):
     return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def added_tokens(vocabulary_path: str) -> dict[str, int]:
+    """Ids of the strings that a tokenizers file has the library cut out of texts before merging."""
+    with open(vocabulary_path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if odd := [t["content"] for t in tokens if t["lstrip"] or t["rstrip"] or t["single_word"]]:
+        raise ValueError(f"added tokens that depend on what is beside them: {odd}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def _ids_of(encoder, added: dict[str, int]) -> Callable[[str], np.ndarray]:
+    """Ids of a text: those of added tokens, leftmost and longest first, and of the text between them."""
+    plain = lambda text: encoder.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+    cut = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+
+    def ids(text: str) -> np.ndarray:
+        out, at = [], 0
+        for m in cut.finditer(text) if added else ():
+            out += [plain(text[at : m.start()]), np.array([added[m[0]]], "<u4")]
+            at = m.end()
+        return np.concatenate([*out, plain(text[at:])]) if at else plain(text)
+
+    return ids
+
+
 def pieces_of(
-    df: DataFrame, ranks_path: str, pattern: str, *, capacity: int = 2048, end_id: int = 1,
+    df: DataFrame, ranks_path: str, pattern: str, *, vocabulary_path: str | None = None, capacity: int = 2048, end_id: int = 1,
     id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` (and ``ids``) of every piece of every document."""
     docs = texts_of(df, id_col, text_col)
+    added = added_tokens(vocabulary_path) if vocabulary_path else {}
     schema = f"doc_id {type_of(docs, 'doc_id')}, start long, length long, ids_crc32 long, doc_tokens long"
     schema += ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = process_cache(("packing", ranks_path, pattern), lambda: _encoder(ranks_path, pattern))
-        last = np.array([end_id], "<u4")
+        ids_of, last = _ids_of(encoder, added), np.array([end_id], "<u4")
         for batch in small_batches(batches):
             at, start, length, crc, total, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                all_ids = np.concatenate([encoder.encode_to_numpy(text, disallowed_special=()).astype("<u4"), last])
+                all_ids = np.concatenate([ids_of(text), last])
                 for begin in range(0, len(all_ids), capacity):
                     piece = all_ids[begin : begin + capacity]
                     at.append(i)

@@ -60,7 +60,8 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = _vocabulary("byte_bpe_50k.tiktoken")
-    pieces = packing.pieces_of(_table(spark, folder, "documents"), path, pattern)
+    added = _vocabulary("byte_bpe_50k.json")[0]
+    pieces = packing.pieces_of(_table(spark, folder, "documents"), path, pattern, vocabulary_path=added)
     packed = packing.pack(pieces)
     return packed.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
