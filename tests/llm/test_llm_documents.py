@@ -195,6 +195,22 @@ def test_secrets_novelty(spark):
     assert got[4] == brute.written(brute.secret_spans(rows[3][1]), secrets.KINDS)
 
 
+def test_secrets_are_whole_and_names_open_the_search(spark):
+    """A long secret is reported to its end; parts of names in any case are sensitive words."""
+    rng = random.Random(3)
+    draw = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabdefghjkmnopqrstuvwxyz0123456789") for _ in range(n))
+    long, short = draw(700), draw(30) + "7a"
+    before = ['secretKey = "', 'awsSecretAccessKey: "', 'authToken("', "setPassword('", "signing_key is ", "AWS_KEY is ", "DB_PWD2 is ", "AWSSecret is "]
+    texts = [f"the bearer {long} then a token", f"a token {'and so on ' * 7}{long} end"] + [f"{b}{short}\" rest" for b in before]
+    texts += [f"the monkeys {short}", f"the author {short}", f"token {'far away ' * 12}{short}", f"my-auth-{'names-' * 8}token-{short}"]
+    places = [(t.find(long) if long in t else t.find(short), len(long) if long in t else len(short)) for t in texts]
+    got = {r.doc_id: r.spans for r in secrets.secret_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, (start, n) in enumerate(places[:10]):
+        assert got[i] == f"novel:{start}:{start + n}", texts[i]
+    assert [got[i] for i in (10, 11, 12)] == ["", "", ""]
+    assert got[13].endswith(f":{len(texts[13])}")
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_driver_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

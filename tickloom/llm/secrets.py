@@ -12,7 +12,9 @@ into the dictionary, whose size is bounded by definition.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,10 +31,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: A cheap sign that ASSIGN may match, and words after which secrets are looked for.
 SIGNS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-SENSITIVE = re.compile(r"(?<![a-z])(?:pass(?:word|wd|phrase)?|secrets?|tokens?|api[_ -]?keys?|private[_ -]?key|access[_ -]?key|credentials?|bearer|auth)(?![a-z])", re.IGNORECASE | re.ASCII)
-SENSITIVE_SIGNS = ("pass", "secret", "token", "key", "credential", "bearer", "auth")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}", re.ASCII)
-#: Characters after a sensitive word that are searched, and of surrounding text that prime the history.
+#: Where a word begins or ends inside a name: beside what is no letter, and where the case changes.
+_BOUND = r"|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
+SENSITIVE = re.compile(
+    rf"(?=[abckpstABCKPST])(?:(?<![A-Za-z]){_BOUND})"
+    r"(?i:pass(?:words?|wd|phrase|code)?|pwds?|secrets?|tokens?|api[_ -]?keys?|private[_ -]?keys?|access[_ -]?keys?|keys?|credentials?|creds?|bearer|auth)"
+    rf"(?:(?![A-Za-z]){_BOUND})",
+    re.ASCII,
+)
+SENSITIVE_SIGNS = ("pass", "pwd", "secret", "token", "key", "cred", "bearer", "auth")
+LEAST_CHARS = 12
+RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}+", re.ASCII)
+#: Characters after a sensitive word within which a candidate begins, and of surrounding text that prime the history.
 REACH, AROUND = 80, 400
 #: Bytes added per character from which a candidate is novel. Random hex adds at least half a byte a character.
 NOVEL_BYTES_PER_CHAR = 0.5
@@ -84,24 +94,37 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
     low = text.lower()
     if not any(sign in low for sign in SENSITIVE_SIGNS):
         return []
+    words = [m.end() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
     taken = sorted((start, end) for start, _, end in base)
-    found: dict[int, tuple[int, int, int, int]] = {}
-    at = 0
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH + 256)):
-            start, end = m.span()
-            if start > word.end() + REACH:
+    begins, ends = [start for start, _ in taken], list(accumulate((end for _, end in taken), max))
+    found = []
+    for run in RUN.finditer(text):
+        begin, end = run.span()
+        first, inside, last = bisect_left(words, begin - REACH), bisect_right(words, begin), bisect_left(words, end)
+        # A string begins with its run, or after a sensitive word in it, and always goes on to the run's end.
+        starts = [begin] * (inside > first) + words[inside:last]
+        starts = [s for s in starts if end - s >= LEAST_CHARS]
+        starts = [s for s, after in zip(starts, [*starts[1:], end]) if after - s >= LEAST_CHARS]
+        if not starts:
+            continue
+        digit = _last(text, begin, end, str.isdigit)
+        letter = _last(text, begin, end, str.isalpha)
+        for start, after in zip(starts, [*starts[1:], end]):
+            if min(digit, letter) < start:
                 break
-            if start in found or not any(c.isdigit() for c in m[0]) or not any(c.isalpha() for c in m[0]):
-                continue
-            while at < len(taken) and taken[at][1] <= word.end():
-                at += 1
-            if any(s < end and start < e for s, e in taken[max(0, at - 3) : at + 16]):
+            if (i := bisect_left(begins, end)) and ends[i - 1] > start:
                 continue
-            added = novelty.added(text, start, end)
-            if added >= NOVEL_BYTES_PER_CHAR * (end - start):
-                found[start] = (start, 3, end, added)
-    return [found[s] for s in sorted(found)]
+            if novelty.added(text, start, after) >= NOVEL_BYTES_PER_CHAR * (after - start):
+                found.append((start, 3, end, novelty.added(text, start, end)))
+                break
+    return found
+
+
+def _last(text: str, begin: int, end: int, test: Callable[[str], bool]) -> int:
+    """The last place from ``begin`` to ``end`` whose character passes; -1 if none does."""
+    return next((i for i in range(end - 1, begin - 1, -1) if test(text[i])), -1)
 
 
 def find_secrets(df: DataFrame, words: bytes, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
