@@ -30,6 +30,18 @@ def test_neighbours(spark):
         assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_neighbours_of_rows_repeated_often(spark):
+    """A near row repeated more than k times takes one place of the k, in one block and in several."""
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 12)).astype(np.float32))]
+    rows += [(201 + j, (3 * np.array(rows[20 * j][1], np.float32)).tolist()) for j in range(10) for _ in range(30)]
+    want = brute_nearest(rows, 20)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    for block in (neighbours.BLOCK_ROWS, 64):
+        got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, block_rows=block)
+        assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_neighbours_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(df, F.col("vec_id") % 20 == 0).count() == 0

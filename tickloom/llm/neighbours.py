@@ -57,6 +57,9 @@ class _Block:
         self.vectors = np.frombuffer(vectors, np.float64).reshape(-1, size)
         self.small, self.scale, self.lost = quantise(self.vectors)
         self.norm = np.linalg.norm(self.vectors, axis=1)
+        self.by_id = np.argsort(self.ids, kind="stable")
+        first = np.flatnonzero(np.diff(self.ids[self.by_id], prepend=self.ids[self.by_id[:1]] - 1))
+        self.first = first if len(first) < len(self.ids) else None  # of each id, if any is repeated
 
 
 def tile_nearest(q: _Block, c: _Block, k: int, heaps: list[list[tuple[float, int]]]) -> None:
@@ -68,6 +71,8 @@ def tile_nearest(q: _Block, c: _Block, k: int, heaps: list[list[tuple[float, int
     guess[q.ids[:, None] == c.ids[None, :]] = -np.inf
     low = guess - slack
     floor = np.full(len(q.ids), -np.inf)
+    if c.first is not None:  # the heap holds an id once, and so the floor counts it once
+        low = np.maximum.reduceat(low[:, c.by_id], c.first, axis=1)
     if low.shape[1] > k:
         floor = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
     floor = np.maximum(floor, [h[0][0] if len(h) == k else -np.inf for h in heaps])
