@@ -79,6 +79,20 @@ def test_many_classes_of_one_anchor(spark):
     same(table(runs.byte_digests(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.byte_rows(rows))
 
 
+def test_many_classes_of_one_document(spark):
+    """One document repeats a line in other company each time; another copies one window of it."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(40):
+        line = sentence(rng, 11, 10**6)
+        places = [f"{sentence(rng, 20, 10**6)} {line} {sentence(rng, 20, 10**6)}" for _ in range(7)]
+        window = " ".join(places[k % 7].split()[19:32])
+        rows += [(2 * k, " ".join(places)), (2 * k + 1, f"{sentence(rng, 20, 10**6)} {window} {sentence(rng, 20, 10**6)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    same(table(phrases.phrase_digests(docs), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.phrase_rows(rows))
+    same(table(runs.byte_digests(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.byte_rows(rows))
+
+
 def test_without_repeats_keeps_other_columns(spark):
     text = "é" * 40 + "x" * 30
     docs = spark.createDataFrame([(1, text, 70, "a", None), (2, f"{text} more", 75, "b", 2.5), (3, text, 70, None, 1.0)], "doc_id long, text string, n_chars long, source string, kept double")

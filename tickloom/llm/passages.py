@@ -262,8 +262,15 @@ def _anchor_rows(kind: Symbols, ids: np.ndarray, texts: list[str], shards: int,
     bucket, anchor, context, doc, place = (x[head] for x in (bucket, anchor, context, doc, place))
     group = _heads(bucket, anchor)
     begins = np.flatnonzero(group)
-    nth = np.arange(len(group)) - begins[np.cumsum(group) - 1] if len(group) else np.empty(0, np.int64)
-    many = nth >= MANY_CLASSES  # the first few go on and show the bucket that there are several
+    which = np.cumsum(group) - 1
+    nth = np.arange(len(group)) - begins[which] if len(group) else np.empty(0, np.int64)
+    size = np.diff(np.append(begins, len(group)))[which] if len(group) else np.empty(0, np.int64)
+    # Of many classes a few go on, those of the smallest and the largest id among them: so the bucket
+    # sees several ids for an anchor if there are several, and contests these few like the others.
+    large = np.flatnonzero(size > MANY_CLASSES)
+    by_id = large[np.lexsort((doc[large], which[large]))]
+    context[large], doc[large], place[large] = context[by_id], doc[by_id], place[by_id]
+    many = (size > MANY_CLASSES) & (nth >= MANY_CLASSES - 1) & (nth < size - 1)
     rows += _rows(CONTESTED, shard_of(doc[many], shards), PLACES, doc[many], place[many])
     rows += _rows(RECORD, bucket[~many], ANCHORS, anchor[~many], context[~many], doc[~many], place[~many])
     return rows
