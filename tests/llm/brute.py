@@ -2,7 +2,9 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
+from functools import cache
 
 import xxhash
 
@@ -121,3 +123,106 @@ def quality(text):
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
     base = n < 10 or 100 * again > 20 * n
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), again, base
+
+
+def periodic_runs(words):
+    """(start, length, period) of all runs, by trying every period."""
+    n, out = len(words), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            end = i + q
+            least = not any(all(words[k] == words[k + p] for k in range(start, end - p)) for p in range(1, q))
+            if i > start and end - start >= max(12, 2 * q) and least:
+                out.append((start, end - start, q))
+            i += 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def period_row(doc_id, text):
+    words = WORD.findall(text or "")
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = periodic_runs(words)
+    top = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    return doc_id, len(runs), *top, 1000 * top[1] // top[2] if runs else None, sha(listed), sha(kept)
+
+
+SPACE = " \t\n\v\f\r"
+
+
+def damage(rows):
+    """Rows (conv_id, turn, role, text) with the faults their checksum chooses."""
+    out = []
+    for conv, turn, role, text in rows:
+        h = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if h == 0:
+            continue
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        out += [(conv, turn, "user" if h == 4 else role, text)] * (2 if h == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """Faults, cheapest cost, first letters and lines of one conversation, by trying all edits."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    faults, seen = [], set()
+    for _, _, role, text in rows:
+        shown = text.strip(SPACE)
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else None if shown[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    turns = [r[1] for r in rows if r[1] is not None]
+    initials = [r[2][:1] for r in rows]
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    @cache
+    def best(i, last, inserts):
+        ways = [(0, "", ())] if i == len(rows) and last in ("", "a") else []
+        for x in follow[last]:
+            if x in "ua" and inserts < 3:
+                rest = best(i, x, inserts + 1)
+                ways += [(2 + rest[0], "I" + rest[1], (("user:" if x == "u" else "assistant:"), *rest[2]))] if rest else []
+        if i < len(rows):
+            rest = best(i + 1, last, 0)
+            ways += [(3 + rest[0], "D" + rest[1], rest[2])] if rest else []
+            late = faults[i] == "truncated"
+            for x in follow[last] if faults[i] not in ("blank", "duplicate") else "":
+                rest = best(i + 1, x, 0)
+                if rest and initials[i] == x:
+                    ways.append((late + rest[0], "K" + rest[1], (f"{rows[i][2]}:{rows[i][3]}", *rest[2])))
+                if rest and x in "ua":
+                    ways.append((2 + late + rest[0], "R" + rest[1], (("user:" if x == "u" else "assistant:") + rows[i][3], *rest[2])))
+        return min(ways) if ways else None
+
+    cost, audit, lines = best(0, "", 0)
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines))
+
+
+def repair_rows(rows):
+    by = {conv: [] for conv, *_ in rows}
+    for row in damage(rows):
+        by[row[0]].append(row)
+    return {conv: repaired(found) for conv, found in by.items()}
+
+
+def exact_rows(docs):
+    """(doc_id, keep_id, group_size, text digest) of each row."""
+    texts = [(i, re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for i, t in docs]
+    ids = {}
+    for i, t in texts:
+        ids.setdefault(t, []).append(i)
+    return [(i, max((x for x in ids[t] if x is not None), default=None), len(ids[t]), sha(t)) for i, t in texts]

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, neighbours, packing, phrases, private, quality, runs, secrets, simhash, tokens
+from tickloom.llm import (
+    chat,
+    exact,
+    neighbours,
+    packing,
+    periods,
+    phrases,
+    private,
+    quality,
+    repair,
+    runs,
+    secrets,
+    simhash,
+    tokens,
+)
 from tickloom.llm.oracle import ORACLE
 
 
@@ -72,6 +86,19 @@ def op10_phrase_automata(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.phrase_digests(_table(spark, folder, "documents"))
 
 
+def op11_exact_stream(spark: SparkSession, folder: str) -> DataFrame:
+    # A pattern, since a stream reads a folder or a pattern and the table may be a single file.
+    return exact.exact_digests(spark, f"{folder}/documents[.]parquet")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair_digests(_table(spark, folder, "conversations"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.run_digests(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_run_index": op1_run_index,
     "op2_chat_perspectives": op2_chat_perspectives,
@@ -83,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_packing": op9_packing,
     "op10_phrase_automata": op10_phrase_automata,
+    "op11_exact_stream": op11_exact_stream,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
