@@ -38,8 +38,12 @@ HELD_BYTES = 64 << 20
 #: A class with a thousandth of all rows is handed to every task: there are a thousand at most.
 HOT_SHARE = 1000
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk. Many small stores: batches store their changes, and files are not made larger than their content.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256(text: bytes) -> bytes:
@@ -92,8 +96,9 @@ def start(
     stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", size).parquet(path)
     rows = digested(stream, digest, id_col=id_col, text_col=text_col)
     classes = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "file", "row")).alias("held"), F.count(F.lit(1)).alias("size"))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
     try:
         # The state is the result: nothing else needs to be written.
         return (
@@ -101,10 +106,11 @@ def start(
             .trigger(**(trigger or {"availableNow": True})).start()
         )
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def classes_of(spark: SparkSession, state: str) -> DataFrame:
