@@ -79,3 +79,17 @@ def outlier_flags(
 
 def without_outliers(ticks: DataFrame, settings: OutlierSettings = OutlierSettings(), **options) -> DataFrame:
     return outlier_flags(ticks, settings, **options).filter("accepted").drop("accepted")
+
+
+def last_accepted(
+    flagged: DataFrame, clock: str = "event_time", tie: Sequence[str] = ("tick_id",), before: DataFrame | None = None
+) -> DataFrame:
+    """(symbol, price): the last accepted price of every symbol, for the next batch or a stream.
+
+    ``before`` holds those of earlier batches; symbols of which nothing was accepted since keep theirs.
+    """
+    newest = flagged.filter("accepted").groupBy("symbol").agg(F.max_by("price", F.struct(clock, *tie)).alias("price"))
+    if before is None:
+        return newest
+    kept = before.select("symbol", "price").join(newest.select(F.col("symbol").alias("_new")), F.col("symbol").eqNullSafe(F.col("_new")), "left_anti")
+    return kept.unionByName(newest)

@@ -16,6 +16,8 @@ from tickloom.functions.text import number_text
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 _LEG_PREFIX = "GAP__leg__"
 PROCESSED_KEY = "ALERTS__last_processed"
+# Owner of the keys that belong to no symbol; symbols are not empty.
+JOB = ""
 
 
 def _iso(ts: Column) -> Column:
@@ -26,6 +28,16 @@ def _entries(rows: DataFrame, key: Column, value: Column) -> DataFrame:
     return rows.select(key.alias("state_key"), value.alias("state_value"))
 
 
+def owner_of(key: Column) -> Column:
+    """What a key belongs to: its symbol, or one name for all keys of the job itself. All keys of a
+    symbol share an owner, so that the state of a batch's symbols can be found without the rest."""
+    of_job = F.startswith(key, F.lit("GAP__")) | F.startswith(key, F.lit("ALERTS__"))
+    of_alert = F.endswith(key, F.lit(fixed.ALERT_TIME_SUFFIX))
+    plain = F.regexp_replace(key, f"(?:{fixed.LAST_PRICE_SUFFIX}|{fixed.PRICE_HISTORY_SUFFIX})$", "")
+    alerted = F.regexp_extract(key, rf"^(.*)__(.*){fixed.ALERT_TIME_SUFFIX}$", 1)
+    return F.when(of_job, F.lit(JOB)).when(of_alert, alerted).otherwise(plain)
+
+
 # --- decode ----------------------------------------------------------------------------------
 
 

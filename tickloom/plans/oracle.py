@@ -300,4 +300,21 @@ WHERE window_end <= (SELECT max(event_time) FROM silver) - INTERVAL '1 minute'""
     "alert_stream": f"""{_WITH}, {SIGNALS}, {FIRED}, {LEGS}, {STREAM_ALERTS}
 SELECT alert_id, symbol, alert_type, severity, message, created_at, extra_data FROM alerts
 WHERE created_at > TIMESTAMP '2023-12-31 23:00:00'""",
+    "outlier_stream": f"""{_WITH}, {_outliers('silver', 'event_time, tick_id', "CASE symbol WHEN 'click' THEN 70.0 ELSE 90.0 END", 'o')}
+SELECT tick_id, symbol, price, source, event_time, accepted FROM o""",
+    "accepted_prices": f"""{_WITH}, {_outliers('silver', 'event_time, tick_id', "CASE symbol WHEN 'click' THEN 70.0 ELSE 90.0 END", 'o')}
+SELECT symbol, arg_max(price, (event_time, tick_id)) AS price FROM o WHERE accepted GROUP BY symbol""",
+    "alert_stream_batches": f"""{_WITH}, {SIGNALS}, {FIRED}, {LEGS}, {STREAM_ALERTS}
+SELECT alert_id, symbol, alert_type, severity, message, created_at, extra_data FROM alerts
+WHERE created_at > TIMESTAMP '2023-12-31 23:00:00'""",
+    "late_ticks": f"""{_WITH}, {SIGNALS}, {FIRED}, {LEGS}, {STREAM_ALERTS},
+landed AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-08' THEN 0 WHEN event_time < {_CUT} THEN 1
+                 WHEN event_time < TIMESTAMP '2024-01-23' THEN 2 ELSE 4 END AS batch_id FROM silver),
+fired_in AS (
+  SELECT CASE WHEN created_at < TIMESTAMP '2024-01-08' THEN 0 WHEN created_at < {_CUT} THEN 1
+              WHEN created_at < TIMESTAMP '2024-01-23' THEN 2 ELSE 4 END AS batch_id, count(*) AS n FROM alerts GROUP BY 1)
+SELECT batch_id, count(*) AS ticks, coalesce(any_value(n), 0) AS alerts, 0 AS late_ticks, max(event_time) AS high_water
+FROM landed LEFT JOIN fired_in USING (batch_id) GROUP BY batch_id
+UNION ALL SELECT 3, 0, 0, count(*), NULL FROM landed WHERE batch_id = 0""",
 }

@@ -26,7 +26,7 @@ from tickloom.plans.lineage import cut_lineage, ensure_checkpoint_dir
 from tickloom.sinks.messages import outbox_rows
 from tickloom.sinks.tables import upsert
 from tickloom.sources import quotes, tables
-from tickloom.streaming import alert_job, ingest
+from tickloom.streaming import alert_job, ingest, outliers
 
 NOW = "2024-01-31 00:00:00"
 RESTART_AT = "2024-01-16 00:00:00"
@@ -543,5 +543,86 @@ def alert_stream(spark, folder):
     alert_job.start_alerts(
         stream, place, f"{place}/c", SETTINGS, ONCE, now=datetime.fromisoformat("2024-01-01 00:00:00")
     ).awaitTermination()
+    return _stream_alerts(spark, place)
+
+
+def _stream_alerts(spark, place):
     done = tables.parquet_rows(spark, f"{place}/alerts", schemas.ALERTS)
     return done.select("alert_id", "symbol", "alert_type", "severity", "message", "created_at", "extra_data")
+
+
+# The ticks of a stream land in parts that end at these times.
+PART_ENDS = ("2024-01-08 00:00:00", RESTART_AT, "2024-01-23 00:00:00", "2100-01-01 00:00:00")
+
+
+def _in_parts(rows):
+    """Ticks by the time they land; each part reads its own range."""
+    at = F.col("event_time")
+    ends = [F.lit(end).cast("timestamp") for end in PART_ENDS]
+    return [rows.filter(at < end if before is None else (at >= before) & (at < end)) for before, end in zip([None, *ends], ends)]
+
+
+def _feed(parts, path, start):
+    """Land part after part: two meet a running query, each of the others one started again."""
+    query = None
+    for n, part in enumerate(parts):
+        part.write.mode("append").parquet(path)
+        if n == 0:
+            query = start({"processingTime": "0 seconds"})
+        if n < 2:
+            query.processAllAvailable()
+        if n == 1:
+            query.stop()
+        if n >= 2:
+            start(ONCE).awaitTermination()
+
+
+@query
+def outlier_stream(spark, folder):
+    """The outlier filter over four micro-batches and two restarts."""
+    place = _run_folder(spark, "outliers")
+    rows = silver(spark, folder)
+    _feed(_in_parts(rows), f"{place}/landed", lambda trigger: outliers.start_outliers(
+        tables.parquet_stream(spark, f"{place}/landed", rows.schema), f"{place}/flagged", f"{place}/c", SETTINGS.outliers, trigger
+    ))
+    return spark.read.parquet(f"{place}/flagged")
+
+
+@query
+def accepted_prices(spark, folder):
+    """The memory of the filter, handed from a batch over half of the ticks to a stream and read back."""
+    place = _run_folder(spark, "accepted")
+    first, second, *rest = _in_parts(silver(spark, folder))
+    flagged = clean.outlier_flags(first, SETTINGS.outliers)
+    before = clean.last_accepted(flagged)
+    before = cut_lineage(clean.last_accepted(clean.outlier_flags(second, SETTINGS.outliers, last_accepted=before), before=before))
+    _feed(rest, f"{place}/landed", lambda trigger: outliers.start_outliers(
+        tables.parquet_stream(spark, f"{place}/landed", first.schema), f"{place}/flagged", f"{place}/c", SETTINGS.outliers, trigger,
+        last_accepted=before,
+    ))
+    return outliers.accepted_prices(spark, f"{place}/c")
+
+
+def _alert_job_in_parts(spark, folder):
+    """The alert job over five micro-batches and restarts; the fourth holds the first part's ticks again, late."""
+    place = _run_folder(spark, "alerts")
+    at = F.col("event_time")
+    parts = _in_parts(silver(spark, folder).drop("tick_id").withColumns({"ingestion_time": at, "processed_at": at}))
+    _feed([*parts[:3], parts[0], parts[3]], f"{place}/landed", lambda trigger: alert_job.start_alerts(
+        tables.parquet_stream(spark, f"{place}/landed", schemas.SILVER), place, f"{place}/c", SETTINGS, trigger,
+        now=datetime.fromisoformat("2024-01-01 00:00:00"),
+    ))
+    return place
+
+
+@query
+def alert_stream_batches(spark, folder):
+    return _stream_alerts(spark, _alert_job_in_parts(spark, folder))
+
+
+@query
+def late_ticks(spark, folder):
+    """What each micro-batch of the alert job had: new ticks, late ones, newest time."""
+    place = _alert_job_in_parts(spark, folder)
+    stats = spark.read.parquet(f"{place}/batch_stats")
+    return stats.select(F.col("batch_id").cast("int"), "ticks", "alerts", "late_ticks", "high_water")

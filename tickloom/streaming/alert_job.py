@@ -2,12 +2,13 @@
 
 Every micro-batch runs the batch detectors, seeded with the state the batches before it left. All
 that a batch writes is keyed by its id and replaces what an earlier try of the same batch wrote, so
-a restart neither loses nor doubles alerts.
+a restart neither loses nor doubles alerts. The state lies in buckets by symbol: a batch reads and
+rewrites those of its own symbols.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,21 +21,18 @@ from tickloom import schemas
 from tickloom.config import Settings
 from tickloom.operators import state as states
 from tickloom.operators.alerts import gap_alert_rows, signal_alert_rows
-from tickloom.operators.detect import fired_signals, last_prices, ordered_ticks, worded
+from tickloom.operators.detect import fired_signals, last_prices, ordered_ticks, usable, worded
 from tickloom.operators.gap import fired_gaps, last_legs, leg_ticks
 from tickloom.operators.slices import ROWS_PER_SLICE
 from tickloom.plans.lineage import cut_lineage
 from tickloom.plans.reports import batch_counts
+from tickloom.sinks.buckets import BUCKET, bucket_of, read_buckets, write_buckets
 from tickloom.sinks.messages import outbox_rows
 from tickloom.sinks.tables import replace_part, upsert
-from tickloom.sources.tables import parquet_rows, time_range
+from tickloom.sources.tables import time_range
 
-# Versions of the state live in a few folders used in turn, so they do not pile up.
-STATE_SLOTS = 4
-
-_VERSIONED_STATE = T.StructType(
-    [*schemas.STATE.fields, T.StructField("version", T.LongType()), T.StructField("slot", T.IntegerType())]
-)
+# A bucket holds the state of a few thousand of a million symbols.
+STATE_BUCKETS = 256
 
 BATCH_STATS = T.StructType(
     [
@@ -103,14 +101,18 @@ def alert_batch(
     return BatchResult(alerts, upsert(state, entries), counts)
 
 
-def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """The newest state version older than ``batch_id``; empty on a fresh start."""
-    versions = parquet_rows(spark, path, _VERSIONED_STATE).filter(F.col("version") < batch_id)
-    newest = versions.agg(F.max("version")).first()[0]
-    if newest is not None:
-        # By slot first: files of the slot about to be replaced must not be part of the plan.
-        versions = versions.filter((F.col("slot") == newest % STATE_SLOTS) & (F.col("version") == newest))
-    return versions.drop("version", "slot")
+def state_before(
+    spark: SparkSession, path: str, batch_id: int, buckets: Iterable[int] | None = None, count: int = STATE_BUCKETS
+) -> DataFrame:
+    """The state as the batches before ``batch_id`` left it, or some of its buckets; empty on a fresh start."""
+    return read_buckets(spark, path, schemas.STATE, count, before=batch_id, buckets=buckets)
+
+
+def touched_buckets(ticks: DataFrame, clock: str = "event_time", count: int = STATE_BUCKETS) -> list[int]:
+    """Buckets with the state of the symbols of ``ticks`` and of the job: as many numbers as buckets at most."""
+    owners = usable(ticks, clock).select(bucket_of(F.col("symbol"), count).alias(BUCKET))
+    job = ticks.sparkSession.range(1).select(bucket_of(F.lit(states.JOB), count).alias(BUCKET))
+    return sorted(r[0] for r in owners.unionByName(job).distinct().collect())
 
 
 def alert_writer(
@@ -121,6 +123,7 @@ def alert_writer(
     now: datetime | None = None,
     outbox: bool = True,
     rows_per_slice: int = ROWS_PER_SLICE,
+    state_buckets: int = STATE_BUCKETS,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: tables ``alerts``, ``outbox``, ``batch_stats``, ``state`` under ``root``.
 
@@ -137,15 +140,15 @@ def alert_writer(
             batch.unpersist()
 
     def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
-        before = state_before(spark, f"{root}/state", batch_id)
+        buckets = touched_buckets(batch, clock, state_buckets)
+        before = state_before(spark, f"{root}/state", batch_id, buckets, state_buckets)
         result = alert_batch(batch, before, settings, clock, tie, now, rows_per_slice)
         part = f"batch_id={batch_id}"
         replace_part(result.alerts, f"{root}/alerts", part, "created_at")
         if outbox:
             replace_part(outbox_rows(result.alerts, zone=settings.display_zone), f"{root}/outbox", part)
         replace_part(result.stats, f"{root}/batch_stats", part)
-        version = result.state.withColumn("version", F.lit(batch_id).cast("bigint"))
-        replace_part(version, f"{root}/state", f"slot={batch_id % STATE_SLOTS}")
+        write_buckets(result.state, f"{root}/state", states.owner_of(F.col("state_key")), state_buckets, batch_id)
 
     return write
 
