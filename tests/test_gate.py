@@ -57,7 +57,11 @@ CASES = [
     (Cooldown(10**6, at_exactly=True, min_change=25.0), cooldown(10**6, True, 25.0), 2),
     (Band(), band(5.0), 1),
     (Band(), band(2.0), 1),
+    (Band(), band(150.0), 1),
+    (Band(), band(100.0), 1),
+    (Band(), band(0.0), 1),
 ]
+LIMITS = {5: 5.0, 6: 2.0, 7: 150.0, 8: 100.0, 9: 0.0}
 
 
 @pytest.mark.parametrize("case", range(len(CASES)))
@@ -65,7 +69,9 @@ CASES = [
 def test_gate_equals_a_loop(spark, case, rows_per_slice):
     rule, passes, step = CASES[case]
     rows = hot_rows(1500, case, step)
-    pct = {5: 5.0, 6: 2.0}.get(case, 0.0)
+    if case >= 7:  # few values, among them zero and some below it, and jumps beyond the limit
+        rows = [(k, t, i, float([0, 1, 2, 3, 7, 20, 60, -1, -4][int(v * 100) % (9 if i % 5 == 0 else 7)])) for k, t, i, v in rows]
+    pct = LIMITS.get(case, 0.0)
     df = spark.createDataFrame(rows, "key string, t long, id long, v double").repartition(5)
     got = gate(df, ["key"], ["t", "id"], rule, "t", "v", F.lit(pct), rows_per_slice=rows_per_slice)
     assert got.columns == ["key", "t", "id", "v"]
@@ -92,6 +98,37 @@ def test_summaries_stay_short(spark):
     assert len(Band().openers(rows)) <= records < len(rows) / 50
 
 
+def test_wide_and_empty_bands_have_short_summaries(spark):
+    import numpy as np
+
+    from tickloom.operators.gate import Walk
+
+    rng = np.random.default_rng(3)
+    t = np.arange(20000, dtype=np.int64)
+    rising = Walk(t, 100 + np.cumsum(rng.random(len(t))), np.full(len(t), 150.0))
+    assert len(Band().openers(rising)) == 1
+    steps = Walk(t, rng.integers(1, 150, len(t)).astype(float), np.zeros(len(t)))
+    assert len(Band().openers(steps)) <= 150 < len(t) / 100
+    wide = Walk(t, rng.lognormal(5, 1, len(t)), np.full(len(t), 150.0))
+    assert len(Band().openers(wide)) < len(t) / 100
+
+
+def test_openers_are_all_that_can_be_first(spark):
+    import numpy as np
+
+    from tickloom.operators.gate import Walk, first_pass
+
+    rng = np.random.default_rng(4)
+    for limit in (0.0, 3.0, 99.0, 100.0, 101.0, 150.0, 400.0):
+        for _ in range(40):
+            v = rng.choice([0.0, -1.0, -3.0, 1.0, 2.0, 2.5, 4.0, 9.0, 50.0, float("nan")], 12)
+            rows = Walk(np.arange(12), v, np.full(12, limit))
+            openers = set(Band().openers(rows).tolist())
+            for base in [None, -2.0, 0.0, 0.4, 0.8, 1.0, 1.01, 1.6, 2.0, 2.6, 4.4, 20.0, 25.0, 60.0, 1e6]:
+                first = first_pass(Band(), rows, 0, None if base is None else (0, base))
+                assert first == 12 or first in openers, (limit, v, base)
+
+
 def test_long_summaries_go_in_pairs(spark, monkeypatch):
     from tickloom.operators import gate as module
 

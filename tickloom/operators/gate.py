@@ -100,6 +100,18 @@ class Cooldown:
         return fresh
 
 
+def _new_lows(v: np.ndarray) -> np.ndarray:
+    """The first row, those with a value below all before them, of values below zero those above all
+    before them, and the first that is no number: with no upper end to a band, all that can be first."""
+    up, down = np.where(v >= 0, v, np.inf), np.where(v < 0, v, -np.inf)
+    lowest = np.minimum.accumulate(np.concatenate([[np.inf], up[:-1]]))
+    highest = np.maximum.accumulate(np.concatenate([[-np.inf], down[:-1]]))
+    odd = np.isnan(v)
+    keep = (up < lowest) | (down > highest) | (odd & (np.cumsum(odd) == 1))
+    keep[0] = True
+    return np.flatnonzero(keep)
+
+
 @dataclass(frozen=True)
 class Band:
     """Pass while the value is within ``limit`` percent of the last value that passed."""
@@ -120,7 +132,16 @@ class Band:
         # A row can follow any base within its own band. Between the lowest and the highest value of
         # rows whose bands overlap, every base that suits a row suits one of them: only new highs
         # and lows of such a group can be first. Groups join when bands overlap beyond rounding.
+        # With limits of 100 % and more a band has no upper end, and only new lows can be first. A
+        # base that is missing, zero or negative takes any row, so the first one.
         share = rows.limit / 100
+        if (share == 0).all():
+            # Only the same value follows: the first of each.
+            return np.unique([0, *np.unique(rows.v, return_index=True)[1]])
+        if share[0] >= 1 and (share == share[0]).all():
+            return _new_lows(rows.v)
+        odd = np.isnan(rows.v)
+        suits = odd | (share >= 1) | ((rows.v > 0) & (share >= 0))
         plain = (rows.v > 0) & (share < 1) & (share > 0)
         with np.errstate(divide="ignore", invalid="ignore"):
             low = np.where(plain, rows.v / (1 + share), 0.0)
@@ -135,7 +156,8 @@ class Band:
             known = np.zeros(stop - at, dtype=bool)
             for least, most, _, _, reach in groups:
                 known |= (v >= least) & (v <= most) & (limit <= reach)
-            fresh = ~(known & plain[at:stop])
+            fresh = ~(known & plain[at:stop]) & suits[at:stop]
+            fresh[0] |= at == 0
             if not fresh.any():
                 at, step = stop, step * 2
                 continue
