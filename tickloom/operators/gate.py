@@ -9,8 +9,11 @@ Keys too large for one task are walked slice by slice, exactly and in parallel:
 
 1. every slice summarises itself as its *openers* - the rows that could be the first to pass after
    some earlier row - each with the row that would pass last if the slice started there;
-2. summaries of neighbouring slices are composed in groups, level by level, until one is left per
-   key - the longer the summaries, the smaller the groups - and the last passed row is then handed back down, which tells each slice where it starts;
+2. that tells each slice where it starts. Cooldowns, of which a dense key can have openers without
+   number, follow the path from slice to slice by pointer doubling over tables
+   (:mod:`tickloom.operators.successors`). Summaries of the outlier filter, which are short, are
+   composed in groups, level by level, until one is left per key, and the last passed row is handed
+   back down;
 3. the scan runs on all slices at once, each from its own start.
 
 Only summaries of keys that span slices travel, and the hand-over is one row per slice and key that
@@ -33,6 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tickloom.operators.slices import ROWS_PER_SLICE, SLICE, Sliced, slice_rows
+from tickloom.operators.successors import path_exits
 from tickloom.plans.lineage import cut_lineage
 
 PASSED = "_passed"
@@ -90,6 +94,11 @@ class Cooldown:
     def time_only(self) -> bool:
         return self.min_change is None
 
+    @property
+    def at_once(self) -> bool:
+        """Whether a row may pass right after one of the same time."""
+        return self.at_exactly and self.seconds <= 0
+
     def must_stay(self, rows: Walk) -> np.ndarray:
         """Openers a change of value can make first: new highs and lows. Time reaches all others."""
         fresh = np.zeros(len(rows), dtype=bool)
@@ -219,6 +228,15 @@ def walk(rule, rows: Walk, last: tuple[int, float] | None) -> tuple[np.ndarray,
 
 def exits(rule, rows: Walk, openers: np.ndarray) -> np.ndarray:
     """For each opener, the last row that passes if that opener is the first."""
+    if rule.time_only and not rule.at_once:
+        # Where each row leads, over and over, until nothing leads on.
+        following = np.searchsorted(rows.t, rows.t + int(rule.seconds * 1_000_000), side="left" if rule.at_exactly else "right")
+        last = np.where(following < len(rows), following, np.arange(len(rows)))
+        while True:
+            further = last[last]
+            if np.array_equal(further, last):
+                return last[openers]
+            last = further
     ends = failing_neighbours(rule, rows)
     known: dict[int, int] = {}
     result = np.empty(len(openers), dtype=np.int64)
@@ -546,8 +564,33 @@ def _with_starts(
         .sortWithinPartitions(SLICE, *keys, *order)
         .select(*[c for c in dict.fromkeys(seen) if c in rows.columns])
     )
-    levels = [cut_lineage(narrow.mapInArrow(_summariser(rule, names, schema), schema))]
-    fan_ins, width = [], sliced.count
+    summaries = cut_lineage(narrow.mapInArrow(_summariser(rule, names, schema), schema))
+    if isinstance(rule, Cooldown):
+        starts = path_exits(summaries, keys, _bare_walk, rule, first_pass)
+    else:
+        starts = _composed_starts(summaries, sliced.count, keys, key_fields, rule, schema)
+    # Spanning keys of the layout are fewer than its slices, so this broadcast is bounded by the
+    # number of slices.
+    handed = cut_lineage(starts.filter(F.col("_before_t").isNotNull())).select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_to"), "_before_t", "_before_v"
+    )
+    found = rows.join(F.broadcast(handed), _same(rows, handed, keys, rows[SLICE] == handed["_to"]), "left")
+    if "_seed_t" in rows.columns:
+        found = found.withColumns(
+            {"_before_t": F.coalesce("_before_t", "_seed_t"), "_before_v": F.coalesce("_before_v", "_seed_v")}
+        )
+    return found.drop("_to", *[f"_key_{k}" for k in keys])
+
+
+def _bare_walk(t, v) -> Walk:
+    return Walk(t, v, np.zeros(len(t)))
+
+
+def _composed_starts(
+    summaries: DataFrame, count: int, keys: Sequence[str], key_fields: Sequence[T.StructField], rule, schema: T.StructType
+) -> DataFrame:
+    """(keys, _node, _before_t, _before_v) by composing summaries up a tree and handing starts down it."""
+    levels, fan_ins, width = [summaries], [], count
     while width > 1:
         # Long summaries are composed in smaller groups, down to pairs: a group stays within a task.
         longest = levels[-1].groupBy(*keys, "_node").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
@@ -582,17 +625,7 @@ def _with_starts(
         starts = _by_parent(joined, keys, fan_in).applyInPandas(
             _keyed(partial(_hand_down, rule), keys, start_schema.names), start_schema
         )
-    # Spanning keys of the layout are fewer than its slices, so this broadcast is bounded by the
-    # number of slices.
-    handed = cut_lineage(starts.filter(F.col("_before_t").isNotNull())).select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_to"), "_before_t", "_before_v"
-    )
-    found = rows.join(F.broadcast(handed), _same(rows, handed, keys, rows[SLICE] == handed["_to"]), "left")
-    if "_seed_t" in rows.columns:
-        found = found.withColumns(
-            {"_before_t": F.coalesce("_before_t", "_seed_t"), "_before_v": F.coalesce("_before_v", "_seed_v")}
-        )
-    return found.drop("_to", *[f"_key_{k}" for k in keys])
+    return starts
 
 
 def _by_parent(level: DataFrame, keys: Sequence[str], fan_in: int):

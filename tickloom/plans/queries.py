@@ -487,6 +487,28 @@ def heartbeats(spark, folder):
     return health.heartbeats(ticks(spark, folder).select(F.col("event_time").alias("report_time")), SETTINGS.health)
 
 
+# --- the layout of large keys ------------------------------------------------------------------
+
+# Far below the rows of a key, so that every key is spread over slices.
+SLICE_ROWS = 200
+
+
+@query
+def sliced_outlier_flags(spark, folder):
+    return clean.outlier_flags(silver(spark, folder), SETTINGS.outliers, rows_per_slice=SLICE_ROWS)
+
+
+@query
+def sliced_gap_alerts(spark, folder):
+    rows = gap.gap_alerts(silver(spark, folder), SETTINGS.gap, rows_per_slice=SLICE_ROWS)
+    return rows.select("tick_id", "event_time", "gap", "message", "global_age_sec", "local_age_sec")
+
+
+@query
+def sliced_supplier_signals(spark, folder):
+    return detect.signal_alerts(supplier_ticks(spark, folder), SUPPLIER_SIGNALS, tie=SUPPLIER_TIE, rows_per_slice=SLICE_ROWS)
+
+
 # --- streams, run to the end of their input ----------------------------------------------------
 
 
