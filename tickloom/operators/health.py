@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tickloom.functions import fixed
 from tickloom.functions.measures import instant, seconds_between
 from tickloom.functions.text import check_line, health_head, heartbeat_text
 from tickloom.operators.slices import CARRIED, ROWS_PER_SLICE, slice_rows, with_earlier_rows
+from tickloom.sources.tables import DAY_OF
 
 
 def expected_feeds(spark: SparkSession, settings: HealthSettings = HealthSettings()) -> DataFrame:
@@ -25,8 +27,59 @@ def last_ticks(silver: DataFrame) -> DataFrame:
     return silver.groupBy("symbol").agg(F.max("event_time").alias("last_seen"))
 
 
+def day_of_files(rows: DataFrame, time: str = "event_time") -> list[date]:
+    """Days of a table's partitions, from the names of its files; none if it is not partitioned by day."""
+    mark = f"/{DAY_OF[time]}="
+    if DAY_OF[time] not in rows.columns:
+        return []
+    found = {f.rpartition(mark)[2].partition("/")[0] for f in rows.inputFiles() if mark in f}
+    return sorted(date.fromisoformat(day) for day in found if day != "__HIVE_DEFAULT_PARTITION__")
+
+
+def of_days(rows: DataFrame, time: str, first: date, last: date | None) -> DataFrame:
+    day = F.col(DAY_OF[time])
+    return rows.filter(day >= F.lit(first) if last is None else (day >= F.lit(first)) & (day < F.lit(last)))
+
+
+def newest_first(silver: DataFrame, symbols: Sequence[str], time: str = "event_time") -> DataFrame:
+    """Last tick time of each of a few symbols, from the newest days back.
+
+    A table by day is read from its newest day on; only symbols without a tick there are looked for in
+    the days before, one, two, four and so on at a time. Other tables are read whole. A row a symbol.
+    """
+    spark = silver.sparkSession
+    days = day_of_files(silver, time)
+    if not days:
+        return last_ticks(silver.filter(F.col("symbol").isin(*symbols)))
+    found: list[tuple] = []
+    missing, until, width = list(symbols), None, 1
+    while missing and days:
+        days, part = days[:-width], days[-width:]
+        rows = of_days(silver, time, part[0], until).filter(F.col("symbol").isin(*missing))
+        new = [tuple(r) for r in last_ticks(rows).filter(F.col("last_seen").isNotNull()).collect()]
+        found += new
+        missing = [s for s in missing if s not in {symbol for symbol, _ in new}]
+        until, width = part[0], width * 2
+    kind = silver.schema["symbol"].dataType.simpleString()
+    return spark.createDataFrame(found, f"symbol {kind}, last_seen {silver.schema[time].dataType.simpleString()}")
+
+
+def newest_day(rows: DataFrame, time: str = "event_time") -> DataFrame:
+    """Rows that hold the last time of a table: its newest days that have any, or all rows without days."""
+    days, until, width = day_of_files(rows, time), None, 1
+    part = rows
+    while days:
+        days, newest = days[:-width], days[-width:]
+        part = of_days(rows, time, newest[0], until)
+        if not part.isEmpty():
+            break
+        until, width = newest[0], width * 2
+    return part
+
+
 def layer_lag(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     """Seconds from the newest silver to the newest bronze time; null if a layer has none."""
+    bronze, silver = newest_day(bronze), newest_day(silver)
     both = bronze.select(F.col("event_time").alias("b"), F.lit(None).cast("timestamp").alias("s")).unionByName(
         silver.select(F.lit(None).cast("timestamp").alias("b"), F.col("event_time").alias("s"))
     )
@@ -48,6 +101,15 @@ def row_counts(layers: Mapping[str, DataFrame | None]) -> DataFrame:
     return result
 
 
+def table_row_counts(spark: SparkSession, paths: Mapping[str, str | None]) -> DataFrame:
+    """Rows per layer of Parquet tables, summed up from the files' footers; an absent layer counts 0."""
+    # Settings of its own: the newer reader, which lets counts be pushed into the files.
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return row_counts({name: None if path is None else session.read.parquet(path) for name, path in paths.items()})
+
+
 def _graded(value: Column, limit: Column) -> Column:
     return (
         F.when(value >= limit, fixed.DEAD).when(value >= limit * 0.5, fixed.WARN).otherwise(fixed.OK)
@@ -115,7 +177,7 @@ def health_report(
     """All checks (position, name, status, message, value): a few rows whatever the tables hold."""
     feeds = expected_feeds(silver.sparkSession, settings)
     # Only expected symbols are counted: as many rows as the settings have feeds.
-    last = F.broadcast(last_ticks(silver.filter(F.col("symbol").isin(*settings.max_silence_seconds))))
+    last = F.broadcast(newest_first(silver, list(settings.max_silence_seconds)))
     return feed_checks(feeds, last, now).unionByName(lag_check(layer_lag(bronze, silver), settings))
 
 

@@ -300,6 +300,11 @@ WHERE window_end <= (SELECT max(event_time) FROM silver) - INTERVAL '1 minute'""
     "alert_stream": f"""{_WITH}, {SIGNALS}, {FIRED}, {LEGS}, {STREAM_ALERTS}
 SELECT alert_id, symbol, alert_type, severity, message, created_at, extra_data FROM alerts
 WHERE created_at > TIMESTAMP '2023-12-31 23:00:00'""",
+    "table_row_counts": """SELECT 'events' AS layer, count(*) AS row_count FROM events
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'gone', 0""",
+    "last_ticks_by_day": f"""{_WITH} SELECT symbol, max(event_time) AS last_seen FROM silver
+WHERE symbol IN ('click', 'purchase') OR symbol = 'view' AND event_time < TIMESTAMP '2024-01-09' GROUP BY symbol""",
+    "silver_after_reset": f"{_WITH} SELECT DISTINCT symbol, price, source, event_time, 2 AS attempts FROM silver",
     "outlier_stream": f"""{_WITH}, {_outliers('silver', 'event_time, tick_id', "CASE symbol WHEN 'click' THEN 70.0 ELSE 90.0 END", 'o')}
 SELECT tick_id, symbol, price, source, event_time, accepted FROM o""",
     "accepted_prices": f"""{_WITH}, {_outliers('silver', 'event_time, tick_id', "CASE symbol WHEN 'click' THEN 70.0 ELSE 90.0 END", 'o')}

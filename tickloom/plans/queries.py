@@ -24,7 +24,7 @@ from tickloom.plans import reports
 from tickloom.plans.health_cycle import health_cycle
 from tickloom.plans.lineage import cut_lineage, ensure_checkpoint_dir
 from tickloom.sinks.messages import outbox_rows
-from tickloom.sinks.tables import upsert
+from tickloom.sinks.tables import append_parquet, delete_files, upsert
 from tickloom.sources import quotes, tables
 from tickloom.streaming import alert_job, ingest, outliers
 
@@ -433,6 +433,22 @@ def row_counts(spark, folder):
     )
 
 
+@query
+def table_row_counts(spark, folder):
+    """Counts of whole tables out of their footers."""
+    return health.table_row_counts(spark, {"events": f"{folder}/events.parquet", "lineitem": f"{folder}/lineitem.parquet", "gone": None})
+
+
+@query
+def last_ticks_by_day(spark, folder):
+    """Last ticks of a table by day, from its newest day back: one feed stopped early, one never came."""
+    place = _run_folder(spark, "silver")
+    stopped = (F.col("symbol") != "view") | (F.col("event_time") < F.lit("2024-01-09").cast("timestamp"))
+    append_parquet(silver(spark, folder).filter(stopped), f"{place}/silver", "event_time")
+    rows = tables.parquet_rows(spark, f"{place}/silver", schemas.TICKS)
+    return health.newest_first(rows, ["click", "view", "purchase", "never"])
+
+
 @query
 def batch_counts(spark, folder):
     return reports.batch_counts(silver(spark, folder), alerts(spark, folder)).drop("late_ticks")
@@ -648,3 +664,41 @@ def late_ticks(spark, folder):
     place = _alert_job_in_parts(spark, folder)
     stats = spark.read.parquet(f"{place}/batch_stats")
     return stats.select(F.col("batch_id").cast("int"), "ticks", "alerts", "late_ticks", "high_water")
+
+
+@query
+def silver_after_reset(spark, folder):
+    """Silver whose source is rewritten while a batch is open: reading fails, and the supervised job goes on
+    with a new checkpoint, without writing a row twice."""
+    place = _run_folder(spark, "reset")
+    landed, check = f"{place}/landed", f"{place}/c"
+    at = F.col("event_time")
+    rows = ticks(spark, folder).drop("tick_id").withColumn("ingestion_time", at)
+    cut = F.lit(RESTART_AT).cast("timestamp")
+    rows.filter(at < cut).write.parquet(landed)
+    bronze = tables.parquet_stream(spark, landed, schemas.BRONZE)
+    ingest.start_silver(bronze, f"{place}/first", check, trigger=ONCE).awaitTermination()
+
+    rows.filter(at >= cut).write.mode("append").parquet(landed)
+
+    def overtaken(batch, batch_id):
+        # The batch knows its files; before it reads them the source is written anew and they go.
+        old = spark.read.parquet(landed).inputFiles()
+        spark.read.schema(schemas.BRONZE).parquet(landed).write.mode("append").parquet(landed)
+        delete_files(spark, old)
+        batch.write.mode("append").parquet(f"{place}/lost")
+
+    def written():
+        first = tables.parquet_rows(spark, f"{place}/first", schemas.SILVER).withColumn("run", F.lit("first"))
+        again = tables.parquet_rows(spark, f"{place}/again", T.StructType([*schemas.SILVER.fields, T.StructField("run", T.StringType())]))
+        return first.unionByName(again.select(*first.columns) if "event_date" in again.columns else again, allowMissingColumns=True)
+
+    def start(checkpoint):
+        if checkpoint == check:
+            stream = ingest.silver_ticks(bronze).writeStream.foreachBatch(overtaken)
+            return stream.option("checkpointLocation", checkpoint).trigger(**ONCE).start()
+        return ingest.start_silver_again(bronze, written, f"{place}/again", checkpoint, ONCE)
+
+    attempts = ingest.run_with_recovery(start, check, ingest.source_files_gone)
+    done = written().select("symbol", "price", "source", "event_time")
+    return done.withColumn("attempts", F.lit(attempts))

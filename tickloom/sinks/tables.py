@@ -71,6 +71,14 @@ def replace_part(rows: DataFrame, path: str, part: str, time: str | None = None)
         by_day(with_day(rows, time), time).write.mode("overwrite").partitionBy(DAY_OF[time]).parquet(target)
 
 
+def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete files a rewrite has replaced."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, False)
+
+
 def latest_by_key(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of rows with the same key the one with the latest ``updated_at``."""
     rest = [c for c in updates.columns if c not in keys]

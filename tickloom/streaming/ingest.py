@@ -151,3 +151,8 @@ def run_with_recovery(
 
 def snapshot_expired(error: Exception) -> bool:
     return "snapshot was expired or removed" in str(error)
+
+
+def source_files_gone(error: Exception) -> bool:
+    """Files a stream had planned to read are not there any more, as after a rewrite of its source."""
+    return "FILE_NOT_EXIST" in str(error) or "FileNotFoundException" in str(error)
