@@ -42,6 +42,25 @@ def test_neighbours_of_rows_repeated_often(spark):
         assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_neighbours_of_any_size(spark):
+    """Components near both ends of what doubles hold, and vectors of one component."""
+    rng = np.random.default_rng(11)
+    sizes = [1.0, 1e160, 1e-160, 1e300, 1e-300, 5e-324, 1e-308]
+    rows = [(i, (rng.normal(size=6) * sizes[i % len(sizes)]).tolist()) for i in range(160)]
+    rows += [(200 + i, [0.0] * (i % 6) + [sizes[i % 7] * (-1) ** i] + [0.0] * (5 - i % 6)) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    good = {i: np.array(v) for i, v in rows if any(v)}
+    want = []
+    with np.errstate(all="ignore"):
+        for q in good:
+            if q % 20 == 0:
+                found = {i: float(np.nan_to_num(np.cumsum(good[q] * v)[-1], nan=-np.inf, posinf=np.inf, neginf=-np.inf)) for i, v in good.items() if i != q}
+                want += [(q, n, i, s) for n, (i, s) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:20], 1)]
+    for block in (neighbours.BLOCK_ROWS, 16):
+        got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20, block_rows=block)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
 def test_neighbours_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(df, F.col("vec_id") % 20 == 0).count() == 0

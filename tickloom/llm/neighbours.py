@@ -9,7 +9,10 @@ stated number of blocks of candidates. The result does not depend on block sizes
 Defined cases: rows with a null id, and vectors that are null, empty, zero or hold a null or
 non-finite component, take no part; vectors of different lengths are not compared; rows of a query's
 own id are no candidates for it; repeated rows (same id and vector) count once; ties go to the smaller
-id; a query without candidates gives no rows.
+id; a query without candidates gives no rows, so an empty table gives none. Components may be as large or
+as small as doubles are: bounds are worked out on vectors scaled by powers of two. A product beyond
+doubles is infinite, and a sum of infinities of both signs counts as minus infinity. Columns other than
+the two named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,8 +58,11 @@ class _Block:
     def __init__(self, ids: bytes, vectors: bytes, size: int):
         self.ids = np.frombuffer(ids, np.int64)
         self.vectors = np.frombuffer(vectors, np.float64).reshape(-1, size)
-        self.small, self.scale, self.lost = quantise(self.vectors)
-        self.norm = np.linalg.norm(self.vectors, axis=1)
+        # Largest components between a half and one: squares neither overflow nor vanish.
+        self.exponent = np.frexp(np.abs(self.vectors).max(axis=1))[1]
+        scaled = np.ldexp(self.vectors, -self.exponent[:, None])
+        self.small, self.scale, self.lost = quantise(scaled)
+        self.norm = np.linalg.norm(scaled, axis=1)
         self.by_id = np.argsort(self.ids, kind="stable")
         first = np.flatnonzero(np.diff(self.ids[self.by_id], prepend=self.ids[self.by_id[:1]] - 1))
         self.first = first if len(first) < len(self.ids) else None  # of each id, if any is repeated
@@ -68,8 +74,12 @@ def tile_nearest(q: _Block, c: _Block, k: int, heaps: list[list[tuple[float, int
     # |qc - q'c'| <= |q - q'| |c| + |q'| |c - c'|, and a little for the rounding of doubles
     slack = q.lost[:, None] * c.norm[None, :] + (q.norm + q.lost)[:, None] * c.lost[None, :]
     slack += 1e-9 * (q.norm[:, None] * c.norm[None, :])
-    guess[q.ids[:, None] == c.ids[None, :]] = -np.inf
-    low = guess - slack
+    own = q.ids[:, None] == c.ids[None, :]
+    exponent = q.exponent[:, None] + c.exponent[None, :]
+    least = q.vectors.shape[1] * np.finfo(np.float64).smallest_subnormal  # what rounding of tiny products may add
+    with np.errstate(over="ignore"):
+        low = np.where(own, -np.inf, np.ldexp(guess - slack, exponent) - least)
+        high = np.ldexp(guess + slack, exponent) + least
     floor = np.full(len(q.ids), -np.inf)
     if c.first is not None:  # the heap holds an id once, and so the floor counts it once
         low = np.maximum.reduceat(low[:, c.by_id], c.first, axis=1)
@@ -77,10 +87,12 @@ def tile_nearest(q: _Block, c: _Block, k: int, heaps: list[list[tuple[float, int
         floor = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
     floor = np.maximum(floor, [h[0][0] if len(h) == k else -np.inf for h in heaps])
     for i in range(len(q.ids)):
-        at = np.flatnonzero((guess[i] + slack[i] >= floor[i]) & (guess[i] > -np.inf))
+        at = np.flatnonzero(~(high[i] < floor[i]) & ~own[i])
         if not len(at):
             continue
-        scores = np.cumsum(c.vectors[at] * q.vectors[i], axis=1)[:, -1]  # added up from left to right, in every tile alike
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.cumsum(c.vectors[at] * q.vectors[i], axis=1)[:, -1]  # added up from left to right, in every tile alike
+        scores[np.isnan(scores)] = -np.inf
         best = np.lexsort((c.ids[at], -scores))
         held, heap = {-x for _, x in heaps[i]}, heaps[i]
         taken = 0
