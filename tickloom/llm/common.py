@@ -20,10 +20,20 @@ BATCH_ROWS, BATCH_BYTES = 2_000, 4_000_000
 def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names; a null text is empty."""
     return df.select(
-        df[id_col].alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text")
+        column(df, id_col).alias("doc_id"), F.coalesce(column(df, text_col).cast("string"), F.lit("")).alias("text")
     )
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """A column by its exact name, whatever characters that holds."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def text_key(df: DataFrame, text_col: str) -> Column:
+    """Hash of a row's text; with the row's id it names the text."""
+    return F.xxhash64(F.coalesce(column(df, text_col).cast("string"), F.lit("")))
+
+
 def words_of(text: Column) -> Column:
     """Words of a text: runs of characters other than ASCII white space."""
     return F.filter(F.split(text, SPACES), lambda w: w != "")

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import texts_of
+from tickloom.llm.common import column, text_key, texts_of
 from tickloom.plans.lineage import cut_lineage
 
 #: Kinds in the order that spans of equal start follow.
@@ -235,7 +235,7 @@ def without_private(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """``df`` with every span of its texts replaced by its kind; ``n_chars_col``, if any, is counted anew."""
     found = find_private(df, id_col=id_col, text_col=text_col).where(F.size("spans") > 0)
     found = found.groupBy("doc_id", "text_key").agg(F.first("spans").alias("spans"))
-    row = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit(""))).alias("key"))
+    row = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"), text_key(df, text_col).alias("key"))
     both = row.join(found, F.col("row")[id_col].eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")), "left")
     text = F.when(F.col("spans").isNotNull(), masked(F.col("row")[text_col], F.col("spans"))).otherwise(F.col("row")[text_col])
     columns = {c: F.col("row")[c] for c in df.columns} | {text_col: text}

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import texts_of, words_of
+from tickloom.llm.common import column, texts_of, words_of
 
 WINDOW = 5
 
@@ -57,9 +57,9 @@ def measure(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wh
     With ``whole`` a column ``row`` holds the row of ``df`` as it is.
     """
     docs = texts_of(df, id_col, text_col) if not whole else df.select(
-        df[id_col].alias("doc_id"),
-        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
-        F.struct(*[df[c] for c in df.columns]).alias("row"),
+        column(df, id_col).alias("doc_id"),
+        F.coalesce(column(df, text_col).cast("string"), F.lit("")).alias("text"),
+        F.struct(*[column(df, c) for c in df.columns]).alias("row"),
     )
     held = ["doc_id", *["row"] * whole]
     words = docs.select(

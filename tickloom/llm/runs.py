@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tickloom.llm.common import column, text_key
 from tickloom.llm.passages import NULL_FROM, Document, Symbols, in_parts, recurring
 
 LENGTH, GRAM = 50, 20
@@ -287,21 +287,25 @@ def _covered(kind: Symbols, ids: list[int], raw: list[bytes], passages: list[tup
 
 
 def without_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
-    """``df`` with the bytes of repeated passages gone from its texts, and without texts of which no word is left.
+    """``df`` with the bytes of repeated passages gone from its texts.
 
-    Bytes of a character that a passage cut in two go with it. Other columns travel as JSON, so they
-    hold what JSON can hold; ``n_chars_col``, where there is one, is counted anew.
+    Bytes of a character that a passage cut in two go with it. A row of whose text no word is left goes;
+    rows that hold no repeated passage stay as they are, null and white texts too. ``n_chars_col``, where
+    there is one, is counted anew in texts that change; all other columns keep their values.
     """
-    others = [f for f in df.schema if f.name not in (id_col, text_col)]
-    rest = F.to_json(F.struct(*[df[f.name] for f in others]), {"ignoreNullFields": "false"}) if others else F.lit("")
-    found = drop_repeated_bytes(df, id_col=id_col, text_col=text_col, rest=rest, characters=True)
-    held = found.select("doc_id", "n_bytes", F.col("kept").alias("text"), F.from_json("rest", T.StructType(others)).alias("rest") if others else F.lit(None).alias("rest"))
-    held = held.where((F.col("n_bytes") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = {id_col: F.col("doc_id"), text_col: F.col("text")}
-    columns |= {f.name: F.col("rest")[f.name] for f in others}
+    key = text_key(df, text_col)
+    found = drop_repeated_bytes(df, id_col=id_col, text_col=text_col, rest=key.cast("string"), characters=True)
+    # What a text loses depends on it and its id, so repeated rows lose the same.
+    cut = found.where("n_removed > 0").groupBy("doc_id", "rest").agg(F.first("kept").alias("left"))
+    rows = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"), key.cast("string").alias("key"))
+    same = F.col("row")[id_col].cast("long").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("rest"))
+    both = rows.join(cut, same, "left").where(F.col("left").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
+    columns = {c: F.col("row")[c] for c in df.columns}
+    columns[text_col] = F.coalesce(F.col("left").cast(df.schema[text_col].dataType), columns[text_col])
     if n_chars_col in columns:
-        columns[n_chars_col] = F.length("text").cast(df.schema[n_chars_col].dataType)
-    return held.select(*[columns[c].cast(df.schema[c].dataType).alias(c) for c in df.columns])
+        counted = F.length("left").cast(df.schema[n_chars_col].dataType)
+        columns[n_chars_col] = F.when(F.col("left").isNotNull(), counted).otherwise(columns[n_chars_col])
+    return both.select(*[columns[c].alias(c) for c in df.columns])
 
 
 def byte_digests(df: DataFrame) -> DataFrame:

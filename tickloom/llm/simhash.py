@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import small_batches, texts_of, type_of
+from tickloom.llm.common import column, small_batches, text_key, texts_of, type_of
 from tickloom.plans.lineage import cut_lineage
 
 SEED, BITS = 42, 64
@@ -47,16 +47,22 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(2 * count > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (as a signed long) of every row."""
+def fingerprints(
+    df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False
+) -> DataFrame:
+    """``doc_id, fingerprint`` (as a signed long) of every row and, if asked for, ``key``: the text's hash."""
     docs = texts_of(df, id_col, text_col)
+    if keyed:
+        docs = docs.withColumn("key", F.xxhash64("text"))
+    more = ["key"] * keyed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             found = np.array([fingerprint(x, shingle) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, more)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *more])
 
-    return docs.mapInArrow(run, f"doc_id {type_of(docs, 'doc_id')}, fingerprint long")
+    return docs.mapInArrow(run, f"doc_id {type_of(docs, 'doc_id')}, fingerprint long" + ", key long" * keyed)
 
 
 def links(nodes: DataFrame, name: str = "fingerprint") -> DataFrame:
@@ -102,26 +108,40 @@ def _mark(star: DataFrame) -> tuple:
     return tuple(row)
 
 
-def near_duplicates(df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` (smallest id reachable over links) of every row."""
-    prints = cut_lineage(fingerprints(df, shingle=shingle, id_col=id_col, text_col=text_col))
+def near_duplicates(
+    df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False
+) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` (smallest id reachable over links) of every row and, if asked
+    for, ``key``, the text's hash, and ``root``, the component's own name."""
+    prints = cut_lineage(fingerprints(df, shingle=shingle, id_col=id_col, text_col=text_col, keyed=keyed))
     nodes = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(nodes))
     rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(named, "root").select("fingerprint", "component_id")
-    return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    classes = rooted.join(named, "root").select("fingerprint", "component_id", *["root"] * keyed)
+    return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id", *["key", "root"] * keyed)
 
 
 def one_of_each(df: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one document of each component, the one with the smallest id; rows of one id are one
-    document, of which one row stays. Rows without an id name no group and stay."""
-    found = near_duplicates(df, shingle=shingle, id_col=id_col, text_col=text_col)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("component_id").alias(id_col)).distinct()
-    named = df.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(df.where(df[id_col].isNull()))
+    """``df`` with one document of each component, one with its smallest id. If rows of that id have several
+    texts in the component, the one with the smallest fingerprint and hash stays; of rows of equal id and
+    text the one whose other columns have the smallest hash. Rows without an id name no group and stay."""
+    found = near_duplicates(df, shingle=shingle, id_col=id_col, text_col=text_col, keyed=True)
+    first = (
+        found.where(F.col("doc_id") == F.col("component_id"))
+        .groupBy("root")
+        .agg(F.min(F.struct("fingerprint", "key", "component_id")).alias("first"))
+        .select(F.col("first.component_id").alias("_id"), F.col("first.key").alias("_key"))
+    )
+    row = F.struct(*[column(df, c) for c in df.columns])
+    others = [column(df, c) for c in df.columns if c not in (id_col, text_col)]
+    turn = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    rows = df.select(row.alias("row"), column(df, id_col).alias("id"), text_key(df, text_col).alias("key"), turn.alias("turn"))
+    named = rows.join(first, (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left_semi")
+    one = named.groupBy("id", "key").agg(F.min_by("row", "turn").alias("row"))
+    return one.select("row.*").unionByName(df.where(column(df, id_col).isNull()))
 
 
 def hexadecimal(name: str = "fingerprint"):
