@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import small_batches, texts_of
+from tickloom.llm.common import column, small_batches, texts_of
 from tickloom.plans.lineage import cut_lineage
 
 #: From here on ids stand for null, told apart by text only to spread them; no document is smaller by them.
@@ -439,8 +439,8 @@ def recurring(
     """
     docs = texts_of(df, id_col, text_col)
     whole = df.select(
-        df[id_col].alias("doc_id"),
-        F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
+        column(df, id_col).alias("doc_id"),
+        F.coalesce(column(df, text_col).cast("string"), F.lit("")).alias("text"),
         (F.lit("") if rest is None else rest).alias("rest"),
     )
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

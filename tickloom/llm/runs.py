@@ -48,8 +48,9 @@ def _words(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def suffix_array(symbols: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Order of all suffixes: by seven symbols at once, then ties alone by doubling."""
+def suffix_array(symbols: np.ndarray, words: np.ndarray, length: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """Order of all suffixes, by seven symbols at once, then ties alone by doubling; and numbers that are
+    equal for suffixes that begin with the same symbols, with how many those are: ``length`` at most."""
     n = len(symbols)
     order = np.argsort(words)
     new = np.concatenate([[True], words[order][1:] != words[order][:-1]])
@@ -59,7 +60,10 @@ def suffix_array(symbols: np.ndarray, words: np.ndarray) -> np.ndarray:
     rank[order] = first[np.cumsum(new) - 1]
     size = 7
     tied = _tied(new)
+    alike, common = rank.copy(), size
     while len(tied):
+        if common < size <= length:
+            alike, common = rank.copy(), size
         at = order[tied]
         group = rank[at]
         after = rank[np.minimum(at + size, n)]
@@ -70,7 +74,7 @@ def suffix_array(symbols: np.ndarray, words: np.ndarray) -> np.ndarray:
         rank[at] = tied[np.flatnonzero(head)][np.cumsum(head) - 1]
         tied = tied[_tied(head)]
         size *= 2
-    return order
+    return order, common, alike
 
 
 def _tied(head: np.ndarray) -> np.ndarray:
@@ -79,6 +83,22 @@ def _tied(head: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~(head & last))
 
 
+class Heads:
+    """Places among ``n``, one bit each, and how many there are up to any place: two look-ups and a count of bits."""
+
+    def __init__(self, places: np.ndarray, n: int):
+        marks = np.zeros((n + 64) // 64 * 64, np.uint8)
+        marks[places] = 1
+        self.bits = np.packbits(marks, bitorder="little").view("<u8")
+        counts = np.bitwise_count(self.bits).astype(np.int64)
+        self.before = np.cumsum(counts) - counts
+
+    def upto(self, rows: np.ndarray) -> np.ndarray:
+        """Number of places at most at each row."""
+        word = rows >> 6
+        return self.before[word] + np.bitwise_count(self.bits[word] << (63 - (rows & 63)).astype(np.uint64))
+
+
 class RunIndex:
     """Run-compressed transform of passages with text positions at run ends."""
 
@@ -93,12 +113,13 @@ class RunIndex:
             owner[at : at + len(t)] = who
             at += len(t) + 1
         self.words = _words(self.text)
-        order = suffix_array(self.text, self.words)
+        order, common, alike = suffix_array(self.text, self.words, length)
         n = len(order)
         before = self.text[order - 1]  # of the first symbol, the last one: the transform is a circle
         head = np.concatenate([[True], before[1:] != before[:-1]])
         self.starts = np.flatnonzero(head)
         self.ends = np.append(self.starts[1:], n) - 1
+        self.run_heads = Heads(self.starts, n)
         self.symbol = before[self.starts]
         self.first_at, self.last_at = order[self.starts], order[self.ends]
         # Rows of a symbol's runs go, in order, to the rows that begin with it.
@@ -117,9 +138,15 @@ class RunIndex:
         self.words = np.append(self.words, 0)
         gaps = np.flatnonzero(self.text == 0)
         self.until_gap = gaps[np.cumsum(self.text == 0) - (self.text == 0)] - np.arange(n)
-        same = self._shared(order[:-1], order[1:], np.full(n - 1, length)) >= length
+        one, two = order[:-1], order[1:]
+        if common <= length <= 2 * common:  # a passage is two overlapping parts of that size
+            rest = length - common
+            same = (alike[one] == alike[two]) & (alike[np.minimum(one + rest, n)] == alike[np.minimum(two + rest, n)])
+            same &= self.until_gap[one] >= length
+        else:
+            same = self._shared(one, two, np.full(n - 1, length)) >= length
         opens = np.flatnonzero(np.concatenate([[True], ~same]))
-        self.opens, self.least = opens, np.minimum.reduceat(owner[order], opens)
+        self.intervals, self.least = Heads(opens, n), np.minimum.reduceat(owner[order], opens)
         self.root = (0, int(order[0]))
 
     def _shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -156,7 +183,7 @@ class RunIndex:
                 continue
             row, at, size = rows[:k], ats[:k], sizes[:k]
             symbol = columns[j, :k].astype(np.int64)
-            run = np.searchsorted(self.starts, row, "right") - 1
+            run = self.run_heads.upto(row) - 1
             other = np.flatnonzero(self.symbol[run] != symbol)
             if len(other):
                 self._turn(other, symbol, row, at, size, run)
@@ -166,8 +193,7 @@ class RunIndex:
             size[:] = np.where(known, np.minimum(size + 1, self.length), 0)
             full = np.flatnonzero(size >= self.length)
             if len(full):
-                interval = np.searchsorted(self.opens, row[full], "right") - 1
-                out[j, full] = self.least[interval] < ids[full]
+                out[j, full] = self.least[self.intervals.upto(row[full]) - 1] < ids[full]
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         return out.T[back]
