@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from functools import cache
 
+import regex
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -226,3 +227,58 @@ def exact_rows(docs):
     for i, t in texts:
         ids.setdefault(t, []).append(i)
     return [(i, max((x for x in ids[t] if x is not None), default=None), len(ids[t]), sha(t)) for i, t in texts]
+
+
+INSIDE = r"[^\x20\x09-\x0D\"'<>,;:=()\[\]{}|]"
+
+
+def context_words(before):
+    if len(before) > 400:  # three words are mostly near
+        near = context_words(before[-300:])
+        if len(near) == 3 and sum(map(len, near)) < 250:
+            return near
+    plain = regex.sub("[0-9]+", "9", regex.sub(r"[^\p{L}\p{N}]+", " ", before.lower()))
+    return plain.split()[-3:]
+
+
+def context_patterns(value, before):
+    """(pattern, weight) of an identifier after a context."""
+    words = context_words(before)
+    outline = re.sub("[0-9]", "9", regex.sub(r"\p{L}+", "a", value))
+    out = []
+    for n, shaped in ((1, True), (2, True), (2, False), (3, False)):
+        if len(words) >= n:
+            out.append((" ".join(words[-n:]) + (f" | {outline}" if shaped else ""), 1.0 if shaped else 0.8))
+    return out
+
+
+def private_all(rows, rounds=3):
+    """All spans (start, kind, end) per row: base ones, and those that contexts teach."""
+    based = [private_spans(t or "") for _, t in rows]
+    others = []
+    for (_, t), spans in zip(rows, based):
+        found = [(m.start(), m.end()) for m in re.finditer(rf"(?<!{INSIDE})(?={INSIDE}*?[0-9@]){INSIDE}+(?<![.!?])", t or "")]
+        others.append([(a, b) for a, b in found if not any(s < b and a < e for s, _, e in spans)])
+    pairs, weight = {}, {}
+    for (_, t), spans, more in zip(rows, based, others):
+        for a, b, known in [(s, e, True) for s, _, e in spans] + [(a, b, False) for a, b in more]:
+            for p, w in context_patterns(t[a:b], t[:a]):
+                pairs[p, t[a:b]] = pairs.get((p, t[a:b]), False) or known
+                weight[p] = w
+    seeds = {v for (_, v), known in pairs.items() if known}
+    scores = dict.fromkeys(seeds, 1.0)
+    gained = {}
+    for _ in range(rounds):
+        good, n = Counter(), Counter()
+        for p, v in pairs:
+            good[p] += scores.get(v, 0.0)
+            n[p] += 1
+        trust = {p: weight[p] * good[p] / (n[p] + 1) for p in n if good[p] >= 3 and good[p] >= 0.8 * n[p]}
+        gained = {}
+        for p, v in pairs:
+            if v not in seeds and p in trust:
+                gained[v] = gained.get(v, 1.0) * (1 - trust[p])
+        gained = {v: 1 - x for v, x in gained.items()}
+        scores = dict.fromkeys(seeds, 1.0) | gained
+    new = {v for v, x in gained.items() if x >= 0.8}
+    return [sorted(spans + [(a, 4, b) for a, b in more if t[a:b] in new]) if t else [] for (_, t), spans, more in zip(rows, based, others)]

@@ -178,6 +178,28 @@ def test_private_learns_from_contexts(spark):
     assert got[33] == "learned:11:27" and got[34] == "learned:11:27" and got[30] == "card:11:27"
 
 
+def test_private_learns_new_shapes(spark):
+    """Contexts that known identifiers taught find strings of other shapes and any length."""
+    long = "AC" + "7" * 120
+    found = ["123-45-6789", "QX-077-AB0", "B7", long, "employee#4411"]
+    rows = [(i, f"well {i % 5} my member id is jane{i}@x{i}.org thanks") for i in range(30)]
+    rows += [(100 + i, f"so my member id is {v}. thanks") for i, v in enumerate(found)]
+    rows += [(200 + i, f"the price is {i}.50 and room is {i}b") for i in range(20)]
+    # Context reaches over the identifier before, and ends at the beginning.
+    rows += [(300, "my member id is a@b.cd QX-077-AB9"), (301, "id is 55-B"), (302, "x1"), (303, None), (304, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in private.private_digests(docs.repartition(4)).collect()}
+    want = {i: brute.written(spans, private.KINDS) for (i, _), spans in zip(rows, brute.private_all(rows))}
+    assert got == want
+    assert [got[100 + i] for i in range(len(found))] == [f"learned:19:{19 + len(v)}" for v in found]
+    assert not any(got[200 + i] for i in range(20)) and got[302] == ""
+
+
+def test_private_rounds(spark, docs, rows):
+    got = table(private.private_digests(docs), "doc_id", "spans")
+    same(got, [(i, brute.written(spans, private.KINDS)) for (i, _), spans in zip(rows, brute.private_all(rows))])
+
+
 def test_masking(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, +1 (243) 555-5526!", 28), (1, "é a@b.cd, +1 (243) 555-5526!", 28), (2, None, None), (None, "x@y.z", 5)], "doc_id long, text string, n_chars long")
     got = private.without_private(docs)

@@ -1,15 +1,19 @@
 """Personal data: fixed shapes, and identifiers found by the contexts that known ones stand in.
 
-Known identifiers are the seeds. The words before an identifier are its lexical pattern, and patterns
-and instances form a bipartite graph over the corpus. In rounds, a pattern's confidence is the share of
-its distinct instances that are known, an unknown instance becomes known by the confident patterns it
-occurs in, and so on. Strings that end up known, and have no fixed shape, are reported as ``learned``.
+Known identifiers are the seeds. The words before an identifier are its lexical patterns: the last two
+and the last three, and the last one or two with the identifier's outline. Patterns and instances form a
+bipartite graph over the corpus. In rounds, a pattern's confidence is the share of its distinct instances
+that are known, an unknown instance becomes known by the confident patterns it occurs in, and so on; words
+alone speak for strings of any shape, with less weight than words with an outline. Strings that end up
+known, and have no fixed shape, are reported as ``learned``.
 
 All of it is DataFrame expressions and aggregates: positions come from the pieces between matches,
 the graph from grouping distinct (pattern, instance) pairs, which combines before the shuffle.
 
 Defined cases: a null text is empty; spans are of code points, end exclusive; repeated rows get equal
-spans, and count once as evidence; a null id is kept; an empty table gives no rows.
+spans, and count once as evidence; a null id is kept; an empty table gives no rows. Identifiers and texts
+may be of any length; a context is made of whole words, across other identifiers if need be, and ends at
+the text's beginning. Columns other than the two named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,15 +38,19 @@ SHAPES = {
 }
 #: What a text must hold for a shape to be looked for.
 SIGNS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-#: Strings that may be identifiers: without punctuation that sets words apart, with a digit or an at sign.
+#: Strings that may be identifiers: without punctuation that sets words apart, or ends a sentence at their
+#: end, with a digit or an at sign.
 _INSIDE = r"[^\x20\x09-\x0D\"'<>,;:=()\[\]{}|]"
-CANDIDATE = rf"(?<!{_INSIDE})(?={_INSIDE}*?[0-9@]){_INSIDE}++"
-LEAST_CHARS, MOST_CHARS, CONTEXT_CHARS = 5, 64, 48
+CANDIDATE = rf"(?<!{_INSIDE})(?={_INSIDE}*?[0-9@]){_INSIDE}+(?<![.!?])"
+#: Words of a context, and identifiers before one that are looked back over for them.
+CONTEXT_WORDS = 3
 #: Lengths added up at a time.
 BLOCK = 64
 SPAN = "struct<start: bigint, rank: int, end: bigint, value: string, before: string>"
 #: Rounds over the graph; known instances that a pattern needs, and its confidence; score of an instance.
 ROUNDS, LEAST_SEEDS, LEAST_CONFIDENCE, LEAST_SCORE = 3, 3, 0.8, 0.8
+#: What the confidence of words without an outline counts for.
+WORDS_WEIGHT = 0.8
 
 
 def _with(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,6 +58,13 @@ def _with(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _last_words(before: Column) -> Column:
+    """The last words of a context in lower case, without punctuation and with one digit for many."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(before), r"[^\p{L}\p{N}]+", " "), "[0-9]+", "9")
+    words = F.split(F.trim(plain), " ")
+    return F.array_join(F.slice(words, -F.least(F.size(words), F.lit(CONTEXT_WORDS)), F.lit(CONTEXT_WORDS)), " ")
+
+
 def _placed(text: Column, pattern: str, rank: int) -> Column:
     """Matches with their places, and what stands before.
 
@@ -79,10 +94,13 @@ def _placed(text: Column, pattern: str, rank: int) -> Column:
         return F.transform(sums, lambda _, b: total(F.slice(sums, F.lit(1), b)))
 
     def of(matches: Column, pieces: Column) -> Column:
-        pairs = F.zip_with(
-            matches,
-            F.slice(pieces, F.lit(1), F.size(matches)),
-            lambda m, p: F.struct(m.alias("m"), F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT_CHARS)).alias("before")),
+        def before(i: Column) -> Column:
+            # Every match has a word at least, so these hold the last words of the text.
+            earlier = [x for k in range(CONTEXT_WORDS, 0, -1) for x in (F.get(pieces, i - k), F.get(matches, i - k))]
+            return _last_words(F.concat(*[F.coalesce(x, F.lit("")) for x in (*earlier, F.get(pieces, i))]))
+
+        pairs = F.transform(
+            matches, lambda m, i: F.struct(m.alias("m"), F.length(F.get(pieces, i)).alias("gap"), before(i).alias("before"))
         )
         lengths = lambda p: F.transform(p, lambda x: (x["gap"] + F.length(x["m"])).cast("bigint"))
         return _with(
@@ -90,7 +108,10 @@ def _placed(text: Column, pattern: str, rank: int) -> Column:
             lambda p: _with(lengths(p), lambda n: _with(blocks(n), lambda sums: _with(upto(sums), lambda before: spans(p, n, before)))),
         )
 
-    return _with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: of(m, F.split(text, pattern, -1)))
+    return _with(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda m: F.when(F.size(m) > 0, _with(F.split(text, pattern, -1), lambda p: of(m, p))).otherwise(F.array().cast(f"array<{SPAN}>")),
+    )
 
 
 def _digits(value: Column) -> Column:
@@ -126,28 +147,29 @@ def base_spans(text: Column) -> Column:
 
 def candidates(text: Column, spans: Column) -> Column:
     """Strings that may be identifiers and touch none of ``spans``."""
-    fits = lambda c: F.length(c["value"]).between(LEAST_CHARS, MOST_CHARS) & ~F.exists(
-        spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])
-    )
+    fits = lambda c: ~F.exists(spans, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
     return F.when(text.rlike("[0-9@]"), F.filter(_placed(text, CANDIDATE, len(SHAPES)), fits)).otherwise(
         F.array().cast(f"array<{SPAN}>")
     )
 
 
 def patterns(value: Column, before: Column) -> Column:
-    """Lexical patterns: the last word, and the last two, before an identifier, with its outline.
+    """Lexical patterns ``name, weight`` of an identifier: the last two and three words before it, and the
+    last one and two with its outline.
 
-    The outline keeps every digit's place and shortens runs of letters, so that a pattern only speaks
-    for strings built like those it was learned from.
+    The outline keeps every digit's place and shortens runs of letters: such a pattern speaks for strings
+    built like those it was learned from, after fewer words.
     """
     outline = F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), "[0-9]", "9")
-    words = F.filter(F.split(F.lower(before), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    last = F.slice(words, -1, 1)
-    two = F.slice(words, -2, 2)
-    return F.when(
-        F.size(words) >= 2,
-        F.array(F.concat_ws(" ", F.array_join(last, " "), F.lit("|"), outline), F.concat_ws(" ", F.array_join(two, " "), F.lit("|"), outline)),
-    ).when(F.size(words) == 1, F.array(F.concat_ws(" ", F.array_join(last, " "), F.lit("|"), outline)))
+    words = F.filter(F.split(before, " "), lambda w: w != "")
+
+    def last(n: int, shaped: bool) -> Column:
+        name = F.array_join(F.slice(words, -n, n), " ")
+        name = F.concat(name, F.lit(" | "), outline) if shaped else name
+        weight = F.lit(1.0 if shaped else WORDS_WEIGHT)
+        return F.when(F.size(words) >= n, F.struct(name.alias("pattern"), weight.alias("weight")))
+
+    return F.array_compact(F.array(last(1, True), last(2, True), last(2, False), last(3, False)))
 
 
 def learn(evidence: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
@@ -157,8 +179,8 @@ def learn(evidence: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
     copied a thousand times is evidence once.
     """
     pairs = cut_lineage(
-        evidence.select(F.explode(patterns(F.col("value"), F.col("before"))).alias("pattern"), "value", "known")
-        .groupBy("pattern", "value")
+        evidence.select(F.inline(patterns(F.col("value"), F.col("before"))), "value", "known")
+        .groupBy("pattern", "weight", "value")
         .agg(F.max("known").alias("known"))
     )
     seeds = pairs.where("known").select("value", F.lit(1.0).alias("score")).distinct()
@@ -166,11 +188,11 @@ def learn(evidence: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
     scores, gained = seeds, None
     for _ in range(rounds):
         trust = (
-            pairs.select("pattern", "value").join(scores, "value", "left")
-            .groupBy("pattern")
+            pairs.select("pattern", "weight", "value").join(scores, "value", "left")
+            .groupBy("pattern", "weight")
             .agg(F.sum(F.coalesce("score", F.lit(0.0))).alias("good"), F.count(F.lit(1)).alias("n"))
             .where((F.col("good") >= LEAST_SEEDS) & (F.col("good") >= LEAST_CONFIDENCE * F.col("n")))
-            .select("pattern", (F.col("good") / (F.col("n") + 1.0)).alias("confidence"))
+            .select("pattern", (F.col("weight") * F.col("good") / (F.col("n") + 1.0)).alias("confidence"))
         )
         gained = (
             unknown.join(trust, "pattern")
