@@ -247,6 +247,22 @@ def test_secrets_are_whole_and_names_open_the_search(spark):
     assert got[13].endswith(f":{len(texts[13])}")
 
 
+def test_secrets_of_other_alphabets_and_sizes(spark):
+    """Strings with symbols, in quotes, short ones, long ones of letters alone; words and addresses are none."""
+    texts = {
+        "password is hunter2!x#9$Q": "hunter2!x#9$Q", "client secret was correcthorsebatterystaplezz": "correcthorsebatterystaplezz",
+        "api key: 9fQ2xLp7Vz0, and": "9fQ2xLp7Vz0", "private key 'Zx9#kP2$mQ7!'": "Zx9#kP2$mQ7!", "passphrase qWeRtYuIoPaSdFgHjKlZxCvBnM now": "qWeRtYuIoPaSdFgHjKlZxCvBnM",
+        "credential 8f3a-22bc-77de-91aa": "8f3a-22bc-77de-91aa", "pwd=Zx9#kP2$mQ7 end": "Zx9#kP2$mQ7", "the access key 8274619350274618 opens": None,
+        "the token authentication protocols": None, "password reset at https://x.org/Ab3?q=1Z": None, "token for me2@Mail7.org": None,
+        "key version2 of chapter12 in 2024": None, "my 9fQ2xLp7Vz0 alone": None, "secret": None, "key Ab1": None,
+    }
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.spans for r in secrets.secret_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        value = texts[text]
+        assert got[i] == ("" if value is None else f"novel:{text.index(value)}:{text.index(value) + len(value)}"), text
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_driver_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

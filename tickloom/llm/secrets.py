@@ -2,7 +2,11 @@
 
 A string in a sensitive context - shortly after a word such as "key" or "password" - is measured by the
 bytes that it adds to a zstandard frame whose dictionary holds the corpus's commonest identifiers and
-whose history is the surrounding text. Names and prose are found there or compress; secrets do not.
+whose history is the surrounding text. Names and prose are found there or compress; secrets do not. Measured are
+runs of 12 and more characters of the usual alphabets with letters and digits, or of 24 and more letters
+(which no word has); and strings of 8 and more characters with other symbols, or shorter
+than 12, that have letters and digits and either both cases or a symbol. Below 12 the bar is higher. Not
+measured, and so not found, are shorter strings, words, numbers, and secrets without a sensitive word before them.
 
 Defined cases: a null text is empty; spans are of code points, end exclusive; repeated rows are
 searched each by itself. Identifiers are counted over all texts; only the ``identifiers`` commonest go
@@ -46,6 +50,12 @@ RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}+", re.ASCII)
 REACH, AROUND = 80, 400
 #: Bytes added per character from which a candidate is novel. Random hex adds at least half a byte a character.
 NOVEL_BYTES_PER_CHAR = 0.5
+#: The same for strings of less than twelve characters, which cost a frame as much as they are long if nothing is like them.
+SHORT_BYTES_PER_CHAR = 0.9
+#: Least characters of a run of letters, and of a string with other symbols.
+LEAST_LETTERS, LEAST_WIDE = 24, 8
+WIDE = re.compile(r"[^\x20\x09-\x0D\"'`,;(){}\[\]<>]{8,}+")
+_BEFORE_WIDE, _AFTER_WIDE = re.compile(r"[^A-Za-z0-9]*"), re.compile(r"[.:?!]+$")
 IDENTIFIERS = 4096
 
 
@@ -112,13 +122,42 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         digit = _last(text, begin, end, str.isdigit)
         letter = _last(text, begin, end, str.isalpha)
         for start, after in zip(starts, [*starts[1:], end]):
-            if min(digit, letter) < start:
+            if letter < start or digit < start and end - start < LEAST_LETTERS:
                 break
             if (i := bisect_left(begins, end)) and ends[i - 1] > start:
                 continue
             if novelty.added(text, start, after) >= NOVEL_BYTES_PER_CHAR * (after - start):
                 found.append((start, 3, end, novelty.added(text, start, end)))
                 break
+    return found + _wide_spans(text, words, sorted(taken + [(s, e) for s, _, e, _ in found]), novelty)
+
+
+def _wide_spans(text: str, words: list[int], taken: list[tuple[int, int]], novelty: Novelty) -> list[tuple[int, int, int, int]]:
+    """Like :func:`novel_spans`, of strings with symbols and of short ones that ``taken`` does not touch."""
+    begins, ends = [start for start, _ in taken], list(accumulate((end for _, end in taken), max))
+    found = []
+    for run in WIDE.finditer(text):
+        begin, end = run.span()
+        first, inside, last = bisect_left(words, begin - REACH), bisect_right(words, begin), bisect_left(words, end)
+        if first >= last:
+            continue
+        begin = _BEFORE_WIDE.match(text, words[last - 1] if last > inside else begin, end).end()
+        if text[end : end + 1] not in ("'", '"', "`"):  # outside quotes, what ends a sentence is not part of it
+            end = begin + len(_AFTER_WIDE.sub("", text[begin:end]))
+        value = text[begin:end]
+        cased = value != value.lower() and value != value.upper()
+        symbol = not value.replace("_", "").replace("-", "").replace(".", "").replace("/", "").isalnum()
+        plain = len(value) >= LEAST_CHARS and RUN.fullmatch(value)  # measured as a run
+        if len(value) < LEAST_WIDE or plain or "://" in value or "@" in value and "." in value.rpartition("@")[2]:
+            continue
+        if not (any(map(str.isdigit, value)) and any(map(str.isalpha, value)) and (cased or symbol)):
+            continue
+        if (i := bisect_left(begins, end)) and ends[i - 1] > begin:
+            continue
+        bar = NOVEL_BYTES_PER_CHAR if len(value) >= LEAST_CHARS else SHORT_BYTES_PER_CHAR
+        added = novelty.added(text, begin, end)
+        if added >= bar * len(value):
+            found.append((begin, 3, end, added))
     return found
 
 
