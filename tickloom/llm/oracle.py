@@ -67,6 +67,16 @@ b AS (
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+POLICIES = f"""
+WITH entries AS ({QUALITY}),
+policies(policy, mask) AS (VALUES ('base', 3), ('1', 15), ('2', 63)),
+rules(rule, bit) AS (
+  VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('capitals', 16), ('word_length', 32))
+SELECT policy, rule, count(*) AS n_docs, count(*) FILTER (WHERE fail_bits & bit <> 0) AS n_failed,
+       count(*) FILTER (WHERE fail_bits & mask = bit) AS n_only, count(*) FILTER (WHERE fail_bits & mask = 0) AS n_kept
+FROM entries, policies, rules WHERE mask & bit <> 0 GROUP BY policy, rule
+"""
+
 PHRASES = rf"""
 WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 wins AS (
@@ -216,6 +226,7 @@ ORACLE = {
     "op2_chat_perspectives": CHAT,
     "op5_block_neighbours": NEIGHBOURS,
     "op6_quality_ledger": QUALITY,
+    "quality_policies": POLICIES,
     "op10_phrase_automata": PHRASES,
     "op11_exact_stream": EXACT,
     "op12_conversation_repair": REPAIR,

@@ -40,6 +40,7 @@ RULES = (
 BASE = ("few_words", "repeated_windows")
 POLICIES = {
     "base": BASE,
+    "1": (*BASE, "symbols", "duplicate_lines"),
     "2": (*BASE, "symbols", "duplicate_lines", "capitals", "word_length"),
 }
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals")
@@ -127,6 +128,25 @@ def ledger(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", who
     return measure(df, id_col=id_col, text_col=text_col, whole=whole).withColumn("fail_bits", bits)
 
 
+def store(df: DataFrame, path: str, **columns: str) -> DataFrame:
+    """Write the ledger of ``df`` once; what comes back reads it. Policies and their ablations are worked
+    out from there, at any later time, without looking at a text again."""
+    ledger(df, **columns).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def judged(entries: DataFrame, policies: dict[str, tuple[str, ...]] = POLICIES) -> DataFrame:
+    """``policy, n_docs, n_kept``: what each version of the policy keeps of a ledger."""
+    counts = entries.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
+    masks = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(mask_of(rules)).cast("long").alias("mask")) for p, rules in policies.items()])
+    kept = F.col("fail_bits").bitwiseAND(F.col("mask")) == 0
+    return (
+        counts.select("fail_bits", "n", F.inline(masks))
+        .groupBy("policy")
+        .agg(F.sum("n").alias("n_docs"), F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("n_kept"))
+    )
+
+
 def passes(rules: tuple[str, ...], bits: str = "fail_bits") -> Column:
     """Whether none of the rules failed."""
     return F.col(bits).bitwiseAND(F.lit(mask_of(rules)).cast("long")) == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from tickloom.llm import (
     tokens,
 )
 from tickloom.llm.oracle import ORACLE
+from tickloom.plans.lineage import ensure_checkpoint_dir
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +65,13 @@ def op6_quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quality_policies(spark: SparkSession, folder: str) -> DataFrame:
+    """What each policy keeps, and what each of its rules rejects, alone and at all, from a stored ledger."""
+    ensure_checkpoint_dir(spark)
+    entries = quality.store(_table(spark, folder, "documents"), f"{spark.sparkContext.getCheckpointDir()}/ledger-{uuid.uuid4().hex}")
+    return quality.ablations(entries).join(quality.judged(entries), ["policy", "n_docs"])
+
+
 def op7_secret_novelty(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digests(_table(spark, folder, "documents"))
 
@@ -100,6 +109,7 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "quality_policies": quality_policies,
     "op1_run_index": op1_run_index,
     "op2_chat_perspectives": op2_chat_perspectives,
     "op3_simhash_ball": op3_simhash_ball,
