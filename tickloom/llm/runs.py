@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tickloom.llm.common import column, text_key
-from tickloom.llm.passages import NULL_FROM, Document, Symbols, in_parts, recurring
+from tickloom.llm.common import column, small_batches
+from tickloom.llm.passages import NULL_FROM, Document, Symbols, from_rest, in_parts, recurring
 
 LENGTH, GRAM = 50, 20
 #: Places that are streamed side by side, and the longest stretch of one lane.
@@ -319,19 +320,26 @@ def without_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rows that hold no repeated passage stay as they are, null and white texts too. ``n_chars_col``, where
     there is one, is counted anew in texts that change; all other columns keep their values.
     """
-    key = text_key(df, text_col)
-    found = drop_repeated_bytes(df, id_col=id_col, text_col=text_col, rest=key.cast("string"), characters=True)
-    # What a text loses depends on it and its id, so repeated rows lose the same.
-    cut = found.where("n_removed > 0").groupBy("doc_id", "rest").agg(F.first("kept").alias("left"))
-    rows = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"), key.cast("string").alias("key"))
-    same = F.col("row")[id_col].cast("long").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("rest"))
-    both = rows.join(cut, same, "left").where(F.col("left").isNull() | F.col("left").rlike(r"[^\x20\x09-\x0D]"))
-    columns = {c: F.col("row")[c] for c in df.columns}
-    columns[text_col] = F.coalesce(F.col("left").cast(df.schema[text_col].dataType), columns[text_col])
-    if n_chars_col in columns:
-        counted = F.length("left").cast(df.schema[n_chars_col].dataType)
-        columns[n_chars_col] = F.when(F.col("left").isNotNull(), counted).otherwise(columns[n_chars_col])
-    return both.select(*[columns[c].alias(c) for c in df.columns])
+    columns = df.columns
+    fields = [column(df, c).alias(str(i)) if c != text_col else column(df, c).isNull().alias(str(i)) for i, c in enumerate(columns)]
+    found = drop_repeated_bytes(df, id_col=id_col, text_col=text_col, rest=F.struct(*fields), characters=True)
+    left = found.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    schema = df.schema
+    text_at, chars_at = columns.index(text_col), columns.index(n_chars_col) if n_chars_col in columns else -1
+
+    def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = to_arrow_schema(schema)
+        for batch in small_batches(batches, "kept"):
+            rows = []
+            for removed, kept, rest in zip(*[batch.column(c).to_pylist() for c in ("n_removed", "kept", "rest")]):
+                row = list(from_rest(rest))
+                row[text_at] = None if row[text_at] else kept
+                if removed and chars_at >= 0:
+                    row[chars_at] = len(kept)
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(target)], schema=target)
+
+    return left.select("n_removed", "kept", "rest").mapInArrow(restore, schema)
 
 
 def byte_digests(df: DataFrame) -> DataFrame:
