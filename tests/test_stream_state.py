@@ -5,14 +5,16 @@ import random
 import tempfile
 
 import pytest
-from helpers import START, at, ticks_frame
+from helpers import START, TICK_DDL, at, ticks_frame
 from pyspark.sql import functions as F
-from test_detect import SETTINGS
+from test_detect import SETTINGS, random_ticks
 
 from tickloom import schemas
 from tickloom.config import OutlierSettings
 from tickloom.operators import clean
 from tickloom.operators import state as states
+from tickloom.plans import reports
+from tickloom.plans.lineage import cut_lineage
 from tickloom.sinks import buckets
 from tickloom.sources import tables
 from tickloom.streaming import alert_job, outliers
@@ -111,6 +113,29 @@ def test_untouched_buckets_keep_their_files(spark):
         alert_job.state_before(spark, f"{root}/state", 2, count=8)
 
 
+@pytest.mark.parametrize("rows_per_slice", [20, 2_000_000])
+def test_observed_counts_equal_a_second_look(spark, rows_per_slice):
+    rows = [(n * 7, s, p) for n, (_, s, p) in enumerate(random_ticks(21, 300))]
+    ticks = ticks_frame(spark, rows)
+    newest = None
+    state = tables.empty(spark, schemas.STATE)
+    # The second batch holds ticks of the first again, one without a time, and one without a price.
+    odd = spark.createDataFrame([(900, "XAU/USD", 1.0, "test", None), (901, "USD/EGP", None, "test", at(3000))], TICK_DDL)
+    early, none = ticks.filter("tick_id < 160"), ticks.limit(0)
+    for batch in (early, ticks.filter("tick_id >= 150").unionByName(odd), none):
+        result = alert_job.alert_batch(batch, state, SETTINGS, now=START, rows_per_slice=rows_per_slice)
+        lower = F.lit(START if newest is None else newest) - F.make_dt_interval(hours=F.lit(1 if newest is None else 0))
+        want = reports.batch_counts(batch, result.alerts, F.col("event_time") > lower)
+        assert result.stats.dtypes == [(f.name, f.dataType.simpleString()) for f in alert_job.BATCH_STATS]
+        got = result.stats.first()
+        assert tuple(got) == tuple(want.first())
+        plan = result.stats._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" not in plan and "Join" not in plan and "Union" not in plan and "Aggregate" not in plan
+        newest = got.high_water or newest
+        state = cut_lineage(result.state)
+    assert want.first().late_ticks == 0 and result.alerts.count() == 0
+
+
 def test_owner_of_keys(spark):
     keys = {
         "XAU/EGP_LOCAL__SPIKE_UP__alert_time": "XAU/EGP_LOCAL",

@@ -3,7 +3,8 @@
 Every micro-batch runs the batch detectors, seeded with the state the batches before it left. All
 that a batch writes is keyed by its id and replaces what an earlier try of the same batch wrote, so
 a restart neither loses nor doubles alerts. The state lies in buckets by symbol: a batch reads and
-rewrites those of its own symbols.
+rewrites those of its own symbols. What a batch had is observed while its rows pass: the counts take
+no look of their own at ticks or alerts.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +26,6 @@ from tickloom.operators.detect import fired_signals, last_prices, ordered_ticks,
 from tickloom.operators.gap import fired_gaps, last_legs, leg_ticks
 from tickloom.operators.slices import ROWS_PER_SLICE
 from tickloom.plans.lineage import cut_lineage
-from tickloom.plans.reports import batch_counts
 from tickloom.sinks.buckets import BUCKET, bucket_of, read_buckets, write_buckets
 from tickloom.sinks.messages import outbox_rows
 from tickloom.sinks.tables import replace_part, upsert
@@ -51,6 +51,35 @@ class BatchResult:
     stats: DataFrame
 
 
+def observed_ticks(ticks: DataFrame, fresh: Column) -> dict[str, int | None]:
+    """Fresh and late ticks and the newest fresh time (microseconds) of a batch, from one pass over it.
+
+    Observed in the tasks that end the pass, which count once however often a lost one runs again; a
+    pass over a persisted batch is also the one that fills the cache.
+    """
+    new = F.coalesce(fresh, F.lit(False))
+    seen = Observation()
+    watched = ticks.observe(
+        seen,
+        F.count_if(new).alias("ticks"),
+        F.count_if(~new).alias("late_ticks"),
+        F.unix_micros(F.max(F.when(new, F.col("event_time")))).alias("high_water"),
+    )
+    watched.write.format("noop").mode("overwrite").save()
+    return seen.get
+
+
+def stats_row(spark: SparkSession, ticks: dict[str, int | None], alerts: dict[str, int | None]) -> DataFrame:
+    """What was observed of a batch, as the one row that :func:`reports.batch_counts` would give."""
+    # Nothing is observed of a plan that Spark finds empty.
+    return spark.range(1).select(
+        F.lit(ticks.get("ticks") or 0).cast("long").alias("ticks"),
+        F.lit(alerts.get("alerts") or 0).cast("long").alias("alerts"),
+        F.timestamp_micros(F.lit(ticks.get("high_water")).cast("long")).alias("high_water"),
+        F.lit(ticks.get("late_ticks") or 0).cast("long").alias("late_ticks"),
+    )
+
+
 def alert_batch(
     ticks: DataFrame,
     state: DataFrame,
@@ -75,6 +104,7 @@ def alert_batch(
             hours=F.lit(settings.alert_job.lookback_hours)
         )
     fresh = time_range(ticks, "event_time", lower, strict=True)
+    had = observed_ticks(ticks, F.col("event_time") > lower)
 
     history = states.history_or_last_price(state)
     seeds = states.last_alert_state(state, settings.gap)
@@ -84,13 +114,14 @@ def alert_batch(
     legs = leg_ticks(fresh, settings.gap, clock, tie, states.leg_state(state), rows_per_slice)
     gaps = fired_gaps(legs, settings.gap, clock, seeds)
 
-    # Alerts feed the table, the outbox, the state and the counts: computed once.
+    # Alerts feed the table, the outbox and the state: computed once, and counted while they are stored.
+    raised = Observation()
     alerts = cut_lineage(
-        signal_alert_rows(fired, clock, tie, settings.severity).unionByName(
-            gap_alert_rows(gaps, clock, tie, settings.severity)
-        )
+        signal_alert_rows(fired, clock, tie, settings.severity)
+        .unionByName(gap_alert_rows(gaps, clock, tie, settings.severity))
+        .observe(raised, F.count(F.lit(1)).alias("alerts"))
     )
-    counts = batch_counts(ticks, alerts, F.col("event_time") > lower)
+    counts = stats_row(ticks.sparkSession, had, raised.get)
     entries = (
         states.price_entries(last_prices(sliced, settings.signals.trend_count))
         .unionByName(states.leg_entries(last_legs(legs, clock)))
