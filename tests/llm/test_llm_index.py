@@ -50,3 +50,68 @@ def test_arrays_round_trip():
     a, b = np.arange(5, dtype=np.int64), np.array([1, 1 << 39, 7, 0, 3], np.uint64)
     got = passages.read_arrays(passages.write_arrays((a, 4), (b, 5)), 4, 5)
     assert [x.tolist() for x in got] == [a.tolist(), b.tolist()]
+
+
+def anchor_part(rng, docs, contexts, anchor=77):
+    """What one batch sends of an anchor: a class each."""
+    n = len(contexts)
+    return passages.write_arrays(
+        (np.full(n, anchor, np.uint64), 5), (np.array(contexts, np.uint64), 6), (np.array(docs, np.int64).view(np.uint64), 8), (np.arange(n, dtype=np.uint64), 4)
+    )
+
+
+def test_buckets_hold_what_differs():
+    """An anchor in every batch, with the same or ever new surroundings: no more is held after 400 batches than after 50."""
+    kind = passages.Symbols(13, 5, None, None, None)
+    for fresh in (False, True):
+        held = {}
+        for count in (50, 400):
+            rng = random.Random(9)
+            bucket = passages.AnchorBucket(kind, 4)
+            contested = 0
+            for n in range(count):
+                contexts = [4 * n + k for k in range(4)] if fresh else [1, 2, 3]
+                rows = bucket.fold([anchor_part(rng, [rng.randrange(1 << 40) for _ in contexts], contexts)], last=False)
+                contested += sum(len(passages.read_arrays(r[2], *passages.PLACES)[0]) for r in rows if r[0] == passages.CONTESTED)
+            held[count] = len(bucket.held[0]) + len(bucket.open)
+            assert contested == (4 * count if fresh else 0)
+        assert held[50] == held[400] <= 5
+        window = passages.WindowBucket(kind, 4)
+        for n in range(400):
+            columns = [(np.array([5, 6], np.uint64), 8), (np.array([n, 900 - n], np.uint64), 8), (np.array([1, 1], np.uint64), 4), (np.array([n % 4] * 2, np.uint64), 4)]
+            window.fold([passages.write_arrays(*columns)], last=False)
+        assert window.held[1].tolist() == [0, 501]
+
+
+def test_folding_asks_a_smaller_document_for_each():
+    """However the records come in, a document reaches the smallest of its class by asking."""
+    kind = passages.Symbols(13, 5, None, None, None)
+    rng = random.Random(10)
+    for trial in range(60):
+        records = [(rng.randrange(8), rng.randrange(3), rng.randrange(12)) for _ in range(rng.randrange(1, 40))]
+        bucket, shards = passages.AnchorBucket(kind, 1_000_003), 1_000_003
+        asked, contested, at = set(), set(), 0
+        while at <= len(records):
+            some = records[at : at + rng.randrange(1, 6)] if at < len(records) else []
+            at += max(len(some), 1)
+            # Places tell the class of a record.
+            part = passages.write_arrays(
+                (np.array([r[0] for r in some], np.uint64), 5), (np.array([r[1] for r in some], np.uint64), 6),
+                (np.array([r[2] for r in some], np.uint64), 8), (np.array([100 * r[0] + 10 * r[1] for r in some], np.uint64), 4),
+            )
+            for what, _, data in bucket.fold([part] if some else [], last=at > len(records)):
+                if what == passages.REQUEST:
+                    owner, first, _, target = passages.read_arrays(data, *passages.REQUESTS)
+                    asked |= set(zip((first.astype(int) - passages.SHIFT + kind.pad).tolist(), owner.tolist(), target.tolist()))
+                else:
+                    doc, place = passages.read_arrays(data, *passages.PLACES)
+                    contested |= set(zip(doc.tolist(), place.tolist()))
+        shard = {d: int(passages.shard_of(np.array([d]), shards)[0]) for d in range(12)}
+        assert len(set(shard.values())) == 12
+        for anchor, context, doc in records:
+            place = 100 * anchor + 10 * context
+            same = {d for a, c, d in records if (a, c) == (anchor, context)}
+            assert doc == min(same) or any((place, d, shard[doc]) in asked for d in same if d < doc)
+            kin = [(c, d) for a, c, d in records if a == anchor]
+            if len({c for c, _ in kin}) > 1 and len({d for _, d in kin}) > 1:
+                assert (min(same), place) in contested

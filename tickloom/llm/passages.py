@@ -15,7 +15,8 @@ documents the text of the passages that occur in it, taken from a document with
 
 Hashes only route: whether a document holds a passage is for the index to say, on the text itself.
 Equal keys of a batch are combined before the shuffle and an anchor with many classes in a batch skips
-its bucket, so a passage in a third of all documents adds a few records per batch to one bucket.
+its bucket, so a passage in a third of all documents adds a few records per batch to one bucket, which
+takes them in as a stream and holds what differs.
 Documents travel compressed and in one shuffle that steps 2 to 4 share.
 """
 
@@ -29,6 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ from tickloom.plans.lineage import cut_lineage
 NULL_FROM = (1 << 63) - (1 << 41)
 #: Bytes of text in a shard, and in a bucket's share of anchors.
 SHARD_BYTES, BUCKET_BYTES = 4_000_000, 3_000_000
+#: Bytes of records after which a bucket folds them into what it holds.
+FOLD_BYTES = 8_000_000
 #: Symbols whose hashes are worked out together.
 PART_SYMBOLS = 128_000
 #: Classes of one anchor in one batch beyond which they are compared window by window at once.
@@ -278,25 +282,56 @@ def _anchor_rows(kind: Symbols, ids: np.ndarray, texts: list[str], shards: int,
     return rows
 
 
-def _bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
-    """Requests and contested places of the anchors of a bucket."""
-    columns = [np.concatenate(x) for x in zip(*[read_arrays(p, *ANCHORS) for p in parts])]
-    anchor, context = columns[:2]
-    doc, place = columns[2].view(np.int64), columns[3].astype(np.int64)
-    order = np.lexsort((place, doc, context, anchor))
-    anchor, context, doc, place = (x[order] for x in (anchor, context, doc, place))
-    head = _heads(anchor, context)
-    first = np.flatnonzero(head)[np.cumsum(head) - 1]
-    again = doc > doc[first]
-    begin = place[first[again]]
-    rows = list(_requests(doc[first[again]], begin - kind.pad, begin + kind.gram + kind.pad, shard_of(doc[again], shards), shards))
-    group = _heads(anchor)
-    begins = np.flatnonzero(group)
-    low, high = np.minimum.reduceat(doc, begins), np.maximum.reduceat(doc, begins)
-    classes = np.add.reduceat(head.astype(np.int64), begins)
-    several = ((classes > 1) & (low < high))[np.cumsum(group) - 1] & head
-    rows += _rows(CONTESTED, shard_of(doc[several], shards), PLACES, doc[several], place[several])
-    return rows
+class AnchorBucket:
+    """The anchors of a bucket, taken in piece by piece.
+
+    Held are of each class the smallest document, and of each anchor a row with its largest id. A
+    document asks the smallest of its class so far, which asks in its turn when a smaller one comes. An
+    anchor that has many classes before the end has its places contested as they come, and is held as
+    its hash alone. So what is held grows with the different anchors, not with how often they occur.
+    """
+
+    def __init__(self, kind: Symbols, shards: int) -> None:
+        self.kind, self.shards = kind, shards
+        self.held = [np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
+        self.open = np.empty(0, np.uint64)
+
+    def fold(self, parts: list[bytes], last: bool) -> list[tuple[int, int, bytes]]:
+        """Requests and contested places that ``parts`` add."""
+        pieces = [tuple(self.held)]
+        for part in parts:
+            anchor, context, doc, place = read_arrays(part, *ANCHORS)
+            pieces.append((anchor, context, doc.view(np.int64), place.astype(np.int64), np.zeros(len(doc), bool)))
+        anchor, context, doc, place, asked = (np.concatenate(x) for x in zip(*pieces))
+        if not len(anchor):
+            return []
+        order = np.lexsort((place, doc, context, anchor))
+        anchor, context, doc, place, asked = (x[order] for x in (anchor, context, doc, place, asked))
+        head = _heads(anchor, context)
+        first = np.flatnonzero(head)[np.cumsum(head) - 1]
+        again = (doc > doc[first]) & ~asked
+        begin = place[first[again]]
+        pad, gram = self.kind.pad, self.kind.gram
+        rows = list(_requests(doc[first[again]], begin - pad, begin + gram + pad, shard_of(doc[again], self.shards), self.shards))
+        group = _heads(anchor)
+        begins = np.flatnonzero(group)
+        which = np.cumsum(group) - 1
+        low, high = np.minimum.reduceat(doc, begins), np.maximum.reduceat(doc, begins)
+        classes = np.add.reduceat(head.astype(np.int64), begins)
+        opened = np.isin(anchor[begins], self.open)
+        if last:
+            contest = opened | ((classes > 1) & (low < high))
+        else:
+            contest = opened | (classes > MANY_CLASSES)
+            self.open = np.concatenate([self.open, anchor[begins][contest & ~opened]])
+            largest = np.flatnonzero(doc == high[which])
+            keep = head.copy()
+            keep[largest[_heads(which[largest])]] = True
+            keep &= ~contest[which]
+            self.held = [x[keep] for x in (anchor, context, doc, place, asked | again)]
+        several = contest[which] & head
+        rows += _rows(CONTESTED, shard_of(doc[several], self.shards), PLACES, doc[several], place[several])
+        return rows
 
 
 def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards: int, buckets: int, here: int) -> list[tuple[int, int, bytes]]:
@@ -338,16 +373,49 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
     return rows
 
 
-def _window_bucket_rows(kind: Symbols, parts: list[bytes], shards: int) -> list[tuple[int, int, bytes]]:
-    code, doc, place, target = (np.concatenate(x) for x in zip(*[read_arrays(p, *WINDOWS) for p in parts]))
-    doc, place, target = doc.view(np.int64), place.astype(np.int64), target.astype(np.int64)
-    order = np.lexsort((place, doc, code))
-    code, doc, place, target = code[order], doc[order], place[order], target[order]
-    head = _heads(code)
-    first = np.flatnonzero(head)[np.cumsum(head) - 1]
-    again = doc > doc[first]
-    begin = place[first[again]]
-    return list(_requests(doc[first[again]], begin, begin + kind.length, target[again], shards))
+class WindowBucket:
+    """The contested windows of a bucket, taken in piece by piece; held is the smallest document of each."""
+
+    def __init__(self, kind: Symbols, shards: int) -> None:
+        self.kind, self.shards = kind, shards
+        self.held = [np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3]
+
+    def fold(self, parts: list[bytes], last: bool) -> list[tuple[int, int, bytes]]:
+        """Requests that ``parts`` add."""
+        pieces = [tuple(self.held)]
+        for part in parts:
+            code, doc, place, target = read_arrays(part, *WINDOWS)
+            pieces.append((code, doc.view(np.int64), place.astype(np.int64), target.astype(np.int64)))
+        code, doc, place, target = (np.concatenate(x) for x in zip(*pieces))
+        if not len(code):
+            return []
+        order = np.lexsort((place, doc, code))
+        code, doc, place, target = code[order], doc[order], place[order], target[order]
+        head = _heads(code)
+        first = np.flatnonzero(head)[np.cumsum(head) - 1]
+        again = doc > doc[first]
+        begin = place[first[again]]
+        if not last:
+            self.held = [x[head] for x in (code, doc, place, target)]
+        return list(_requests(doc[first[again]], begin, begin + self.kind.length, target[again], self.shards))
+
+
+def folded(batches: Iterator[pa.RecordBatch], bucket: AnchorBucket | WindowBucket, fold_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a bucket: those of other kinds as they are, records folded into ``bucket`` a few at a time."""
+    parts, size = [], 0
+    for batch in batches:
+        batch = batch.select(["kind", "key", "data"])
+        record = pc.equal(batch.column("kind"), RECORD)
+        others = batch.filter(pc.invert(record))
+        if others.num_rows:
+            yield others
+        for data in batch.filter(record).column("data"):
+            parts.append(data.as_py())
+            size += len(parts[-1])
+            if size >= fold_bytes:
+                yield _table(bucket.fold(parts, last=False))
+                parts, size = [], 0
+    yield _table(bucket.fold(parts, last=True))
 
 
 def _reply_rows(kind: Symbols, docs: list[Document], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -442,6 +510,7 @@ def from_rest(rest: str) -> tuple:
 def recurring(
     df: DataFrame, kind: Symbols, locate: Callable[[list[Document], list[tuple[int, bytes, np.ndarray]]], Iterator[pa.RecordBatch]],
     schema: str, *, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None, shard_bytes: int = SHARD_BYTES,
+    fold_bytes: int = FOLD_BYTES,
 ) -> DataFrame:
     """Rows of ``schema`` that ``locate`` makes of the documents of each shard and the passages that occur there.
 
@@ -465,11 +534,8 @@ def recurring(
         for batch in small_batches(batches):
             yield _table(_anchor_rows(kind, _ids(batch), batch.column("text").to_pylist(), shards, buckets))
 
-    def classes(table: pa.Table) -> pa.Table:
-        rows = list(zip(*[table.column(c).to_pylist() for c in ("kind", "key", "data")]))
-        found = [r for r in rows if r[0] != RECORD]
-        parts = [r[2] for r in rows if r[0] == RECORD]
-        return pa.Table.from_batches([_table(found + (_bucket_rows(kind, parts, shards) if parts else []))])
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from folded(batches, AnchorBucket(kind, shards), fold_bytes)
 
     # Requests and contested places of a batch ride along with its records, so texts are scanned once.
     met = docs.mapInArrow(scan, ROW).withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)))
@@ -494,10 +560,8 @@ def recurring(
         docs_here = unpacked(left.column("docs").to_pylist())
         return pa.Table.from_batches([_table(_window_rows(kind, docs_here, parts, shards, buckets, key[0].as_py()) if parts else [])])
 
-    def window_classes(table: pa.Table) -> pa.Table:
-        rows = list(zip(*[table.column(c).to_pylist() for c in ("kind", "key", "data")]))
-        parts = [r[2] for r in rows if r[0] == RECORD]
-        return pa.Table.from_batches([_table([r for r in rows if r[0] != RECORD] + (_window_bucket_rows(kind, parts, shards) if parts else []))])
+    def window_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from folded(batches, WindowBucket(kind, shards), fold_bytes)
 
     contested = first.where(F.col("kind") == CONTESTED)
     second = (
