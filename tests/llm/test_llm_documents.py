@@ -49,9 +49,9 @@ def none_of(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-@pytest.mark.parametrize("shard_bytes, fold_bytes", [(passages.SHARD_BYTES, passages.FOLD_BYTES), (3_000, 1)])
-def test_bytes(spark, docs, rows, shard_bytes, fold_bytes, monkeypatch):
-    monkeypatch.setattr(runs, "recurring", lambda *a, **k: passages.recurring(*a, **k, shard_bytes=shard_bytes, fold_bytes=fold_bytes))
+@pytest.mark.parametrize("shard_bytes, fold_bytes, fan_out", [(passages.SHARD_BYTES, passages.FOLD_BYTES, passages.FAN_OUT), (3_000, 1, 256), (500, 500, 2)])
+def test_bytes(spark, docs, rows, shard_bytes, fold_bytes, fan_out, monkeypatch):
+    monkeypatch.setattr(runs, "recurring", lambda *a, **k: passages.recurring(*a, **k, shard_bytes=shard_bytes, fold_bytes=fold_bytes, fan_out=fan_out))
     same(table(runs.byte_digests(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), brute.byte_rows(rows))
 
 
@@ -59,9 +59,9 @@ def test_bytes_empty(spark):
     assert runs.byte_digests(none_of(spark)).count() == 0
 
 
-@pytest.mark.parametrize("shard_bytes, fold_bytes", [(passages.SHARD_BYTES, passages.FOLD_BYTES), (3_000, 1)])
-def test_phrases(spark, docs, rows, shard_bytes, fold_bytes, monkeypatch):
-    monkeypatch.setattr(phrases, "recurring", lambda *a, **k: passages.recurring(*a, **k, shard_bytes=shard_bytes, fold_bytes=fold_bytes))
+@pytest.mark.parametrize("shard_bytes, fold_bytes, fan_out", [(passages.SHARD_BYTES, passages.FOLD_BYTES, passages.FAN_OUT), (3_000, 1, 256), (500, 500, 2)])
+def test_phrases(spark, docs, rows, shard_bytes, fold_bytes, fan_out, monkeypatch):
+    monkeypatch.setattr(phrases, "recurring", lambda *a, **k: passages.recurring(*a, **k, shard_bytes=shard_bytes, fold_bytes=fold_bytes, fan_out=fan_out))
     same(table(phrases.phrase_digests(docs), "doc_id", "n_words", "n_removed", "kept_sha256"), brute.phrase_rows(rows))
 
 

@@ -115,3 +115,30 @@ def test_folding_asks_a_smaller_document_for_each():
             kin = [(c, d) for a, c, d in records if a == anchor]
             if len({c for c, _ in kin}) > 1 and len({d for _, d in kin}) > 1:
                 assert (min(same), place) in contested
+
+
+def test_no_document_answers_for_many_shards():
+    """A class in every shard: each shard asks once, a smaller document each time, none for more than the fan-out."""
+    kind = passages.Symbols(13, 5, None, None, None)
+    rng = random.Random(11)
+    docs = rng.sample(range(1 << 40), 3_000)
+    for bucket in (passages.AnchorBucket(kind, 700, 4), passages.WindowBucket(kind, 700, 4)):
+        if isinstance(bucket, passages.AnchorBucket):
+            part = anchor_part(rng, docs, [1] * len(docs))
+        else:
+            ones = np.ones(len(docs), np.uint64)
+            ids = np.array(docs, np.int64)
+            part = passages.write_arrays((ones, 8), (ids.view(np.uint64), 8), (ones, 4), (passages.shard_of(ids, 700).view(np.uint64), 4))
+        pairs = []
+        for what, key, data in bucket.fold([part], last=True):
+            assert what == passages.REQUEST
+            owner, _, _, target = passages.read_arrays(data, *passages.REQUESTS)
+            assert set(passages.shard_of(owner.view(np.int64), 700).tolist()) == {key}
+            pairs += zip(owner.tolist(), target.tolist())
+        least = {}
+        for d in sorted(docs)[1:]:
+            least.setdefault(int(passages.shard_of(np.array([d]), 700)[0]), d)
+        assert sorted(t for _, t in pairs) == sorted(least)
+        assert all(owner < least[t] for owner, t in pairs)
+        owners = [owner for owner, _ in pairs]
+        assert max(owners.count(x) for x in set(owners)) == 4

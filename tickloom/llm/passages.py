@@ -7,7 +7,7 @@ documents the text of the passages that occur in it, taken from a document with
 1. Every document's anchors - the grams with the smallest hash of some window - go to buckets by hash.
    Equal windows have equal anchors, so documents that share a window meet there. Anchors with equal
    surroundings form a class; its smallest document is asked for the passage on behalf of the shards of
-   the others.
+   the others, or where these are many, an earlier document of one of them.
 2. Where one anchor has several classes, windows may still be shared across classes. Those windows
    alone are hashed one by one and meet in buckets again.
 3. The documents asked for send the passages to the shards that need them.
@@ -44,6 +44,8 @@ NULL_FROM = (1 << 63) - (1 << 41)
 SHARD_BYTES, BUCKET_BYTES = 4_000_000, 3_000_000
 #: Bytes of records after which a bucket folds them into what it holds.
 FOLD_BYTES = 8_000_000
+#: Shards that a document answers for one passage, of those that a bucket folds at once.
+FAN_OUT = 256
 #: Symbols whose hashes are worked out together.
 PART_SYMBOLS = 128_000
 #: Classes of one anchor in one batch beyond which they are compared window by window at once.
@@ -282,6 +284,26 @@ def _anchor_rows(kind: Symbols, ids: np.ndarray, texts: list[str], shards: int,
     return rows
 
 
+def _askers(group: np.ndarray, doc: np.ndarray, first: np.ndarray, again: np.ndarray, target: np.ndarray, fan_out: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which row each target shard of a group asks: rows of owners, rows of askers, one pair a target.
+
+    A target asks on behalf of its smallest document. The first ``fan_out`` targets, by that document, ask
+    the group's first row and the others the document of a target before them, like nodes of a heap: so
+    no document answers for more targets than that, and each asks one with a smaller id.
+    """
+    row = np.flatnonzero(again)
+    row = row[np.lexsort((doc[row], target[row], group[row]))]
+    row = row[_heads(group[row], target[row])]
+    row = row[np.lexsort((doc[row], group[row]))]
+    begins = np.flatnonzero(_heads(group[row]))
+    begin = np.repeat(begins, np.diff(np.append(begins, len(row))))
+    parent = (np.arange(len(row)) - begin) // fan_out
+    owner = first[row]
+    later = parent > 0
+    owner[later] = row[begin[later] + parent[later] - 1]
+    return owner, row
+
+
 class AnchorBucket:
     """The anchors of a bucket, taken in piece by piece.
 
@@ -291,8 +313,8 @@ class AnchorBucket:
     its hash alone. So what is held grows with the different anchors, not with how often they occur.
     """
 
-    def __init__(self, kind: Symbols, shards: int) -> None:
-        self.kind, self.shards = kind, shards
+    def __init__(self, kind: Symbols, shards: int, fan_out: int = FAN_OUT) -> None:
+        self.kind, self.shards, self.fan_out = kind, shards, fan_out
         self.held = [np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
         self.open = np.empty(0, np.uint64)
 
@@ -310,9 +332,10 @@ class AnchorBucket:
         head = _heads(anchor, context)
         first = np.flatnonzero(head)[np.cumsum(head) - 1]
         again = (doc > doc[first]) & ~asked
-        begin = place[first[again]]
+        target = shard_of(doc, self.shards)
+        owner, asker = _askers(np.cumsum(head), doc, first, again, target, self.fan_out)
         pad, gram = self.kind.pad, self.kind.gram
-        rows = list(_requests(doc[first[again]], begin - pad, begin + gram + pad, shard_of(doc[again], self.shards), self.shards))
+        rows = list(_requests(doc[owner], place[owner] - pad, place[owner] + gram + pad, target[asker], self.shards))
         group = _heads(anchor)
         begins = np.flatnonzero(group)
         which = np.cumsum(group) - 1
@@ -361,14 +384,16 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
     which = batch.document(at)
     code, doc, place = batch.hash(at, kind.length), ids[which], at - batch.starts[which]
     order = np.lexsort((place, doc, code))
-    code, doc, place = code[order], doc[order], place[order]
+    code, doc, place, anchor = code[order], doc[order], place[order], least[at[order]]
     head = _heads(code)
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.empty(0, np.int64)
     again = doc > doc[first]
     begin = place[first[again]]
     rows = list(_requests(doc[first[again]], begin, begin + kind.length, np.full(len(begin), here), shards))
-    code, doc, place = code[head], doc[head], place[head]
-    bucket = ((code >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    code, doc, place, anchor = code[head], doc[head], place[head], anchor[head]
+    # The anchor has a say in the bucket: other windows of the same code meet in one of many only.
+    mixed = (code * np.uint64(0x9E3779B97F4A7C15)) ^ (anchor * np.uint64(0xD6E8FEB86659FD93))
+    bucket = ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
     rows += _rows(RECORD, bucket, WINDOWS, code, doc, place, np.full(len(doc), here))
     return rows
 
@@ -376,8 +401,8 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
 class WindowBucket:
     """The contested windows of a bucket, taken in piece by piece; held is the smallest document of each."""
 
-    def __init__(self, kind: Symbols, shards: int) -> None:
-        self.kind, self.shards = kind, shards
+    def __init__(self, kind: Symbols, shards: int, fan_out: int = FAN_OUT) -> None:
+        self.kind, self.shards, self.fan_out = kind, shards, fan_out
         self.held = [np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3]
 
     def fold(self, parts: list[bytes], last: bool) -> list[tuple[int, int, bytes]]:
@@ -393,11 +418,10 @@ class WindowBucket:
         code, doc, place, target = code[order], doc[order], place[order], target[order]
         head = _heads(code)
         first = np.flatnonzero(head)[np.cumsum(head) - 1]
-        again = doc > doc[first]
-        begin = place[first[again]]
+        owner, asker = _askers(np.cumsum(head), doc, first, doc > doc[first], target, self.fan_out)
         if not last:
             self.held = [x[head] for x in (code, doc, place, target)]
-        return list(_requests(doc[first[again]], begin, begin + self.kind.length, target[again], self.shards))
+        return list(_requests(doc[owner], place[owner], place[owner] + self.kind.length, target[asker], self.shards))
 
 
 def folded(batches: Iterator[pa.RecordBatch], bucket: AnchorBucket | WindowBucket, fold_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -510,7 +534,7 @@ def from_rest(rest: str) -> tuple:
 def recurring(
     df: DataFrame, kind: Symbols, locate: Callable[[list[Document], list[tuple[int, bytes, np.ndarray]]], Iterator[pa.RecordBatch]],
     schema: str, *, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None, shard_bytes: int = SHARD_BYTES,
-    fold_bytes: int = FOLD_BYTES,
+    fold_bytes: int = FOLD_BYTES, fan_out: int = FAN_OUT,
 ) -> DataFrame:
     """Rows of ``schema`` that ``locate`` makes of the documents of each shard and the passages that occur there.
 
@@ -535,7 +559,7 @@ def recurring(
             yield _table(_anchor_rows(kind, _ids(batch), batch.column("text").to_pylist(), shards, buckets))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from folded(batches, AnchorBucket(kind, shards), fold_bytes)
+        yield from folded(batches, AnchorBucket(kind, shards, fan_out), fold_bytes)
 
     # Requests and contested places of a batch ride along with its records, so texts are scanned once.
     met = docs.mapInArrow(scan, ROW).withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)))
@@ -561,7 +585,7 @@ def recurring(
         return pa.Table.from_batches([_table(_window_rows(kind, docs_here, parts, shards, buckets, key[0].as_py()) if parts else [])])
 
     def window_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from folded(batches, WindowBucket(kind, shards), fold_bytes)
+        yield from folded(batches, WindowBucket(kind, shards, fan_out), fold_bytes)
 
     contested = first.where(F.col("kind") == CONTESTED)
     second = (
