@@ -22,3 +22,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     near = rows.join(F.broadcast(entries), key)
     far = rows.join(F.broadcast(hot), key, "left_anti").join(table, key)
     return near.unionByName(far)
+
+
+def shuffle_width(df: DataFrame) -> int:
+    """Tasks of a shuffle as the session has it."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -3,10 +3,11 @@
 A rule that looks back along a key ("the previous price", "the last known leg") is a window
 per key. A window runs in one task, so that is only right while no key is large. Here the size
 is checked first. While every key fits one task, the key alone is the window partition. Beyond
-that the rows are range-partitioned by (key, order) into balanced *slices* - even a single hot
-instant is split, because the order ends in a tie-breaker - and written once to the checkpoint
-folder, so that slice numbers stay the same for every later pass and retry. Windows then run per
-slice, and a small table with one entry per slice hands over what earlier slices know.
+that the rows are range-partitioned by (key, order) - even a single hot instant is split, because
+the order ends in a tie-breaker - and written once to the checkpoint folder, so that places stay the
+same for every later pass and retry. Consecutive rows of a partition make a *slice*: a task holds as
+many slices as fit it, and their number never sets the number of tasks. Windows then run per slice,
+and a small table with one entry per slice hands over what earlier slices know.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.operators.joins import shuffle_width
 from tickloom.plans.lineage import cut_lineage
 
 SLICE = "_slice"
@@ -26,6 +28,8 @@ CARRIED = "_carried"
 
 # Narrow rows (order columns and a few doubles): one slice stays far below a task's memory.
 ROWS_PER_SLICE = 2_000_000
+# Where a row is stored, as monotonically_increasing_id tells it.
+_PLACE, _PLACE_BITS = "_place", 33
 
 
 @dataclass(frozen=True)
@@ -68,14 +72,19 @@ def slice_rows(
     largest, total = _sizes(rows, keys)
     if largest <= rows_per_slice:
         return Sliced(rows.withColumn(SLICE, F.lit(0)), tuple(keys), tuple(order), 1)
-    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = shuffle_width(rows)
     # Twice as many as needed: range bounds come from a sample and are not exact.
-    count = max(width, math.ceil(2 * total / rows_per_slice))
-    laid = cut_lineage(
-        rows.repartitionByRange(count, *keys, *order)
+    parts = max(width, math.ceil(2 * total / max(ROWS_PER_SLICE, rows_per_slice)))
+    placed = cut_lineage(
+        rows.repartitionByRange(parts, *keys, *order)
         .sortWithinPartitions(*keys, *order)
-        .withColumn(SLICE, F.spark_partition_id())
+        .withColumn(_PLACE, F.monotonically_increasing_id())
     )
+    # The id is the partition in its upper bits and the row's place there in the lower ones.
+    part, at = F.shiftright(_PLACE, _PLACE_BITS), F.col(_PLACE).bitwiseAND((1 << _PLACE_BITS) - 1)
+    per_part = placed.agg(F.max(at)).first()[0] // rows_per_slice + 1
+    count = parts * per_part
+    laid = placed.withColumn(SLICE, (part * per_part + F.floor(at / rows_per_slice)).cast("int")).drop(_PLACE)
     spanning = None
     if keys:
         spread = laid.groupBy(*keys).agg(F.min(SLICE).alias("_first"), F.max(SLICE).alias("_last"))
