@@ -35,15 +35,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tickloom.operators.joins import shuffle_width
 from tickloom.operators.slices import ROWS_PER_SLICE, SLICE, Sliced, slice_rows
-from tickloom.operators.successors import path_exits
+from tickloom.operators.successors import path_exits, runs
 from tickloom.plans.lineage import cut_lineage
 
 PASSED = "_passed"
+# A row that only tells a slice where it starts, in front of the slice's own.
+TOLD = "_told"
 FAN_IN = 16
 
 
-
 @dataclass
 class Walk:
     """Consecutive rows of one key: what a rule sees of a row is a time in microseconds, a value and
@@ -75,10 +77,10 @@ class Cooldown:
         elapsed, limit = rows.t - t, int(self.seconds * 1_000_000)
         return elapsed >= limit if self.at_exactly else elapsed > limit
 
-    def first_over(self, rows: Walk, t: int) -> int:
+    def first_over(self, rows: Walk, t):
         """Rows are in time order: the first one past the cooldown by binary search."""
         side = "left" if self.at_exactly else "right"
-        return int(np.searchsorted(rows.t, t + int(self.seconds * 1_000_000), side=side))
+        return np.searchsorted(rows.t, t + int(self.seconds * 1_000_000), side=side)
 
     def passes(self, rows: Walk, t, v) -> np.ndarray:
         over = self._over(rows, t)
@@ -195,7 +197,7 @@ def first_pass(rule, rows: Walk, start: int, last: tuple[int, float] | None) ->
     if last is None:
         return min(start, len(rows))
     if rule.time_only:
-        return max(start, rule.first_over(rows, last[0]))
+        return max(start, int(rule.first_over(rows, last[0])))
     step = 32
     while start < len(rows):
         stop = min(start + step, len(rows))
@@ -300,15 +302,14 @@ def _summary_frame(node: int, rows: Walk, exit_t, exit_v, seed_t, seed_v) -> pd.
     )
 
 
-def _summarise_slice(rule, node: int, rows: Walk, seed) -> pd.DataFrame:
+def _summarise_slice(rule, rows: Walk) -> tuple[Walk, np.ndarray, np.ndarray]:
+    """The openers of a slice, and time and value of the row that would pass last after each."""
     openers = rule.openers(rows)
     ends = exits(rule, rows, openers)
     exit_t, exit_v = rows.t[ends], rows.v[ends]
     inside = Walk(rows.t[openers], rows.v[openers], rows.limit[openers])
     keep = _distinct_ends(rule, inside, exit_t, exit_v)
-    inside = Walk(inside.t[keep], inside.v[keep], inside.limit[keep])
-    seed_t, seed_v = seed if seed else (None, None)
-    return _summary_frame(node, inside, exit_t[keep], exit_v[keep], seed_t, seed_v)
+    return Walk(inside.t[keep], inside.v[keep], inside.limit[keep]), exit_t[keep], exit_v[keep]
 
 
 def _parts(group: pd.DataFrame) -> list[tuple[int, Walk, np.ndarray, np.ndarray]]:
@@ -409,22 +410,6 @@ def _walk_of(batch: pa.RecordBatch, names: _Names) -> Walk:
     )
 
 
-def _runs(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple[int, int, tuple]]:
-    """Stretches of equal keys in a sorted batch: (start, stop, key)."""
-    changed = np.zeros(batch.num_rows, dtype=bool)
-    changed[0] = True
-    for name in names:
-        codes = batch.column(name).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
-        changed[1:] |= codes[1:] != codes[:-1]
-    starts = np.flatnonzero(changed)
-    stops = np.append(starts[1:], batch.num_rows)
-    keys = [batch.column(name) for name in names]
-    return [
-        (int(a), int(b), tuple(column[int(a)].as_py() for column in keys))
-        for a, b in zip(starts, stops)
-    ]
-
-
 def _pair(batch: pa.RecordBatch, i: int, t_name: str, v_name: str) -> tuple[int, float] | None:
     if t_name not in batch.schema.names:
         return None
@@ -440,43 +425,68 @@ def _scanner(rule, names: _Names, returned: Sequence[str], keep_all: bool):
                 continue
             rows = _walk_of(batch, names)
             passed = np.zeros(batch.num_rows, dtype=bool)
-            for start, stop, key in _runs(batch, names.run):
+            told = batch.column(TOLD).to_numpy(zero_copy_only=False) if TOLD in batch.schema.names else passed.copy()
+            for start, stop, key in runs(batch, names.run):
                 if key != current:
                     current = key
                     last = _pair(batch, start, "_before_t", "_before_v")
+                start += int(told[start])
                 passed[start:stop], last = walk(rule, rows.part(start, stop), last)
             out, mask = batch.select(returned), pa.array(passed)
-            yield out.append_column(PASSED, mask) if keep_all else out.filter(mask)
+            yield out.append_column(PASSED, mask).filter(pa.array(~told)) if keep_all else out.filter(mask)
 
     return scan
 
 
+def _summary_batch(summaries: Sequence[tuple], names: Sequence[str], target: pa.Schema) -> pa.RecordBatch:
+    """Summaries of many slices, (key, seed, openers, exit_t, exit_v) each, as one batch."""
+    keys, seeds, openers, exit_t, exit_v = zip(*summaries)
+    sizes = np.array([len(rows) for rows in openers])
+    each = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+    columns = {
+        "_at": np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes),
+        "_t": np.concatenate([rows.t for rows in openers]),
+        "_v": np.concatenate([rows.v for rows in openers]),
+        "_limit": np.concatenate([rows.limit for rows in openers]),
+        "_exit_t": np.concatenate(exit_t),
+        "_exit_v": np.concatenate(exit_v),
+    }
+    once = {name: [key[i] for key in keys] for i, name in enumerate(["_node", *names[1:]])}
+    once |= {"_seed_t": [seed and seed[0] for seed in seeds], "_seed_v": [seed and seed[1] for seed in seeds]}
+    arrays = [
+        pa.array(columns[f.name], f.type) if f.name in columns else pa.array(once[f.name], f.type).take(each) for f in target
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=target)
+
+
 def _summariser(rule, names: _Names, schema: T.StructType):
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        target = to_arrow_schema(schema)
+        held, ready, count = None, [], 0
 
-        def finish():
+        def finish() -> int:
             key, seed, pieces = held
-            rows = Walk(*(np.concatenate(column) for column in zip(*pieces)))
-            frame = _summarise_slice(rule, key[0], rows, seed)
-            for name, value in zip(names.run[1:], key[1:]):
-                frame[name] = value
-            return pa.RecordBatch.from_pandas(frame[schema.names], schema=target, preserve_index=False)
+            summary = _summarise_slice(rule, Walk(*(np.concatenate(column) for column in zip(*pieces))))
+            ready.append((key, seed, *summary))
+            return len(summary[0])
 
-        target = to_arrow_schema(schema)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             rows = _walk_of(batch, names)
-            for start, stop, key in _runs(batch, names.run):
+            for start, stop, key in runs(batch, names.run):
                 part = rows.part(start, stop)
                 if held is None or held[0] != key:
                     if held is not None:
-                        yield finish()
+                        count += finish()
                     held = (key, _pair(batch, start, "_seed_t", "_seed_v"), [])
                 held[2].append((part.t, part.v, part.limit))
+            if count > 10_000:
+                yield _summary_batch(ready, names.run, target)
+                ready, count = [], 0
         if held is not None:
-            yield finish()
+            finish()
+            yield _summary_batch(ready, names.run, target)
 
     return summarise
 
@@ -540,8 +550,9 @@ def gate(
             rows = rows.repartition(*keys)
         if "_seed_t" in rows.columns:
             rows = rows.withColumns({"_before_t": F.col("_seed_t"), "_before_v": F.col("_seed_v")})
-    wanted = dict.fromkeys([*names.run, t, v, names.limit, "_before_t", "_before_v", *returned])
-    ready = rows.sortWithinPartitions(*names.run, *order).select(*[c for c in wanted if c in rows.columns])
+    wanted = dict.fromkeys([*names.run, t, v, names.limit, "_before_t", "_before_v", TOLD, *returned])
+    first = [F.col(TOLD).desc()] if sliced.split else []
+    ready = rows.sortWithinPartitions(*names.run, *first, *order).select(*[c for c in wanted if c in rows.columns])
     schema = T.StructType([ready.schema[c] for c in returned])
     if keep_all:
         schema = schema.add(PASSED, T.BooleanType())
@@ -555,7 +566,7 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: Column)
 def _with_starts(
     rows: DataFrame, sliced: Sliced, keys: Sequence[str], order: Sequence[str], rule, names: _Names
 ) -> DataFrame:
-    """Add the last passed row before each slice, for keys that go on into it."""
+    """Add, in front of each slice, the last passed row before it, for keys that go on into it."""
     key_fields = [rows.schema[k] for k in keys]
     schema = T.StructType([*key_fields, *_SUMMARY.fields])
     seen = [SLICE, *keys, names.t, names.v, names.limit, "_seed_t", "_seed_v"]
@@ -569,17 +580,13 @@ def _with_starts(
         starts = path_exits(summaries, keys, _bare_walk, rule, first_pass)
     else:
         starts = _composed_starts(summaries, sliced.count, keys, key_fields, rule, schema)
-    # Spanning keys of the layout are fewer than its slices, so this broadcast is bounded by the
-    # number of slices.
+    # As many as slices, so they go to the slices like rows: neither the driver nor a task holds them all.
     handed = cut_lineage(starts.filter(F.col("_before_t").isNotNull())).select(
-        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_node").alias("_to"), "_before_t", "_before_v"
+        *keys, F.col("_node").alias(SLICE), "_before_t", "_before_v", F.lit(True).alias(TOLD)
     )
-    found = rows.join(F.broadcast(handed), _same(rows, handed, keys, rows[SLICE] == handed["_to"]), "left")
-    if "_seed_t" in rows.columns:
-        found = found.withColumns(
-            {"_before_t": F.coalesce("_before_t", "_seed_t"), "_before_v": F.coalesce("_before_v", "_seed_v")}
-        )
-    return found.drop("_to", *[f"_key_{k}" for k in keys])
+    before = {c: F.col(c.replace("before", "seed")) if "_seed_t" in rows.columns else F.lit(None) for c in ("_before_t", "_before_v")}
+    own = rows.withColumns({"_before_t": before["_before_t"].cast("bigint"), "_before_v": before["_before_v"].cast("double"), TOLD: F.lit(False)})
+    return own.unionByName(handed, allowMissingColumns=True).repartition(shuffle_width(rows), SLICE, *keys)
 
 
 def _bare_walk(t, v) -> Walk:
@@ -629,7 +636,8 @@ def _composed_starts(
 
 
 def _by_parent(level: DataFrame, keys: Sequence[str], fan_in: int):
-    return level.groupBy(*keys, F.floor(F.col("_node") / fan_in).alias("_parent"))
+    parents = level.withColumn("_parent", F.floor(F.col("_node") / fan_in))
+    return parents.repartition(shuffle_width(level), *keys, "_parent").groupBy(*keys, "_parent")
 
 
 def _keyed(step, keys: Sequence[str], names: Sequence[str]):
