@@ -142,3 +142,32 @@ def test_no_document_answers_for_many_shards():
         assert all(owner < least[t] for owner, t in pairs)
         owners = [owner for owner, _ in pairs]
         assert max(owners.count(x) for x in set(owners)) == 4
+
+
+def test_shared_lengths_look_at_each_pair_once(monkeypatch):
+    """Both neighbours of a match are measured in one call, and as a plain comparison would."""
+    import random
+
+    import numpy as np
+
+    from tickloom.llm.runs import RunIndex, _lanes
+
+    rng = random.Random(8)
+    texts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(50, 300))) for _ in range(12)]
+    index = RunIndex([(i, t) for i, t in enumerate(texts)], 50)
+    a, b, most = (np.array([rng.randrange(n) for _ in range(400)]) for n in (index.n, index.n, 51))
+
+    def plain(x, y, limit):
+        k = 0
+        while k < limit and x + k < index.n and y + k < index.n and index.text[x + k] == index.text[y + k] != 0:
+            k += 1
+        return k
+
+    assert index._shared(a, b, most).tolist() == [plain(*x) for x in zip(a, b, most)]
+    calls, turns, shared, turn = [], [], index._shared, index._turn
+    monkeypatch.setattr(index, "_shared", lambda *x: calls.append(1) or shared(*x), raising=False)
+    monkeypatch.setattr(index, "_turn", lambda *x: turns.append(1) or turn(*x), raising=False)
+    data = np.frombuffer(texts[3], np.uint8).astype(np.int16) + 1
+    lanes, _, which = _lanes(data, np.array([0]), np.array([len(data) - 49]), 50)
+    index.statistics(lanes, np.full(len(which), 99))
+    assert turns and len(calls) <= len(turns)

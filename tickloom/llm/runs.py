@@ -68,7 +68,7 @@ def suffix_array(symbols: np.ndarray, words: np.ndarray, length: int) -> tuple[n
         at = order[tied]
         group = rank[at]
         after = rank[np.minimum(at + size, n)]
-        sub = np.lexsort((after, group))
+        sub = np.argsort(group * (n + 1) + after + 1)  # by group, then by what follows, as one number
         at, group, after = at[sub], group[sub], after[sub]
         order[tied] = at  # groups stay where they were: their ranks are places
         head = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
@@ -136,7 +136,7 @@ class RunIndex:
         self.run_keys = self.symbol[by_symbol].astype(np.int64) * n + self.starts[by_symbol]
         self.n = n
         # Intervals of rows that agree on a whole passage, with the smallest document of each.
-        self.words = np.append(self.words, 0)
+        self.words = np.append(self.words, np.zeros(length + 8, np.int64))
         gaps = np.flatnonzero(self.text == 0)
         self.until_gap = gaps[np.cumsum(self.text == 0) - (self.text == 0)] - np.arange(n)
         one, two = order[:-1], order[1:]
@@ -152,18 +152,16 @@ class RunIndex:
 
     def _shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Equal symbols from two places on, none across a gap, counted up to ``most`` of each pair."""
-        out = np.zeros(len(a), np.int64)
-        live = np.arange(len(a))
+        out, differ = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+        live = np.flatnonzero(most > 0)
         step = 0
         while len(live):
-            x, y = a[live] + step, b[live] + step
-            differ = self.words[np.minimum(x, self.n)] ^ self.words[np.minimum(y, self.n)]
-            count = np.full(len(live), step)
-            for shift in range(0, 63, 9):  # the first symbol is the highest
-                count += differ < (1 << shift)
-            out[live] = count
+            here = self.words[a[live] + step] ^ self.words[b[live] + step]
+            out[live], differ[live] = step, here
             step += 7
-            live = live[(count == step) & (most[live] > step)]
+            live = live[(here == 0) & (most[live] > step)]
+        for shift in range(0, 63, 9):  # symbols of the first words that differ; the first symbol is the highest
+            out += differ < (1 << shift)
         return np.minimum(np.minimum(out, self.until_gap[a]), most)
 
     def statistics(self, lanes: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -213,9 +211,9 @@ class RunIndex:
         down = self.runs_by_symbol[np.where(has_below, below, above)]
         up_at, down_at = self.last_at[up], self.first_at[down]
         up_at, down_at = np.where(has_above, up_at, down_at), np.where(has_below, down_at, up_at)
-        here = at[other]
-        up_size = self._shared(here, up_at, size[other])
-        down_size = self._shared(here, down_at, size[other])
+        most = size[other]
+        shared = self._shared(np.tile(at[other], 2), np.concatenate([up_at, down_at]), np.tile(most, 2))
+        up_size, down_size = shared[: len(most)], shared[len(most) :]
         take_up = has_above & (~has_below | (up_size >= down_size))
         size[other] = np.where(take_up, up_size, down_size)
         at[other] = np.where(take_up, up_at, down_at)
