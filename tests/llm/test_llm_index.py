@@ -171,3 +171,69 @@ def test_shared_lengths_look_at_each_pair_once(monkeypatch):
     lanes, _, which = _lanes(data, np.array([0]), np.array([len(data) - 49]), 50)
     index.statistics(lanes, np.full(len(which), 99))
     assert turns and len(calls) <= len(turns)
+
+
+def peak_mb(work):
+    """Result, and MB that numpy and Python held at most meanwhile."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_short_texts_with_a_common_passage_take_little_room():
+    """A shard of 20,000 short texts: lanes are as wide as the texts, and a group of them is there at once."""
+    rng = np.random.default_rng(4)
+    common = rng.integers(97, 123, 60, dtype=np.uint8).tobytes()
+    raw = [rng.integers(65, 91, 2 * 45, dtype=np.uint8).tobytes() for _ in range(20_000)]
+    raw = [x[: i % 45] + common + x[45:] for i, x in enumerate(raw)]
+    kind = passages.Symbols(50, 20, runs._encoded, runs._codes, runs._joined)
+    covered, peak = peak_mb(lambda: runs._covered(kind, list(range(1, len(raw) + 1)), raw, [(0, common)]))
+    for i, marks in enumerate(covered):
+        assert np.flatnonzero(marks).tolist() == list(range(i % 45, i % 45 + 60))
+    assert peak < 80, peak
+
+
+def test_contested_windows_are_worked_on_in_parts(monkeypatch):
+    """A passage contested in all texts of a shard: the same rows as from one part, without arrays over the whole shard."""
+    rng = np.random.default_rng(5)
+    kind = passages.Symbols(50, 20, runs._encoded, runs._codes, runs._joined)
+    common = rng.integers(97, 123, 300, dtype=np.uint8).tobytes().decode()
+    docs = []
+    for i in range(1_200):
+        own = rng.integers(65, 91, 2_000, dtype=np.uint8).tobytes().decode()
+        docs.append(passages.Document(i // 2 if i < 8 else i, own[: i % 900] + common + own[900:], ""))
+    places = []
+    for i, text, _ in docs:
+        batch = passages.Batch(kind, [runs._codes(text.encode())])
+        at = batch.anchors()[0] - batch.starts[0]
+        at = at[(at >= text.index(common)) & (at < text.index(common) + 280)]
+        places.append(passages.write_arrays((np.full(len(at), i, np.uint64), 8), (at.astype(np.uint64), 4)))
+    got, peak = peak_mb(lambda: passages._window_rows(kind, docs, places, 3, 5, 1))
+    monkeypatch.setattr(passages, "PART_SYMBOLS", 1 << 40)
+    want, _ = peak_mb(lambda: passages._window_rows(kind, docs, places, 3, 5, 1))
+    assert got == want and {r[0] for r in got} == {passages.REQUEST, passages.RECORD}
+    assert peak < 100, peak
+
+
+def test_free_memory_goes_back():
+    """What a worker has freed is no longer its own after the last batch."""
+    import pyarrow as pa
+
+    from tickloom.llm.common import small_batches
+
+    def own_mb():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 / 1e6
+
+    batches = list(small_batches([pa.record_batch({"text": ["a", "b"]})]))
+    assert [b.num_rows for b in batches] == [2]
+    held = [np.ones(12_000) for _ in range(2_000)]  # 192 MB in pieces below the size that is mapped by itself
+    last = np.ones(10)
+    before = own_mb()
+    del held[:-1]
+    list(small_batches(batches))
+    assert own_mb() < before - 150 and last.sum() == 10

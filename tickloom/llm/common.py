@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -47,6 +48,15 @@ def process_cache(key: object, make: Callable[[], object]) -> object:
     return held[key]
 
 
+def give_back() -> None:
+    """Returns memory that is free again to the system. A Python worker keeps it otherwise, for as long as
+    it lives: beside the workers of later steps that is most of what idle ones hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], sized: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of few rows and, unless one row is larger, few bytes of column ``sized``."""
     for batch in batches:
@@ -59,6 +69,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], sized: str = "text") -> Ite
             size += n
         if begin < batch.num_rows:
             yield batch.slice(begin)
+    give_back()
 
 
 def type_of(df: DataFrame, name: str) -> str:

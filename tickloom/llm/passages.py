@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import column, small_batches, texts_of
+from tickloom.llm.common import column, give_back, small_batches, texts_of
 from tickloom.plans.lineage import cut_lineage
 
 #: From here on ids stand for null, told apart by text only to spread them; no document is smaller by them.
@@ -357,6 +357,21 @@ class AnchorBucket:
         return rows
 
 
+def _windows_at(batch: Batch, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the whole windows start that have the gram at one of the places as their anchor, and its hash."""
+    kind = batch.kind
+    fits = place + kind.gram <= batch.sizes[row]
+    near = (batch.starts[row] + place)[fits]
+    # Of the windows around a place, those that it is the anchor of: the others have their own.
+    grams, least = batch.minima()
+    at = near[:, None] - np.arange(kind.pad + 1)[None, :]
+    fits = (at >= 0) & (at < len(least))
+    fits[fits] = least[at[fits]] == np.broadcast_to(grams[near][:, None], at.shape)[fits]
+    at = np.unique(at[fits])
+    at = at[batch.whole(at, kind.length)]
+    return at, least[at]
+
+
 def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards: int, buckets: int, here: int) -> list[tuple[int, int, bytes]]:
     """Records of the windows at contested places of a shard, and requests within it."""
     doc, place = (np.concatenate(x) for x in zip(*[read_arrays(p, *PLACES) for p in parts]))
@@ -364,7 +379,6 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
     mine = [(i, kind.code(kind.parse(x))) for i, x, _ in docs if i in asked]
     if not mine:
         return []
-    batch = Batch(kind, [c for _, c in mine])
     ids = np.array([i for i, _ in mine], np.int64)
     by_id = np.argsort(ids, kind="stable")
     doc, place = doc.view(np.int64), place.astype(np.int64)
@@ -372,19 +386,17 @@ def _window_rows(kind: Symbols, docs: list[Document], parts: list[bytes], shards
     times = right - left  # rows of the same id are all looked at
     row = by_id[np.repeat(left, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
     place = np.repeat(place, times)
-    fits = place + kind.gram <= batch.sizes[row]
-    near = (batch.starts[row] + place)[fits]
-    # Of the windows around a place, those that it is the anchor of: the others have their own.
-    grams, least = batch.minima()
-    at = near[:, None] - np.arange(kind.pad + 1)[None, :]
-    fits = (at >= 0) & (at < len(least))
-    fits[fits] = least[at[fits]] == np.broadcast_to(grams[near][:, None], at.shape)[fits]
-    at = np.unique(at[fits])
-    at = at[batch.whole(at, kind.length)]
-    which = batch.document(at)
-    code, doc, place = batch.hash(at, kind.length), ids[which], at - batch.starts[which]
+    in_turn = np.argsort(row, kind="stable")
+    row, place = row[in_turn], place[in_turn]
+    found = []
+    for which, batch in in_parts(kind, [c for _, c in mine]):
+        here_from, here_to = np.searchsorted(row, [which[0], which[-1] + 1])
+        at, least = _windows_at(batch, row[here_from:here_to] - which[0], place[here_from:here_to])
+        of = batch.document(at)
+        found.append((batch.hash(at, kind.length), ids[which[of]], at - batch.starts[of], least))
+    code, doc, place, anchor = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((place, doc, code))
-    code, doc, place, anchor = code[order], doc[order], place[order], least[at[order]]
+    code, doc, place, anchor = code[order], doc[order], place[order], anchor[order]
     head = _heads(code)
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(head) else np.empty(0, np.int64)
     again = doc > doc[first]
@@ -440,6 +452,7 @@ def folded(batches: Iterator[pa.RecordBatch], bucket: AnchorBucket | WindowBucke
                 yield _table(bucket.fold(parts, last=False))
                 parts, size = [], 0
     yield _table(bucket.fold(parts, last=True))
+    give_back()
 
 
 def _reply_rows(kind: Symbols, docs: list[Document], parts: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -582,7 +595,9 @@ def recurring(
     def windows(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         parts = right.column("data").to_pylist()
         docs_here = unpacked(left.column("docs").to_pylist())
-        return pa.Table.from_batches([_table(_window_rows(kind, docs_here, parts, shards, buckets, key[0].as_py()) if parts else [])])
+        found = pa.Table.from_batches([_table(_window_rows(kind, docs_here, parts, shards, buckets, key[0].as_py()) if parts else [])])
+        give_back()
+        return found
 
     def window_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from folded(batches, WindowBucket(kind, shards, fan_out), fold_bytes)
@@ -605,6 +620,8 @@ def recurring(
     def place(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         here = unpacked(left.column("docs").to_pylist())
         passages = [x for part in right.column("data").to_pylist() for x in read_reply(part)]
-        return pa.Table.from_batches(list(locate(here, passages)))
+        located = pa.Table.from_batches(list(locate(here, passages)))
+        give_back()
+        return located
 
     return sharded.groupBy("shard").cogroup(replies.groupBy("target")).applyInArrow(place, schema)

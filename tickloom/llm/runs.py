@@ -27,8 +27,8 @@ from tickloom.llm.common import column, small_batches
 from tickloom.llm.passages import NULL_FROM, Document, Symbols, from_rest, in_parts, recurring
 
 LENGTH, GRAM = 50, 20
-#: Places that are streamed side by side, and the longest stretch of one lane.
-LANE = 512
+#: Longest stretch of one lane, and lanes that are streamed side by side.
+LANE, SIDE_BY_SIDE = 512, 8_192
 SCHEMA = "doc_id long, n_bytes long, n_removed long, starts array<int>, ends array<int>, kept binary, rest string"
 
 
@@ -54,11 +54,13 @@ def suffix_array(symbols: np.ndarray, words: np.ndarray, length: int) -> tuple[n
     equal for suffixes that begin with the same symbols, with how many those are: ``length`` at most."""
     n = len(symbols)
     order = np.argsort(words)
-    new = np.concatenate([[True], words[order][1:] != words[order][:-1]])
+    in_order = words[order]
+    new = np.concatenate([[True], in_order[1:] != in_order[:-1]])
+    del in_order
     first = np.flatnonzero(new)
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
-    rank[order] = first[np.cumsum(new) - 1]
+    rank[order] = np.repeat(first, np.diff(first, append=n))
     size = 7
     tied = _tied(new)
     alike, common = rank.copy(), size
@@ -108,11 +110,9 @@ class RunIndex:
         texts = [np.frombuffer(t, np.uint8).astype(np.int16) + 1 for _, t in passages]
         gap = np.zeros(1, np.int16)
         self.text = np.concatenate([gap] + [x for t in texts for x in (t, gap)])
-        owner = np.full(len(self.text), NULL_FROM, np.int64)
-        at = 1
-        for (who, _), t in zip(passages, texts):
-            owner[at : at + len(t)] = who
-            at += len(t) + 1
+        owned = [1, *[len(t) + 1 for t in texts]]
+        owners = np.array([NULL_FROM, *[who for who, _ in passages]], np.int64)
+        del texts
         self.words = _words(self.text)
         order, common, alike = suffix_array(self.text, self.words, length)
         n = len(order)
@@ -147,7 +147,7 @@ class RunIndex:
         else:
             same = self._shared(one, two, np.full(n - 1, length)) >= length
         opens = np.flatnonzero(np.concatenate([[True], ~same]))
-        self.intervals, self.least = Heads(opens, n), np.minimum.reduceat(owner[order], opens)
+        self.intervals, self.least = Heads(opens, n), np.minimum.reduceat(np.repeat(owners, owned)[order], opens)
         self.root = (0, int(order[0]))
 
     def _shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -221,19 +221,37 @@ class RunIndex:
         row[other] = np.where(take_up, self.ends[up], self.starts[down])
 
 
-def _lanes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of symbols cut into lanes that overlap by a passage: lanes, and where each begins."""
+def _cut(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of one lane at most: where each begins and ends, and of which it is a part."""
     counts = -(-(ends - begins) // LANE)
     which = np.repeat(np.arange(len(begins)), counts)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
     first = begins[which] + nth * LANE
-    offsets = np.arange(LANE + length - 1)
-    places = first[:, None] + offsets[None, :]
-    inside = places < (ends[which] + length - 1)[:, None]
-    lanes = np.where(inside, data[np.minimum(places, len(data) - 1)], 0)
+    return first, np.minimum(first + LANE, ends[which]), which
+
+
+def _lanes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of symbols cut into lanes that overlap by a passage, as wide as the longest needs: lanes,
+    where each begins, and its stretch."""
+    first, last, which = _cut(begins, ends)
+    sizes = last - first + length - 1
+    width = int(sizes.max(initial=0))
+    padded = np.concatenate([data, np.zeros(width, data.dtype)])
+    lanes = np.lib.stride_tricks.sliding_window_view(padded, width)[first]
+    lanes[np.arange(width) >= sizes[:, None]] = 0
     return lanes, first, which
 
 
+def _lane_groups(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same lanes, a few of like length at a time: the many short stretches of short texts take about
+    as much room as they have symbols, and no more than one group of lanes is there at once."""
+    first, last, which = _cut(begins, ends)
+    order = np.argsort(first - last, kind="stable")
+    for begin in range(0, len(order), SIDE_BY_SIDE):
+        some = order[begin : begin + SIDE_BY_SIDE]
+        yield _lanes(data, first[some], last[some], length)[0], first[some], which[some]
+
+
 def drop_repeated_bytes(
     df: DataFrame, *, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", rest: Column | None = None,
     characters: bool = False,
@@ -296,14 +314,12 @@ def _covered(kind: Symbols, ids: list[int], raw: list[bytes], passages: list[tup
     index = RunIndex(passages, kind.length)
     flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int16) + 1
     limit = np.array([min(i, NULL_FROM) for i in ids], np.int64)
-    found = np.zeros(len(flat) + 1, np.int32)
-    lanes, first, part = _lanes(flat, begin, end, kind.length)
-    for a in range(0, len(lanes), 8_192):
-        some = slice(a, a + 8_192)
-        hit, j = np.nonzero(index.statistics(lanes[some], limit[which[part[some]]]))
-        found[first[some][hit] + j + 1] = 1
-    upto = np.cumsum(found)
-    covered = upto[1:] > upto[np.maximum(np.arange(1, len(upto)) - kind.length, 0)]
+    found = np.zeros(len(flat) + 1, bool)
+    for lanes, first, part in _lane_groups(flat, begin, end, kind.length):
+        hit, j = np.nonzero(index.statistics(lanes, limit[which[part]]))
+        found[first[hit] + j + 1] = True
+    upto = np.cumsum(found, dtype=np.int32)
+    covered = np.concatenate([upto[1 : kind.length] > 0, upto[kind.length :] > upto[: len(upto) - kind.length]])
     for k in np.unique(which).tolist():
         marks = covered[starts[k] : starts[k] + sizes[k]]
         if marks.any():
